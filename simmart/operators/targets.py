@@ -7,14 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from simmart.functions.fingerprint import is_structure, structure_fault
-from simmart.functions.text import strip
+from simmart.functions.text import has_non_ascii, is_blank, strip
 from simmart.operators.dedup import keep_first
-from simmart.sources.files import line_reason
 
 # Lines dropped without being reported.
 SILENT = ["header", "blank"]
 
 
+def line_reason(line: Column, content: Column) -> Column:
+    """Why a line gives no molecule; null when it gives one.
+
+    In this order: header, blank, no comma, a character past ASCII, a further
+    comma after the first. An empty second part is kept.
+    """
+    rest = F.get(F.split(content, ",", 2), F.lit(1))
+    return (
+        F.when(line == 1, "header")
+        .when(is_blank(content), "blank")
+        .when(rest.isNull(), "malformed")
+        .when(has_non_ascii(content), "non-ascii")
+        .when(strip(rest).contains(","), "extra comma")
+    )
+
+
 def judged_lines(lines: DataFrame) -> DataFrame:
     """Lines with the reason they give no molecule, or null."""
     return lines.withColumn("reason", line_reason(F.col("line"), F.col("content")))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from simmart.functions.text import decode_bytes, is_blank, strip
+from simmart.functions.text import decode_bytes, is_blank
 
 
 def month_glob(day: dt.date) -> str:
@@ -79,19 +79,3 @@ def fingerprint_files(
         .select(id_column, bits_column)
         .dropna(subset=[bits_column])
     )
-
-
-def line_reason(line: Column, content: Column) -> Column:
-    """Why a line gives no molecule; null when it gives one.
-
-    In this order: header, blank, no comma, a character past ASCII, a further
-    comma after the first. An empty second part is kept.
-    """
-    rest = F.get(F.split(content, ",", 2), F.lit(1))
-    return (
-        F.when(line == 1, "header")
-        .when(is_blank(content), "blank")
-        .when(rest.isNull(), "malformed")
-        .when(content.rlike(r"[^\x00-\x7F]"), "non-ascii")
-        .when(strip(rest).contains(","), "extra comma")
-    )
