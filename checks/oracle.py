@@ -156,11 +156,12 @@ ORACLE = {
     "fingerprint_bits": FINGERPRINT_BITS,
     "fingerprint_decode": """
 WITH signed AS (
-    SELECT vec_id, label, list_sum(list_transform(range(64), i ->
-               CASE WHEN embedding[i + 1] > 0 THEN 1::HUGEINT << (63 - i)::INT ELSE 0::HUGEINT END)) AS forward,
-           list_sum(list_transform(range(64), i ->
-               CASE WHEN embedding[i + 1] > 0 THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END)) AS mirrored,
-           len(list_filter(embedding, x -> x > 0)) AS n
+    SELECT vec_id, label,
+           list_sum([CASE WHEN embedding[i + 1] > 0 THEN 1::HUGEINT << (63 - i)::INT ELSE 0::HUGEINT END
+                     FOR i IN range(64)]) AS forward,
+           list_sum([CASE WHEN embedding[i + 1] > 0 THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END
+                     FOR i IN range(64)]) AS mirrored,
+           len([x FOR x IN embedding IF x > 0]) AS n
     FROM embeddings
 )
 SELECT vec_id,

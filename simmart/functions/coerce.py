@@ -1,7 +1,7 @@
 """Lax coercion of JSON leaves, with a reason for each leaf that will not fit.
 
-Records are read as VARIANT, which keeps the JSON type of every leaf, so that
-a number offered for a text field can be told from a text.
+The leaves of a record are read as VARIANT, which keeps their JSON type, so
+that a number offered for a text field can be told from a text.
 """
 
 from __future__ import annotations
@@ -29,23 +29,30 @@ class Field:
     may_be_absent: bool = True
 
 
-def leaf(record: Column, path: str) -> tuple[Column, Column]:
-    """(text, JSON type) of a leaf; the type is null when the key is absent."""
-    value = F.try_variant_get(record, path, "variant")
-    return F.try_variant_get(record, path, "string"), F.schema_of_variant(value)
+def json_schema(fields: list[Field]) -> list[str]:
+    """Field names with VARIANT as the type of each."""
+    return [f"{f.name} variant" for f in fields]
 
 
-def is_object(record: Column, path: str) -> Column:
-    """True where the path holds a JSON object (also an empty one)."""
-    kind = F.schema_of_variant(F.try_variant_get(record, path, "variant"))
-    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+def leaf(value: Column) -> tuple[Column, Column]:
+    """(text, kind) of a variant leaf. The kind is string, boolean, number,
+    other or null; a null column where the key is absent."""
+    declared = F.schema_of_variant(value)
+    kind = (
+        F.when(declared == "STRING", "string")
+        .when(declared == "BOOLEAN", "boolean")
+        .when(declared == "VOID", "null")
+        .when(declared.startswith("OBJECT") | declared.startswith("ARRAY"), "other")
+        .when(declared.isNotNull(), "number")
+    )
+    return F.try_variant_get(value, "$", "string"), kind
 
 
 def coerce(text: Column, kind: Column, dtype: str) -> Column:
     """The leaf as ``dtype``, null when it does not fit."""
-    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    boolean = kind == "BOOLEAN"
-    string = kind == "STRING"
+    number = kind == "number"
+    boolean = kind == "boolean"
+    string = kind == "string"
     clean = F.when(string, strip(text)).otherwise(text)
     if dtype == "string":
         return F.when(string, text)
@@ -71,14 +78,14 @@ def coerce(text: Column, kind: Column, dtype: str) -> Column:
     raise ValueError(f"no coercion to {dtype}")
 
 
-def coerced(record: Column, field: Field, prefix: str = "$") -> tuple[Column, Column]:
+def coerced(text: Column, kind: Column, field: Field, label: str = "") -> tuple[Column, Column]:
     """(value, fault) of one field; the fault is null when the field is fine."""
-    text, kind = leaf(record, f"{prefix}.{field.name}")
+    name = label or field.name
     value = coerce(text, kind, field.dtype)
-    given = kind.isNotNull() & (kind != "VOID")
-    fault = F.when(given & value.isNull(), f"{field.name}: not a {field.dtype}")
+    given = kind.isNotNull() & (kind != "null")
+    fault = F.when(given & value.isNull(), f"{name}: not a {field.dtype}")
     if not field.may_be_absent:
-        fault = fault.when(kind.isNull(), f"{field.name}: absent")
+        fault = fault.when(kind.isNull(), f"{name}: absent")
     if not field.nullable:
-        fault = fault.when(~given | kind.isNull(), f"{field.name}: required")
+        fault = fault.when(kind == "null", f"{name}: required")
     return value, fault

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from simmart import schemas
-from simmart.functions.coerce import Field, coerced, is_object, leaf
+from simmart.functions.coerce import Field, coerced, json_schema, leaf
 
 ENVELOPE = (
     "page_meta struct<total_count: bigint>, chembl_id_lookups array<string>, molecules array<string>"
@@ -24,54 +26,82 @@ def unnest_pages(pages: DataFrame, body: str = "body", keep: tuple[str, ...] = (
     )
 
 
-def _faults(faults: list[Column]) -> Column:
-    return F.array_compact(F.array(*faults))
+def _settled(df: DataFrame, keep: list[str], columns: list[Column]) -> DataFrame:
+    """``keep`` and new columns, each computed once. A plain projection would
+    be merged into later ones, and filters pushed below it, repeating its
+    expressions for every use; a generated row is not looked into."""
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
 
+def _block(fields: list[Field], source: str, tag: str) -> tuple[list[Column], Callable]:
+    """Text and kind of each field as columns of their own, and the function
+    that turns those columns into (values, faults)."""
+    raw = []
+    for f in fields:
+        text, kind = leaf(F.col(f"{source}{f.name}"))
+        raw += [text.alias(f"{tag}_{f.name}_text"), kind.alias(f"{tag}_{f.name}_kind")]
 
-def _block(record: Column, fields: list[Field], prefix: str = "$") -> tuple[list[Column], list[Column]]:
-    pairs = [(f.name, *coerced(record, f, prefix)) for f in fields]
-    return [value.alias(name) for name, value, _ in pairs], [fault for _, _, fault in pairs]
+    def judge(prefix: str = "") -> tuple[list[Column], list[Column]]:
+        values, faults = [], []
+        for f in fields:
+            at = (F.col(f"{tag}_{f.name}_text"), F.col(f"{tag}_{f.name}_kind"))
+            value, fault = coerced(*at, f, f"{prefix}{f.name}")
+            values.append(value.alias(f.name))
+            faults.append(fault)
+        return values, faults
 
+    return raw, judge
 
-def _parsed(records: DataFrame, column: str) -> DataFrame:
-    return records.withColumn("_v", F.try_parse_json(F.col(column)))
 
+def _parsed(records: DataFrame, column: str, schema: list[str], more: list[Column]) -> DataFrame:
+    """Leaves as columns. ``_whole`` is null unless the text is one complete
+    JSON object: the parser alone would accept the start of a broken one."""
+    whole = F.json_object_keys(F.col(column)).alias("_whole")
+    leaves = F.from_json(F.col(column), ", ".join(schema)).alias("_r")
+    return _settled(records, records.columns, [leaves, whole, *more])
 
-def _not_an_object() -> Column:
-    return F.when(~is_object(F.col("_v"), "$"), "not a JSON object")
+
+def _found(faults: list[Column]) -> Column:
+    broken = F.when(F.col("_whole").isNull(), F.array(F.lit("not a JSON object")))
+    return broken.otherwise(F.array_compact(F.array(*faults))).alias("faults")
 
 
 def check_lookups(records: DataFrame, column: str = "record") -> DataFrame:
     """Lookup columns plus ``faults``; an accepted record has none."""
-    values, faults = _block(F.col("_v"), schemas.LOOKUP)
-    others = [c for c in records.columns]
-    return _parsed(records, column).select(*others, *values, _faults([_not_an_object(), *faults]).alias("faults"))
+    raw, judge = _block(schemas.LOOKUP, "_r.", "f")
+    values, faults = judge()
+    parsed = _parsed(records, column, json_schema(schemas.LOOKUP), [])
+    leaves = _settled(parsed, [*records.columns, "_whole"], raw)
+    return _settled(leaves, records.columns, [*values, _found(faults)])
 
 
 def check_molecules(records: DataFrame, column: str = "record") -> DataFrame:
     """Nested typed columns (chembl_id, dictionary, properties, structures)
     plus ``faults``. The sub-objects are null unless the record has them; an
     empty one is kept as a row of nulls."""
-    record = F.col("_v")
-    ident, ident_fault = coerced(record, schemas.RECORD_ID)
-    dictionary, faults = _block(record, schemas.DICTIONARY)
-    faults = [_not_an_object(), ident_fault, *faults]
-    nested = []
-    for name, key, fields in (
-        ("properties", "molecule_properties", schemas.PROPERTIES),
-        ("structures", "molecule_structures", schemas.STRUCTURES),
-    ):
-        values, sub_faults = _block(record, fields, f"$.{key}")
-        present = is_object(record, f"$.{key}")
-        _, kind = leaf(record, f"$.{key}")
-        nested.append(F.when(present, F.struct(*values)).alias(name))
-        faults.append(F.when(kind.isNotNull() & (kind != "VOID") & ~present, f"{key}: not an object"))
-        faults += sub_faults
-    others = [c for c in records.columns]
-    return _parsed(records, column).select(
-        *others, ident.alias("chembl_id"), F.struct(*dictionary).alias("dictionary"), *nested,
-        _faults(faults).alias("faults"),
-    )
+    top = [schemas.RECORD_ID, *schemas.DICTIONARY]
+    subs = {"properties": schemas.PROPERTIES, "structures": schemas.STRUCTURES}
+    schema = json_schema(top)
+    for name, fields in subs.items():
+        inner = ", ".join(json_schema(fields)).replace(" variant", ": variant")
+        schema.append(f"molecule_{name} struct<{inner}>")
+
+    raw, judge = _block(top, "_r.", "d")
+    (ident, *dictionary), faults = judge()
+    nested, given = [], []
+    for name, fields in subs.items():
+        key = f"molecule_{name}"
+        sub_raw, sub_judge = _block(fields, f"_r.{key}.", name)
+        raw += [*sub_raw, F.col(f"_r.{key}").isNotNull().alias(f"_has_{name}")]
+        given.append(F.get_json_object(column, f"$.{key}").isNotNull().alias(f"_given_{name}"))
+        values, sub_faults = sub_judge(f"{key}.")
+        has = F.col(f"_has_{name}")
+        nested.append(F.when(has, F.struct(*values)).alias(name))
+        faults += [F.when(F.col(f"_given_{name}") & ~has, f"{key}: not an object"), *sub_faults]
+    parsed = _parsed(records, column, schema, given)
+    leaves = _settled(parsed, [*records.columns, "_whole", *[f"_given_{name}" for name in subs]], raw)
+    checked = [ident.alias("chembl_id"), F.struct(*dictionary).alias("dictionary"), *nested, _found(faults)]
+    return _settled(leaves, records.columns, checked)
 
 
 def accepted(checked: DataFrame) -> DataFrame:
