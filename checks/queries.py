@@ -211,7 +211,7 @@ def json_validate(spark: SparkSession, sf: str) -> DataFrame:
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, with their labels where there are any, as nested records."""
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    docs, labels = fan_out(table(spark, sf, "documents")), table(spark, sf, "labels")
     joined = docs.join(labels, "doc_id", "left")
     properties = F.when(
         F.col("quality").isNotNull(),

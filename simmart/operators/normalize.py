@@ -26,16 +26,17 @@ def unnest_pages(pages: DataFrame, body: str = "body", keep: tuple[str, ...] = (
     )
 
 
-def _settled(df: DataFrame, keep: list[str], columns: list[Column]) -> DataFrame:
-    """``keep`` and new columns, each computed once. A plain projection would
-    be merged into later ones, and filters pushed below it, repeating its
-    expressions for every use; a generated row is not looked into."""
-    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+def _only(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet the condition, as a generator that yields one row or
+    none. A filter would be pushed below the projections it rests on and
+    repeat the whole parse of the record inside its condition."""
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*df.columns)))))
 
 
 def _block(fields: list[Field], source: str, tag: str) -> tuple[list[Column], Callable]:
     """Text and kind of each field as columns of their own, and the function
-    that turns those columns into (values, faults)."""
+    that turns those columns into (values, faults). They belong in two
+    projections: each text and kind is used several times."""
     raw = []
     for f in fields:
         text, kind = leaf(F.col(f"{source}{f.name}"))
@@ -58,7 +59,7 @@ def _parsed(records: DataFrame, column: str, schema: list[str], more: list[Colum
     JSON object: the parser alone would accept the start of a broken one."""
     whole = F.json_object_keys(F.col(column)).alias("_whole")
     leaves = F.from_json(F.col(column), ", ".join(schema)).alias("_r")
-    return _settled(records, records.columns, [leaves, whole, *more])
+    return records.select(*records.columns, leaves, whole, *more)
 
 
 def _found(faults: list[Column]) -> Column:
@@ -71,8 +72,7 @@ def check_lookups(records: DataFrame, column: str = "record") -> DataFrame:
     raw, judge = _block(schemas.LOOKUP, "_r.", "f")
     values, faults = judge()
     parsed = _parsed(records, column, json_schema(schemas.LOOKUP), [])
-    leaves = _settled(parsed, [*records.columns, "_whole"], raw)
-    return _settled(leaves, records.columns, [*values, _found(faults)])
+    return parsed.select(*records.columns, "_whole", *raw).select(*records.columns, *values, _found(faults))
 
 
 def check_molecules(records: DataFrame, column: str = "record") -> DataFrame:
@@ -99,18 +99,18 @@ def check_molecules(records: DataFrame, column: str = "record") -> DataFrame:
         nested.append(F.when(has, F.struct(*values)).alias(name))
         faults += [F.when(F.col(f"_given_{name}") & ~has, f"{key}: not an object"), *sub_faults]
     parsed = _parsed(records, column, schema, given)
-    leaves = _settled(parsed, [*records.columns, "_whole", *[f"_given_{name}" for name in subs]], raw)
+    leaves = parsed.select(*records.columns, "_whole", *[f"_given_{name}" for name in subs], *raw)
     checked = [ident.alias("chembl_id"), F.struct(*dictionary).alias("dictionary"), *nested, _found(faults)]
-    return _settled(leaves, records.columns, checked)
+    return leaves.select(*records.columns, *checked)
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("faults") == 0).drop("faults")
+    return _only(checked, F.size("faults") == 0).drop("faults")
 
 
 def refused(checked: DataFrame, column: str = "record") -> DataFrame:
     """(record, faults) of the records that were not accepted."""
-    return checked.where(F.size("faults") > 0).select(column, "faults")
+    return _only(checked, F.size("faults") > 0).select(column, "faults")
 
 
 def lookup_table(checked: DataFrame) -> DataFrame:
