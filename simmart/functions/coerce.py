@@ -16,7 +16,7 @@ from simmart.functions.text import strip
 TRUE_TEXT = ["1", "on", "t", "true", "y", "yes"]
 FALSE_TEXT = ["0", "off", "f", "false", "n", "no"]
 
-NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
+NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\z"
 
 
 @dataclass(frozen=True)

@@ -101,7 +101,7 @@ def pack(bits: Column, n_bits: int | None = None) -> Column:
     ``n_bits`` is given, for text of another width."""
 
     def words(text: Column) -> Column:
-        ok = text.rlike("^[01]+$")
+        ok = text.rlike(r"^[01]+\z")
         if n_bits is not None:
             ok = ok & (F.length(text) == n_bits)
         chunks = F.regexp_extract_all(text, F.lit("[01]{1,%d}" % WORD), 0)

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The characters a Python ``str.strip`` removes, as a regex class.
-WHITE_SPACE = r"[\t\n\x0B\f\r \x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+# The code points that a Python ``str.strip`` removes.
+WHITE_SPACE = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+        + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
 
 
 def strip(text: Column) -> Column:
-    """Remove white space from both ends (Spark's ``trim`` takes only spaces)."""
-    return F.regexp_replace(text, f"^{WHITE_SPACE}+|{WHITE_SPACE}+$", "")
+    """Remove white space from both ends (Spark's ``trim`` takes only spaces
+    unless told otherwise)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def is_blank(text: Column) -> Column:
@@ -18,7 +25,8 @@ def is_blank(text: Column) -> Column:
 
 
 def has_non_ascii(text: Column) -> Column:
-    return text.rlike(r"[^\x00-\x7F]")
+    """Only characters past ASCII take more than one byte."""
+    return F.octet_length(text) > F.length(text)
 
 
 def decode_bytes(content: Column) -> Column:

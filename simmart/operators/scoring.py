@@ -23,6 +23,8 @@ def word_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """A list<int64> column as a (rows, words) matrix of unsigned words."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0), np.uint64)
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.ascontiguousarray(flat).view(np.uint64).reshape(len(column), -1)
 
@@ -113,10 +115,12 @@ def _self_index(source_ids: pa.Array, block: TargetBlock) -> np.ndarray:
 
 def all_scores(batches: Iterator[pa.RecordBatch], block: TargetBlock, method: str) -> Iterator[pa.RecordBatch]:
     """Every (target, source, score) of the batches, without self pairs."""
+    if not len(block):
+        return
     overlap = OVERLAPS[method](block)
     everyone = np.arange(len(block))
     for batch in map(with_words, batches):
-        if not len(batch) or not len(block):
+        if not len(batch):
             continue
         ids, words = batch.column(0), word_rows(batch.column(1))
         sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
@@ -158,11 +162,13 @@ def best_scores(
     targets whose floor already lies above that bound skip the chunk. The
     comparison keeps equal scores, so ties are never lost.
     """
+    if not len(block):
+        return
     overlap = OVERLAPS[method](block)
     best = _Best(len(block), keep)
     id_type = None
     for batch in map(with_words, batches):
-        if not len(batch) or not len(block):
+        if not len(batch):
             continue
         id_type = batch.column(0).type
         words = word_rows(batch.column(1))
