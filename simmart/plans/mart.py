@@ -22,7 +22,8 @@ def fact_rows(top: DataFrame) -> DataFrame:
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` with the rows of ``new`` put in place of, or added to, those of
     the same key. Keys are unique on both sides, so no key can be hot."""
-    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    kept = old.join(new.select(*keys), keys, "left_anti")
+    return kept.select(*old.columns).unionByName(new)
 
 
 def last_of_each(new: DataFrame, keys: list[str], order: str) -> DataFrame:

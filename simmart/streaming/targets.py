@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from simmart.operators.targets import molecules
+from simmart.operators.similarity import top_similar
+from simmart.operators.targets import accepted_targets, monthly_targets
+from simmart.plans import mart
+from simmart.plans.monthly import target_words
 from simmart.sources.files import file_texts, text_lines
 
 # The columns of the binaryFile source.
@@ -33,15 +36,36 @@ def load_new_targets(
     load: Callable[[DataFrame, int], None],
     glob: str = "data_*",
 ) -> StreamingQuery:
-    """Hand the molecules of new files to ``load(batch, batch_id)``, then stop.
+    """Hand the lines of new files to ``load(batch, batch_id)``, then stop.
 
-    A batch may be handed over again after a failure. ``load`` is safe to
-    repeat when it writes by key into a path made from the batch id.
+    A batch may be handed over again after a failure, so ``load`` has to give
+    the same result when repeated.
     """
     return (
-        molecules(new_target_lines(spark, folder, glob))
+        new_target_lines(spark, folder, glob)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def fact_version(root: str, batch_id: int) -> str:
+    return f"{root}/version={batch_id}"
+
+
+def fact_loader(sources: DataFrame, root: str) -> Callable[[DataFrame, int], None]:
+    """A ``load`` that scores each batch's targets against ``sources`` and
+    upserts their top ten. Version n of the fact is version n - 1 with batch
+    n put in, so a repeated batch writes the same version again."""
+
+    def load(lines: DataFrame, batch_id: int) -> None:
+        spark = lines.sparkSession
+        # Read by three jobs (count, broadcast, ranking); the files only once.
+        targets = target_words(accepted_targets(monthly_targets(lines))).persist()
+        new = mart.fact_rows(top_similar(targets, sources))
+        old = mart.fact_or_empty(spark, fact_version(root, batch_id - 1) if batch_id else None)
+        mart.upsert(old, new, mart.FACT_KEYS).write.mode("overwrite").parquet(fact_version(root, batch_id))
+        targets.unpersist()
+
+    return load
