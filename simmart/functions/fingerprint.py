@@ -95,17 +95,22 @@ def fingerprint(
     return F.when(valid(text), bit_text(bit_positions(text, radius, n_bits), n_bits))
 
 
+def is_bit_text(bits: Column, n_bits: int | None = None) -> Column:
+    """True for text of only 0 and 1, of the given width if there is one."""
+    ok = bits.rlike(r"^[01]+\z")
+    if n_bits is not None:
+        ok = ok & (F.length(bits) == n_bits)
+    return F.coalesce(ok, F.lit(False))
+
+
 def pack(bits: Column, n_bits: int | None = None) -> Column:
     """Bit text as an array of 64-bit words, first character = highest bit of
-    the first word. Null for null, for text other than 0/1, and, when
-    ``n_bits`` is given, for text of another width."""
+    the first word. Null for anything that is no bit text."""
 
     def words(text: Column) -> Column:
-        ok = text.rlike(r"^[01]+\z")
-        if n_bits is not None:
-            ok = ok & (F.length(text) == n_bits)
         chunks = F.regexp_extract_all(text, F.lit("[01]{1,%d}" % WORD), 0)
-        return F.when(ok, F.transform(chunks, lambda c: F.conv(F.rpad(c, WORD, "0"), 2, -10).cast("bigint")))
+        packed = F.transform(chunks, lambda c: F.conv(F.rpad(c, WORD, "0"), 2, -10).cast("bigint"))
+        return F.when(is_bit_text(text, n_bits), packed)
 
     return let(bits, words)
 

@@ -12,6 +12,23 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
 
 
+def drop_repeats(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Like ``keep_first``, for wide rows of which few repeat a key.
+
+    Only keys and order columns are shuffled, to find the first row of the
+    keys that repeat. The rows themselves then meet that short list, which
+    Spark broadcasts where its measured size allows. Keys must not be null.
+    """
+    firsts = (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_n"), F.min(F.struct(*order)).alias("_first"))
+        .where("_n > 1")
+        .drop("_n")
+    )
+    joined = df.join(firsts, keys, "left")
+    return joined.where(F.col("_first").isNull() | (F.struct(*order) == F.col("_first"))).select(*df.columns)
+
+
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")

@@ -135,21 +135,36 @@ def all_scores(batches: Iterator[pa.RecordBatch], block: TargetBlock, method: st
 
 
 class _Best:
-    """The ``keep`` best rows of each target so far: score down, id up."""
+    """The ``keep`` best rows of each target so far: score down, id up.
+
+    Candidates are gathered and cut back to ``keep`` per target only when many
+    have come together. ``floor`` never exceeds a target's keep-th best score,
+    so a row below it can be left out, and one equal to it can not.
+    """
 
     def __init__(self, n_targets: int, keep: int):
         self.keep = keep
-        self.rows = pd.DataFrame({"t": np.array([], np.int64), "score": np.array([], float), "source": []})
-        self.floor = np.full(n_targets, -1.0)  # the keep-th best score, or -1 while fewer are known
+        self.limit = max(CELLS, 2 * n_targets * keep)
+        self.floor = np.zeros(n_targets)
+        self.parts: list[pd.DataFrame] = []
+        self.size = 0
 
     def add(self, target: np.ndarray, score: np.ndarray, source: np.ndarray) -> None:
-        new = pd.DataFrame({"t": target, "score": score, "source": source})
-        rows = pd.concat([self.rows, new], ignore_index=True) if len(self.rows) else new
+        self.parts.append(pd.DataFrame({"t": target, "score": score, "source": source}))
+        self.size += len(target)
+        if self.size > self.limit:
+            self.cut()
+
+    def cut(self) -> pd.DataFrame:
+        rows = pd.concat(self.parts, ignore_index=True) if self.parts else pd.DataFrame({"t": [], "score": [], "source": []})
         rows = rows.sort_values(["t", "score", "source"], ascending=[True, False, True])
         place = rows.groupby("t").cumcount()
-        self.rows = rows[place < self.keep]
         last = rows[place == self.keep - 1]
-        self.floor[last["t"].to_numpy()] = last["score"].to_numpy()
+        at = last["t"].to_numpy(np.int64)
+        self.floor[at] = np.maximum(self.floor[at], last["score"].to_numpy())
+        rows = rows[place < self.keep]
+        self.parts, self.size = [rows], len(rows)
+        return rows
 
 
 def best_scores(
@@ -189,18 +204,19 @@ def best_scores(
                 continue
             score = ratio(overlap(words[part], wanted), sizes[part], block.sizes[wanted])
             score[own[part][:, None] == wanted[None, :]] = -1.0
-            floor = np.maximum(best.floor[wanted], 0.0)
             n = len(score)
             if n > keep:
-                floor = np.maximum(floor, np.partition(score, n - keep, axis=0)[n - keep])
-            row, at = np.nonzero(score >= floor)
+                here = np.partition(score, n - keep, axis=0)[n - keep]
+                best.floor[wanted] = np.maximum(best.floor[wanted], here)
+            row, at = np.nonzero(score >= best.floor[wanted])
             best.add(wanted[at], score[row, at], names[row + part.start])
-    if id_type is not None and len(best.rows):
+    rows = best.cut()
+    if len(rows):
         yield pa.RecordBatch.from_arrays(
             [
-                block.ids.take(pa.array(best.rows["t"].to_numpy())),
-                pa.array(best.rows["source"].tolist(), type=id_type),
-                pa.array(best.rows["score"].to_numpy()),
+                block.ids.take(pa.array(rows["t"].to_numpy())),
+                pa.array(rows["source"].tolist(), type=id_type),
+                pa.array(rows["score"].to_numpy()),
             ],
             ["target_chembl_id", "source_chembl_id", "similarity_score"],
         )

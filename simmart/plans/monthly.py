@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, pack
-from simmart.operators.dedup import keep_first
+from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, is_bit_text, pack
+from simmart.operators.dedup import drop_repeats
 from simmart.operators.similarity import pair_scores, rank_top
 from simmart.operators.targets import accepted_targets, monthly_targets, refused_lines, refused_targets
 from simmart.plans import mart
@@ -35,12 +35,15 @@ class Month:
 
 
 def source_words(spark: SparkSession, folder: str, radius: int = RADIUS, n_bits: int = N_BITS) -> DataFrame:
-    """(chembl_id, words) of the fingerprint store, the first of each id."""
+    """(chembl_id, words) of the fingerprint store: the first valid row of
+    each id, in file and row order."""
     stored = require_settings(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), radius, n_bits)
-    prints = stored.select("chembl_id", "fingerprint", F.col("_metadata.file_path").alias("file"),
-                           F.col("_metadata.row_index").alias("row"))
-    first = keep_first(prints, ["chembl_id"], ["file", "row"])
-    return first.select("chembl_id", pack(F.col("fingerprint"), n_bits).alias("words"))
+    bits = F.col("fingerprint")
+    prints = stored.where(is_bit_text(bits, n_bits) & F.col("chembl_id").isNotNull()).select(
+        "chembl_id", bits, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    first = drop_repeats(prints, ["chembl_id"], ["file", "row"])
+    return first.select("chembl_id", pack(bits, n_bits).alias("words"))
 
 
 def target_words(targets: DataFrame, radius: int = RADIUS, n_bits: int = N_BITS, **rule) -> DataFrame:

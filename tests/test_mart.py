@@ -67,6 +67,25 @@ def test_duplicates(spark):
     assert sorted(r.n for r in dedup.keep_first(df, ["k"], ["n"]).collect()) == [1, 3, 4]
 
 
+def test_drop_repeats_equals_keep_first(spark):
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 == 0 else f"k{rng.randrange(80)}", f"f{rng.randrange(3)}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, f string, i int").repartition(6)
+    wide = dedup.drop_repeats(df, ["k"], ["f", "i"])
+    assert sorted(wide.collect()) == sorted(dedup.keep_first(df, ["k"], ["f", "i"]).collect())
+
+
+def test_sources_skip_invalid_rows_before_the_first_is_taken(spark, tmp_path):
+    good, other = "01" * 1024, "10" * 1024
+    spark.createDataFrame([("a", "bad"), ("b", good)], schemas.FINGERPRINT).coalesce(1).write.parquet(f"{tmp_path}/p/1")
+    rows = [("a", good), ("a", other), ("c", None), ("b", "01"), ("d", other)]
+    spark.createDataFrame(rows, schemas.FINGERPRINT).coalesce(1).write.mode("append").parquet(f"{tmp_path}/p/2")
+    both = spark.read.parquet(f"{tmp_path}/p/1", f"{tmp_path}/p/2")
+    both.coalesce(1).write.parquet(f"{tmp_path}/q")
+    found = {r.chembl_id: r.words[0] for r in monthly.source_words(spark, f"{tmp_path}/q").collect()}
+    assert set(found) == {"a", "b", "d"} and found["b"] == 0x5555555555555555
+
+
 def test_reconcile(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert quality.reconcile(df, "k", df).first()[:] == (2, 3, False)
