@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from simmart.operators.dedup import repeated_keys
 
@@ -46,6 +46,12 @@ def reconcile(df: DataFrame, key: str, processed: DataFrame) -> DataFrame:
     return both.withColumn("matches", F.col("expected") == F.col("actual"))
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The frame, and a row counter filled by the next action on it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
+
+
 def count_distinct(df: DataFrame, key: str, approximate: bool = False) -> DataFrame:
     """One row: number of distinct ids."""
     count = F.approx_count_distinct(key) if approximate else F.countDistinct(key)
@@ -54,6 +60,7 @@ def count_distinct(df: DataFrame, key: str, approximate: bool = False) -> DataFr
 
 __all__ = [
     "count_distinct",
+    "counted",
     "foreign_key_violations",
     "primary_key_violations",
     "reconcile",

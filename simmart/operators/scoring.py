@@ -2,7 +2,7 @@
 
 These helpers run inside Spark tasks on Arrow batches. Fingerprints are rows
 of 64-bit words, so a pair costs a handful of vectorised ``and``/popcount
-steps. Work is cut into chunks so that no score matrix exceeds ``CELLS``.
+steps. Work is cut into tiles of sources by targets that stay in cache.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CELLS = 1 << 18
+WIDTH = 1024  # targets of a tile
+CELLS = 1 << 18  # scores of a tile
 
 Overlap = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
@@ -37,9 +38,10 @@ def with_words(rows):
 class TargetBlock:
     """Targets of one task: ids, packed words and set-bit counts."""
 
-    def __init__(self, ids: pa.Array, words: np.ndarray):
+    def __init__(self, ids: pa.Array, words: np.ndarray, start: int = 0):
         self.ids = ids
         self.words = words
+        self.start = start
         self.sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
 
     @classmethod
@@ -50,15 +52,24 @@ class TargetBlock:
     def __len__(self) -> int:
         return len(self.ids)
 
+    def parts(self) -> list[TargetBlock]:
+        """Blocks of at most ``WIDTH`` targets; ``start`` is their place here."""
+        cuts = range(0, len(self), WIDTH)
+        return [TargetBlock(self.ids.slice(i, WIDTH), self.words[i : i + WIDTH], i) for i in cuts]
+
 
 def word_overlap(block: TargetBlock) -> Overlap:
     """Bits in common, by popcount of the words."""
 
+    by_word = np.ascontiguousarray(block.words.T)
+    count_type = np.uint16 if 64 * len(by_word) < 1 << 16 else np.int32
+
     def overlap(sources: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        common = np.zeros((len(sources), len(wanted)), np.int32)
-        words = block.words[wanted]
-        for w in range(sources.shape[1]):
-            common += np.bitwise_count(sources[:, w, None] & words[None, :, w])
+        shape = len(sources), len(wanted)
+        common, shared, ones = np.zeros(shape, count_type), np.empty(shape, np.uint64), np.empty(shape, np.uint8)
+        for w, word in enumerate(np.take(by_word, wanted, axis=1)):
+            np.bitwise_and(sources[:, w, None], word[None, :], out=shared)
+            np.add(common, np.bitwise_count(shared, out=ones), out=common)
         return common
 
     return overlap
@@ -101,8 +112,8 @@ def ratio(common: np.ndarray, sources: np.ndarray, targets: np.ndarray) -> np.nd
     return np.where(union == 0, 1.0, common / np.maximum(union, 1))
 
 
-def _chunks(n_rows: int, n_targets: int, cells: int) -> Iterator[slice]:
-    step = max(1, cells // max(1, n_targets))
+def _chunks(n_rows: int, n_targets: int) -> Iterator[slice]:
+    step = CELLS // min(max(1, n_targets), WIDTH)
     for start in range(0, n_rows, step):
         yield slice(start, min(start + step, n_rows))
 
@@ -115,23 +126,28 @@ def _self_index(source_ids: pa.Array, block: TargetBlock) -> np.ndarray:
 
 def all_scores(batches: Iterator[pa.RecordBatch], block: TargetBlock, method: str) -> Iterator[pa.RecordBatch]:
     """Every (target, source, score) of the batches, without self pairs."""
-    if not len(block):
+    parts = [(part, OVERLAPS[method](part)) for part in block.parts()]
+    if not parts:
         return
-    overlap = OVERLAPS[method](block)
-    everyone = np.arange(len(block))
     for batch in map(with_words, batches):
         if not len(batch):
             continue
         ids, words = batch.column(0), word_rows(batch.column(1))
         sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         own = _self_index(ids, block)
-        for part in _chunks(len(words), len(block), CELLS):
-            score = ratio(overlap(words[part], everyone), sizes[part], block.sizes)
-            row, target = np.nonzero(own[part][:, None] != everyone[None, :])
-            yield pa.RecordBatch.from_arrays(
-                [block.ids.take(pa.array(target)), ids.take(pa.array(row + part.start)), pa.array(score[row, target])],
-                ["target_chembl_id", "source_chembl_id", "similarity_score"],
-            )
+        for chunk in _chunks(len(words), len(block)):
+            for part, overlap in parts:
+                everyone = np.arange(len(part))
+                score = ratio(overlap(words[chunk], everyone), sizes[chunk], part.sizes)
+                row, target = np.nonzero(own[chunk][:, None] - part.start != everyone[None, :])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.ids.take(pa.array(target)),
+                        ids.take(pa.array(row + chunk.start)),
+                        pa.array(score[row, target]),
+                    ],
+                    ["target_chembl_id", "source_chembl_id", "similarity_score"],
+                )
 
 
 class _Best:
@@ -144,7 +160,7 @@ class _Best:
 
     def __init__(self, n_targets: int, keep: int):
         self.keep = keep
-        self.limit = max(CELLS, 2 * n_targets * keep)
+        self.limit = max(1 << 14, 4 * n_targets * keep)
         self.floor = np.zeros(n_targets)
         self.parts: list[pd.DataFrame] = []
         self.size = 0
@@ -177,10 +193,9 @@ def best_scores(
     targets whose floor already lies above that bound skip the chunk. The
     comparison keeps equal scores, so ties are never lost.
     """
-    if not len(block):
+    parts = [(part, OVERLAPS[method](part), _Best(len(part), keep)) for part in block.parts()]
+    if not parts:
         return
-    overlap = OVERLAPS[method](block)
-    best = _Best(len(block), keep)
     id_type = None
     for batch in map(with_words, batches):
         if not len(batch):
@@ -192,31 +207,34 @@ def best_scores(
         words, sizes = words[order], sizes[order]
         own = _self_index(batch.column(0), block)[order]
         names = batch.column(0).to_numpy(zero_copy_only=False)[order]
-        for part in _chunks(len(words), len(block), CELLS):
-            low, high = sizes[part.start], sizes[part.stop - 1]
-            bound = np.where(
-                block.sizes < low,
-                block.sizes / max(low, 1),
-                np.where(block.sizes > high, high / np.maximum(block.sizes, 1), 1.0),
+        for chunk in _chunks(len(words), len(block)):
+            low, high = sizes[chunk.start], sizes[chunk.stop - 1]
+            for part, overlap, best in parts:
+                wanted = np.nonzero(_bound(part.sizes, low, high) >= best.floor)[0]
+                if not len(wanted):
+                    continue
+                score = ratio(overlap(words[chunk], wanted), sizes[chunk], part.sizes[wanted])
+                score[own[chunk][:, None] - part.start == wanted[None, :]] = -1.0
+                n = len(score)
+                if n > keep:
+                    here = np.partition(score, n - keep, axis=0)[n - keep]
+                    best.floor[wanted] = np.maximum(best.floor[wanted], here)
+                row, at = np.nonzero(score >= best.floor[wanted])
+                best.add(wanted[at], score[row, at], names[row + chunk.start])
+    for part, _, best in parts:
+        rows = best.cut()
+        if len(rows):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.ids.take(pa.array(rows["t"].to_numpy())),
+                    pa.array(rows["source"].tolist(), type=id_type),
+                    pa.array(rows["score"].to_numpy()),
+                ],
+                ["target_chembl_id", "source_chembl_id", "similarity_score"],
             )
-            wanted = np.nonzero(bound >= best.floor)[0]
-            if not len(wanted):
-                continue
-            score = ratio(overlap(words[part], wanted), sizes[part], block.sizes[wanted])
-            score[own[part][:, None] == wanted[None, :]] = -1.0
-            n = len(score)
-            if n > keep:
-                here = np.partition(score, n - keep, axis=0)[n - keep]
-                best.floor[wanted] = np.maximum(best.floor[wanted], here)
-            row, at = np.nonzero(score >= best.floor[wanted])
-            best.add(wanted[at], score[row, at], names[row + part.start])
-    rows = best.cut()
-    if len(rows):
-        yield pa.RecordBatch.from_arrays(
-            [
-                block.ids.take(pa.array(rows["t"].to_numpy())),
-                pa.array(rows["source"].tolist(), type=id_type),
-                pa.array(rows["score"].to_numpy()),
-            ],
-            ["target_chembl_id", "source_chembl_id", "similarity_score"],
-        )
+
+
+def _bound(sizes: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Highest score a target of each size can reach with low..high set bits."""
+    below, above = sizes / max(low, 1), high / np.maximum(sizes, 1)
+    return np.where(sizes < low, below, np.where(sizes > high, above, 1.0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from simmart import schemas
 from simmart.operators import dedup, quality
 from simmart.plans import ingest, mart, monthly, views
+from simmart.sources import tables
 from simmart.streaming import targets as stream
 
 
@@ -94,6 +95,24 @@ def test_reconcile(spark):
     assert quality.reconcile(none, "k", none).first()[:] == (0, 0, True)
 
 
+def test_row_counter(spark, tmp_path):
+    df, seen = quality.counted(spark.range(7), "molecules")
+    df.where("id > 2").write.parquet(str(tmp_path / "x"))
+    assert seen.get == {"n_rows": 7}
+
+
+def test_even_chunks_and_fan_out(spark, tmp_path):
+    df = spark.range(1000)
+    sizes = [len(p) for p in tables.even_chunks(df, 1000, 300).rdd.glom().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 4
+    assert tables.even_chunks(df.where("id < 0"), 0).count() == 0
+    assert tables.fan_out(spark.range(0, 100, 1, 64)).rdd.getNumPartitions() == 64
+    assert tables.fan_out(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 16
+    tables.append_table(df, str(tmp_path / "t"))
+    tables.append_table(df, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2000
+
+
 # --- views against their definition in plain SQL windows, with one hot source
 # and one hot target that each hold about a third of the rows
 
