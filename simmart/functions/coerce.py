@@ -1,16 +1,15 @@
 """Lax coercion of JSON leaves, with a reason for each leaf that will not fit.
 
 The leaves of a record are read as VARIANT, which keeps their JSON type, so
-that a number offered for a text field can be told from a text.
+that a number offered for a text field can be told from a text. Expressions
+are SQL text: a record has dozens of leaves, and text is parsed in one call.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
-
-from simmart.functions.text import strip
+from simmart.functions.text import WHITE_SPACE
 
 # Texts accepted as booleans, upper or lower case.
 TRUE_TEXT = ["1", "on", "t", "true", "y", "yes"]
@@ -18,6 +17,10 @@ FALSE_TEXT = ["0", "off", "f", "false", "n", "no"]
 
 NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\z"
 
+# The first two letters of a variant's type name tell its kind.
+STRING, BOOLEAN, NULL = "ST", "BO", "VO"
+NUMBERS = ["BI", "DE", "DO", "FL"]
+
 
 @dataclass(frozen=True)
 class Field:
@@ -34,58 +37,45 @@ def json_schema(fields: list[Field]) -> list[str]:
     return [f"{f.name} variant" for f in fields]
 
 
-def leaf(value: Column) -> tuple[Column, Column]:
-    """(text, kind) of a variant leaf. The kind is string, boolean, number,
-    other or null; a null column where the key is absent."""
-    declared = F.schema_of_variant(value)
-    kind = (
-        F.when(declared == "STRING", "string")
-        .when(declared == "BOOLEAN", "boolean")
-        .when(declared == "VOID", "null")
-        .when(declared.startswith("OBJECT") | declared.startswith("ARRAY"), "other")
-        .when(declared.isNotNull(), "number")
-    )
-    return F.try_variant_get(value, "$", "string"), kind
+def leaf_text(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'string')"
+
+
+def leaf_kind(value: str) -> str:
+    """Kind of a variant leaf; null where the key is absent."""
+    return f"left(schema_of_variant({value}), 2)"
+
+
+def _any_of(texts: list[str]) -> str:
+    return "(" + ", ".join(f"'{t}'" for t in texts) + ")"
 
 
-def coerce(text: Column, kind: Column, dtype: str) -> Column:
+def coerce(text: str, kind: str, dtype: str) -> str:
     """The leaf as ``dtype``, null when it does not fit."""
-    number = kind == "number"
-    boolean = kind == "boolean"
-    string = kind == "string"
-    clean = F.when(string, strip(text)).otherwise(text)
+    number, boolean, string = f"{kind} IN {_any_of(NUMBERS)}", f"{kind} = '{BOOLEAN}'", f"{kind} = '{STRING}'"
+    clean = f"trim(BOTH '{WHITE_SPACE}' FROM {text})"
     if dtype == "string":
-        return F.when(string, text)
+        return f"CASE WHEN {string} THEN {text} END"
     if dtype == "double":
-        return F.when(boolean, F.when(text == "true", 1.0).otherwise(0.0)).when(
-            (number | string) & clean.rlike(NUMBER_TEXT), clean.try_cast("double")
-        )
+        return f"""CASE WHEN {boolean} THEN cast({text} = 'true' AS double)
+            WHEN ({number} OR {string}) AND {clean} RLIKE r'{NUMBER_TEXT}' THEN try_cast({clean} AS double) END"""
     if dtype == "bigint":
-        exact = clean.try_cast("decimal(38,9)")
-        return F.when(boolean, F.when(text == "true", 1).otherwise(0).cast("bigint")).when(
-            (number | string) & (exact == F.floor(exact)), exact.try_cast("bigint")
-        )
+        exact = f"try_cast({clean} AS decimal(38, 9))"
+        return f"""CASE WHEN {boolean} THEN cast({text} = 'true' AS bigint)
+            WHEN ({number} OR {string}) AND {exact} = floor({exact}) THEN try_cast({exact} AS bigint) END"""
     if dtype == "boolean":
-        lower = F.lower(clean)
-        as_number = text.try_cast("double")
-        return (
-            F.when(boolean, text == "true")
-            .when(number & (as_number == 1), F.lit(True))
-            .when(number & (as_number == 0), F.lit(False))
-            .when(string & lower.isin(TRUE_TEXT), F.lit(True))
-            .when(string & lower.isin(FALSE_TEXT), F.lit(False))
-        )
+        return f"""CASE WHEN {boolean} THEN {text} = 'true'
+            WHEN {number} AND try_cast({text} AS double) IN (0, 1) THEN try_cast({text} AS double) = 1
+            WHEN {string} AND lower({clean}) IN {_any_of(TRUE_TEXT)} THEN true
+            WHEN {string} AND lower({clean}) IN {_any_of(FALSE_TEXT)} THEN false END"""
     raise ValueError(f"no coercion to {dtype}")
 
 
-def coerced(text: Column, kind: Column, field: Field, label: str = "") -> tuple[Column, Column]:
-    """(value, fault) of one field; the fault is null when the field is fine."""
-    name = label or field.name
-    value = coerce(text, kind, field.dtype)
-    given = kind.isNotNull() & (kind != "null")
-    fault = F.when(given & value.isNull(), f"{name}: not a {field.dtype}")
+def fault(value: str, kind: str, field: Field, label: str) -> str:
+    """Why a leaf does not do; null when it is fine."""
+    cases = [f"WHEN {value} IS NULL AND {kind} <> '{NULL}' THEN '{label}: not a {field.dtype}'"]
     if not field.may_be_absent:
-        fault = fault.when(kind.isNull(), f"{name}: absent")
+        cases.append(f"WHEN {kind} IS NULL THEN '{label}: absent'")
     if not field.nullable:
-        fault = fault.when(kind == "null", f"{name}: required")
-    return value, fault
+        cases.append(f"WHEN {kind} = '{NULL}' THEN '{label}: required'")
+    return f"CASE {' '.join(cases)} END"

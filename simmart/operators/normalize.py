@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from simmart import schemas
-from simmart.functions.coerce import Field, coerced, json_schema, leaf
+from simmart.functions.coerce import Field, coerce, fault, json_schema, leaf_kind, leaf_text
 
 ENVELOPE = (
     "page_meta struct<total_count: bigint>, chembl_id_lookups array<string>, molecules array<string>"
@@ -33,75 +33,99 @@ def _only(df: DataFrame, condition: Column) -> DataFrame:
     return df.select(F.inline(F.when(condition, F.array(F.struct(*df.columns)))))
 
 
-def _block(fields: list[Field], source: str, tag: str) -> tuple[list[Column], Callable]:
-    """Text and kind of each field as columns of their own, and the function
-    that turns those columns into (values, faults). They belong in two
-    projections: each text and kind is used several times."""
-    raw = []
-    for f in fields:
-        text, kind = leaf(F.col(f"{source}{f.name}"))
-        raw += [text.alias(f"{tag}_{f.name}_text"), kind.alias(f"{tag}_{f.name}_kind")]
+@dataclass(frozen=True)
+class _Block:
+    """Fields found under one path of the parsed record, in the columns
+    ``tag_name`` (value), ``tag_name_text`` and ``tag_name_kind``."""
 
-    def judge(prefix: str = "") -> tuple[list[Column], list[Column]]:
-        values, faults = [], []
-        for f in fields:
-            at = (F.col(f"{tag}_{f.name}_text"), F.col(f"{tag}_{f.name}_kind"))
-            value, fault = coerced(*at, f, f"{prefix}{f.name}")
-            values.append(value.alias(f.name))
-            faults.append(fault)
-        return values, faults
+    fields: list[Field]
+    path: str
+    tag: str
+    label: str = ""
 
-    return raw, judge
+    def leaves(self) -> list[str]:
+        found = []
+        for f in self.fields:
+            at = f"{self.path}.{f.name}"
+            found += [f"{leaf_text(at)} AS {self.tag}_{f.name}_text", f"{leaf_kind(at)} AS {self.tag}_{f.name}_kind"]
+        return found
 
+    def values(self) -> list[str]:
+        found = []
+        for f in self.fields:
+            name = f"{self.tag}_{f.name}"
+            found += [f"{coerce(f'{name}_text', f'{name}_kind', f.dtype)} AS {name}", f"{name}_kind"]
+        return found
 
-def _parsed(records: DataFrame, column: str, schema: list[str], more: list[Column]) -> DataFrame:
+    def faults(self) -> list[str]:
+        return [
+            fault(f"{self.tag}_{f.name}", f"{self.tag}_{f.name}_kind", f, f"{self.label}{f.name}") for f in self.fields
+        ]
+
+    def names(self) -> list[str]:
+        return [f"{self.tag}_{f.name} AS {f.name}" for f in self.fields]
+
+
+def _judged(parsed: DataFrame, blocks: list[_Block], keep: list[str]) -> DataFrame:
+    """Text and kind of each leaf, then its value: every column is used
+    several times further on, so Spark keeps the two steps apart."""
+    leaves = parsed.selectExpr(*keep, *[e for b in blocks for e in b.leaves()])
+    return leaves.selectExpr(*keep, *[e for b in blocks for e in b.values()])
+
+
+def _parsed(records: DataFrame, column: str, schema: list[str]) -> DataFrame:
     """Leaves as columns. ``_whole`` is null unless the text is one complete
     JSON object: the parser alone would accept the start of a broken one."""
     whole = F.json_object_keys(F.col(column)).alias("_whole")
     leaves = F.from_json(F.col(column), ", ".join(schema)).alias("_r")
-    return records.select(*records.columns, leaves, whole, *more)
+    return records.select("*", leaves, whole)
 
 
-def _found(faults: list[Column]) -> Column:
-    broken = F.when(F.col("_whole").isNull(), F.array(F.lit("not a JSON object")))
-    return broken.otherwise(F.array_compact(F.array(*faults))).alias("faults")
+def _found(faults: list[str]) -> str:
+    listed = f"array_compact(array({', '.join(faults)}))"
+    return f"CASE WHEN _whole IS NULL THEN array('not a JSON object') ELSE {listed} END AS faults"
 
 
 def check_lookups(records: DataFrame, column: str = "record") -> DataFrame:
     """Lookup columns plus ``faults``; an accepted record has none."""
-    raw, judge = _block(schemas.LOOKUP, "_r.", "f")
-    values, faults = judge()
-    parsed = _parsed(records, column, json_schema(schemas.LOOKUP), [])
-    return parsed.select(*records.columns, "_whole", *raw).select(*records.columns, *values, _found(faults))
+    block = _Block(schemas.LOOKUP, "_r", "f")
+    parsed = _parsed(records, column, json_schema(schemas.LOOKUP))
+    judged = _judged(parsed, [block], [*records.columns, "_whole"])
+    return judged.selectExpr(*records.columns, *block.names(), _found(block.faults()))
 
 
 def check_molecules(records: DataFrame, column: str = "record") -> DataFrame:
     """Nested typed columns (chembl_id, dictionary, properties, structures)
     plus ``faults``. The sub-objects are null unless the record has them; an
     empty one is kept as a row of nulls."""
-    top = [schemas.RECORD_ID, *schemas.DICTIONARY]
-    subs = {"properties": schemas.PROPERTIES, "structures": schemas.STRUCTURES}
-    schema = json_schema(top)
-    for name, fields in subs.items():
-        inner = ", ".join(json_schema(fields)).replace(" variant", ": variant")
-        schema.append(f"molecule_{name} struct<{inner}>")
-
-    raw, judge = _block(top, "_r.", "d")
-    (ident, *dictionary), faults = judge()
-    nested, given = [], []
-    for name, fields in subs.items():
+    ident = _Block([schemas.RECORD_ID], "_r", "i")
+    dictionary = _Block(schemas.DICTIONARY, "_r", "d")
+    subs = {
+        "properties": _Block(schemas.PROPERTIES, "_r.molecule_properties", "p", "molecule_properties."),
+        "structures": _Block(schemas.STRUCTURES, "_r.molecule_structures", "s", "molecule_structures."),
+    }
+    schema = json_schema([schemas.RECORD_ID, *schemas.DICTIONARY])
+    flags, outputs, faults = [], [], [*ident.faults(), *dictionary.faults()]
+    for name, block in subs.items():
         key = f"molecule_{name}"
-        sub_raw, sub_judge = _block(fields, f"_r.{key}.", name)
-        raw += [*sub_raw, F.col(f"_r.{key}").isNotNull().alias(f"_has_{name}")]
-        given.append(F.get_json_object(column, f"$.{key}").isNotNull().alias(f"_given_{name}"))
-        values, sub_faults = sub_judge(f"{key}.")
-        has = F.col(f"_has_{name}")
-        nested.append(F.when(has, F.struct(*values)).alias(name))
-        faults += [F.when(F.col(f"_given_{name}") & ~has, f"{key}: not an object"), *sub_faults]
-    parsed = _parsed(records, column, schema, given)
-    leaves = parsed.select(*records.columns, "_whole", *[f"_given_{name}" for name in subs], *raw)
-    checked = [ident.alias("chembl_id"), F.struct(*dictionary).alias("dictionary"), *nested, _found(faults)]
-    return leaves.select(*records.columns, *checked)
+        inner = ", ".join(f"{f.name}: variant" for f in block.fields)
+        schema.append(f"{key} struct<{inner}>")
+        given = F.get_json_object(column, f"$.{key}").isNotNull().alias(f"_given_{name}")
+        flags += [given, F.expr(f"_r.{key} IS NOT NULL").alias(f"_has_{name}")]
+        outputs.append(f"CASE WHEN _has_{name} THEN struct({', '.join(block.names())}) END AS {name}")
+        wrong = f"CASE WHEN _given_{name} AND NOT _has_{name} THEN '{key}: not an object' END"
+        faults += [wrong, *block.faults()]
+
+    parsed = _parsed(records, column, schema).select("*", *flags)
+    keep = [*records.columns, "_whole", *[f"_{flag}_{name}" for name in subs for flag in ("given", "has")]]
+    judged = _judged(parsed, [ident, dictionary, *subs.values()], keep)
+    return judged.selectExpr(
+        *records.columns,
+        "i_molecule_chembl_id AS chembl_id",
+        f"struct({', '.join(dictionary.names())}) AS dictionary",
+        *outputs,
+        _found(faults),
+    )
 
 
 def accepted(checked: DataFrame) -> DataFrame:
