@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from simmart.operators.skew import splittable_join
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order. The rank filter lets each
@@ -25,7 +27,7 @@ def drop_repeats(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         .where("_n > 1")
         .drop("_n")
     )
-    joined = df.join(firsts, keys, "left")
+    joined = splittable_join(df, firsts, keys, "left")
     return joined.where(F.col("_first").isNull() | (F.struct(*order) == F.col("_first"))).select(*df.columns)
 
 
@@ -42,7 +44,8 @@ def duplicate_members(df: DataFrame, keys: list[str]) -> DataFrame:
     Rows with a null key count as one group, hence the null-safe comparison.
     """
     repeated = repeated_keys(df, keys).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = F.lit(True)
+    # The hash is a key of its own for the reason given in ``splittable_join``.
+    same = F.xxhash64(*keys) == F.xxhash64(*[f"_{k}" for k in keys])
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
     return df.join(repeated, same, "left_semi")

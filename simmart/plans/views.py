@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from simmart.functions.text import count_text
+from simmart.operators.skew import splittable_join
 
 # The ten molecules of the pivot report.
 PIVOT_IDS = [
@@ -37,7 +38,8 @@ def average_deviation(fact: DataFrame, dim: DataFrame) -> DataFrame:
         return dim.select(F.col("chembl_id").alias(f"{name}_chembl_id"), F.col("alogp").alias(f"{name}_alogp"))
 
     pairs = fact.select("source_chembl_id", "target_chembl_id")
-    both = pairs.join(role("target"), "target_chembl_id").join(role("source"), "source_chembl_id")
+    half = splittable_join(pairs, role("target"), ["target_chembl_id"])
+    both = splittable_join(half, role("source"), ["source_chembl_id"])
     deviation = F.abs(F.col("target_alogp") - F.col("source_alogp"))
     return both.groupBy("source_chembl_id").agg(F.avg(deviation).alias("average_alogp_deviation"))
 
@@ -88,7 +90,8 @@ def next_most_similar(fact: DataFrame) -> DataFrame:
 
     leaders = ranked.groupBy("source_chembl_id").agg(at(1).alias("first_target"), at(2).alias("second_target"))
 
-    joined = pairs.join(steps, ["target_chembl_id", "tanimoto_similarity"]).join(leaders, "source_chembl_id")
+    stepped = splittable_join(pairs, steps, ["target_chembl_id", "tanimoto_similarity"])
+    joined = splittable_join(stepped, leaders, ["source_chembl_id"])
     is_last = F.col("source_chembl_id") == F.col("last_source")
     is_first = F.col("target_chembl_id") == F.col("first_target")
     return joined.select(
@@ -117,12 +120,16 @@ def grouped_averages(fact: DataFrame, properties: DataFrame) -> DataFrame:
         "source_chembl_id",
     )
     source, rings, atoms = F.col("source_chembl_id"), F.col("aromatic_rings"), F.col("heavy_atoms")
-    grouped = rows.groupingSets([[source], [rings, atoms], [atoms], []], source, rings, atoms).agg(
-        F.try_divide(F.sum("total"), F.sum("n")).alias("avg"),
+    mean = F.try_divide(F.sum("total"), F.sum("n")).alias("avg")
+    grouped = rows.groupingSets([[source], [rings, atoms], [atoms]], source, rings, atoms).agg(
+        mean,
         F.grouping("source_chembl_id").alias("source"),
         F.grouping("aromatic_rings").alias("aromatic"),
         F.grouping("heavy_atoms").alias("heavy"),
     )
+    # On its own, because an empty grouping set yields no row for an empty fact.
+    over_all = rows.agg(mean).withColumns({flag: F.lit(1) for flag in ("source", "aromatic", "heavy")})
+    grouped = grouped.unionByName(over_all, allowMissingColumns=True)
     return grouped.select(
         F.when(F.col("source") == 0, source.cast("string")).otherwise("TOTAL").alias("source_molecule"),
         F.when(F.col("aromatic") == 0, count_text(rings)).otherwise("TOTAL").alias("aromatic_rings"),
@@ -138,6 +145,7 @@ def create_views(fact: DataFrame, dim: DataFrame, properties: DataFrame) -> None
         "average_deviation_of_alogp": average_deviation(fact, dim),
         "pivot_similarity_score": pivot_scores(fact),
         "next_most_similar_molecule": next_most_similar(fact),
+        "next_most_similar_molexule": next_most_similar(fact),  # the name in use so far
         "grouped_averages": grouped_averages(fact, properties),
     }
     for name, df in views.items():

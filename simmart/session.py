@@ -27,7 +27,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``,
-    or the given fallback where the cluster names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or fallback
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach, as the cluster names it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        raise ValueError("spark.checkpoint.dir is not set; name a folder all executors can reach")
+    return named.rstrip("/")

@@ -11,6 +11,7 @@ from simmart.operators.similarity import top_similar
 from simmart.operators.targets import accepted_targets, monthly_targets
 from simmart.plans import mart
 from simmart.plans.monthly import target_words
+from simmart.session import shared_dir
 from simmart.sources.files import file_texts, text_lines
 
 # The columns of the binaryFile source.
@@ -32,19 +33,20 @@ def new_target_lines(spark: SparkSession, folder: str, glob: str = "data_*", fil
 def load_new_targets(
     spark: SparkSession,
     folder: str,
-    checkpoint: str,
     load: Callable[[DataFrame, int], None],
+    checkpoint: str | None = None,
     glob: str = "data_*",
 ) -> StreamingQuery:
     """Hand the lines of new files to ``load(batch, batch_id)``, then stop.
 
-    A batch may be handed over again after a failure, so ``load`` has to give
+    Progress is kept in ``checkpoint``, by default in the cluster's shared
+    folder. A batch may be handed over again after a failure, so ``load`` has to give
     the same result when repeated.
     """
     return (
         new_target_lines(spark, folder, glob)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/new_targets")
         .trigger(availableNow=True)
         .start()
     )

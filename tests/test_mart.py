@@ -154,6 +154,57 @@ def test_grouped_averages(spark):
     }
 
 
+def test_grouped_averages_of_nothing(spark):
+    p = spark.createDataFrame([("a", 3.0, 20.0)], "chembl_id string, aromatic_rings double, heavy_atoms double")
+    assert [tuple(r) for r in views.grouped_averages(fact(spark, []), p).collect()] == [("TOTAL",) * 3 + (None,)]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins by shuffle, and skew thresholds scaled down to the test's size."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_hot_keys_are_split(spark, no_broadcast):
+    """One source holds a third of the rows; its join partition is divided."""
+    n = 200_000
+    source = F.when(F.col("id") % 3 == 0, "s0").otherwise(F.concat(F.lit("s"), F.col("id") % 4001))
+    rows = spark.range(0, n, 1, 8).select(
+        F.concat(F.lit("t"), F.col("id") % 70001).alias("target_chembl_id"),
+        source.alias("source_chembl_id"),
+        (F.col("id") % 50 / 50).alias("tanimoto_similarity"),
+    )
+    names = rows.selectExpr("explode(array(source_chembl_id, target_chembl_id)) AS chembl_id").distinct()
+    dim = names.withColumn("alogp", (F.abs(F.hash("chembl_id")) % 100).cast("double"))
+    for df in (views.average_deviation(rows, dim), views.next_most_similar(rows.dropDuplicates(mart.FACT_KEYS))):
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "skew=true" in final_plan(df)
+    firsts = dedup.drop_repeats(rows.withColumn("n", F.monotonically_increasing_id()), ["source_chembl_id"], ["n"])
+    assert len(firsts.collect()) == rows.select("source_chembl_id").distinct().count()
+    assert "skew=true" in final_plan(firsts)
+    members = dedup.duplicate_members(rows, ["source_chembl_id"])
+    assert len(members.collect()) == n
+    assert "skew=true" in final_plan(members)
+
+
 def test_other_views(spark):
     f = fact(spark, [("CHEMBL2", "t2", 0.25), ("CHEMBL2", "t1", 0.5), ("z", "t1", 1.0), ("CHEMBL6200", "t1", 0.75)])
     assert {tuple(r) for r in views.average_score(f).collect()} == {("CHEMBL2", 0.375), ("z", 1.0), ("CHEMBL6200", 0.75)}
@@ -225,9 +276,13 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     prepare(spark, root)
     (tmp_path / "in").mkdir()
     seen = []
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(ValueError):
+            stream.load_new_targets(spark, f"{root}/in", print)
+        spark.conf.set("spark.checkpoint.dir", f"{root}/shared")
 
     def run(load):
-        stream.load_new_targets(spark, f"{root}/in", f"{root}/checkpoint", load).awaitTermination()
+        stream.load_new_targets(spark, f"{root}/in", load).awaitTermination()
 
     load = stream.fact_loader(monthly.source_words(spark, f"{root}/prints"), f"{root}/stream_fact")
 
