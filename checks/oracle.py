@@ -133,7 +133,7 @@ FROM judged
 
 FACT = """
 fact AS (
-    SELECT l_suppkey AS source_chembl_id, l_partkey AS target_chembl_id, max(l_discount) AS tanimoto_similarity
+    SELECT l_suppkey AS source_chembl_id, l_partkey AS target_chembl_id, max(round(l_discount * 100) / 16) AS tanimoto_similarity
     FROM lineitem GROUP BY ALL
 )
 """
@@ -142,7 +142,7 @@ PROPERTIES = """
 properties AS (
     SELECT p_partkey AS chembl_id,
            CASE WHEN p_type <> 'SMALL' THEN length(p_type) END AS aromatic_rings, p_size AS heavy_atoms,
-           CASE WHEN p_type <> 'SMALL' THEN p_retailprice END AS alogp
+           CASE WHEN p_type <> 'SMALL' THEN round(p_retailprice * 100) END AS alogp
     FROM part
 )
 """
@@ -227,11 +227,11 @@ SELECT 'M' || doc_id AS chembl_id, text AS canonical_smiles FROM documents WHERE
 SELECT vec_id, CASE WHEN embedding[1] >= 0 THEN embedding[1]::DOUBLE END AS value FROM embeddings
 """,
     "avg_score": f"""
-WITH {FACT} SELECT source_chembl_id, round(avg(tanimoto_similarity), 9) AS avg FROM fact GROUP BY source_chembl_id
+WITH {FACT} SELECT source_chembl_id, avg(tanimoto_similarity) AS avg FROM fact GROUP BY source_chembl_id
 """,
     "avg_deviation": f"""
 WITH {FACT}, {PROPERTIES}
-SELECT source_chembl_id, round(avg(abs(t.alogp - s.alogp)), 9) AS average_alogp_deviation
+SELECT source_chembl_id, avg(abs(t.alogp - s.alogp)) AS average_alogp_deviation
 FROM fact JOIN properties s ON source_chembl_id = s.chembl_id JOIN properties t ON target_chembl_id = t.chembl_id
 GROUP BY source_chembl_id
 """,
@@ -257,15 +257,15 @@ WITH {FACT}, {PROPERTIES}
 SELECT CASE WHEN grouping(source_chembl_id) = 0 THEN source_chembl_id::VARCHAR ELSE 'TOTAL' END AS source_molecule,
        CASE WHEN grouping(aromatic_rings) = 0 THEN aromatic_rings::VARCHAR ELSE 'TOTAL' END AS aromatic_rings,
        CASE WHEN grouping(heavy_atoms) = 0 THEN heavy_atoms::VARCHAR ELSE 'TOTAL' END AS heavy_atoms,
-       round(avg(tanimoto_similarity), 9) AS avg
+       avg(tanimoto_similarity) AS avg
 FROM fact JOIN properties ON chembl_id = source_chembl_id
 GROUP BY GROUPING SETS ((source_chembl_id), (aromatic_rings, heavy_atoms), (heavy_atoms), ())
 """,
     "fact_upsert": """
 WITH old AS (
-    SELECT l_suppkey AS s, l_partkey AS t, max(l_discount) AS v FROM lineitem WHERE l_linenumber <= 4 GROUP BY ALL
+    SELECT l_suppkey AS s, l_partkey AS t, max(round(l_discount * 100) / 16) AS v FROM lineitem WHERE l_linenumber <= 4 GROUP BY ALL
 ), new AS (
-    SELECT l_suppkey AS s, l_partkey AS t, max(l_discount) AS v FROM lineitem WHERE l_linenumber > 4 GROUP BY ALL
+    SELECT l_suppkey AS s, l_partkey AS t, max(round(l_discount * 100) / 16) AS v FROM lineitem WHERE l_linenumber > 4 GROUP BY ALL
 )
 SELECT coalesce(new.s, old.s) AS source_chembl_id, coalesce(new.t, old.t) AS target_chembl_id,
        coalesce(new.v, old.v) AS tanimoto_similarity

@@ -2,7 +2,9 @@
 
 The tables stand in for molecules: ``documents`` and ``benchmark`` texts are
 structure strings, ``lineitem`` is the fact (source = l_suppkey, target =
-l_partkey, score = l_discount), ``part`` the molecule properties.
+l_partkey, score = discount per cent in sixteenths), ``part`` the molecule
+properties. Scores and properties are binary fractions, so that sums are exact
+in any order and averages compare without rounding.
 """
 
 from __future__ import annotations
@@ -25,10 +27,6 @@ def _any_text(text: Column) -> Column:
     return F.length(text) > 0
 
 
-def _mean(name: str) -> Column:
-    return F.round(name, 9).alias(name)
-
-
 # --- fingerprints and scoring
 
 
@@ -264,7 +262,7 @@ def nan_to_null(spark: SparkSession, sf: str) -> DataFrame:
 def _pairs(lines: DataFrame) -> DataFrame:
     return lines.groupBy(
         F.col("l_suppkey").alias("source_chembl_id"), F.col("l_partkey").alias("target_chembl_id")
-    ).agg(F.max("l_discount").alias("tanimoto_similarity"))
+    ).agg(F.max(F.round(F.col("l_discount") * 100) / 16).alias("tanimoto_similarity"))
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -278,17 +276,16 @@ def _properties(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").alias("chembl_id"),
         F.when(~small, F.length("p_type").cast("double")).alias("aromatic_rings"),
         F.col("p_size").cast("double").alias("heavy_atoms"),
-        F.when(~small, F.col("p_retailprice")).alias("alogp"),
+        F.when(~small, F.round(F.col("p_retailprice") * 100)).alias("alogp"),
     )
 
 
 def avg_score(spark: SparkSession, sf: str) -> DataFrame:
-    return views.average_score(_fact(spark, sf)).select("source_chembl_id", _mean("avg"))
+    return views.average_score(_fact(spark, sf))
 
 
 def avg_deviation(spark: SparkSession, sf: str) -> DataFrame:
-    found = views.average_deviation(_fact(spark, sf), _properties(spark, sf))
-    return found.select("source_chembl_id", _mean("average_alogp_deviation"))
+    return views.average_deviation(_fact(spark, sf), _properties(spark, sf))
 
 
 def pivot_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,8 +297,7 @@ def next_most_similar(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grouped_averages(spark: SparkSession, sf: str) -> DataFrame:
-    found = views.grouped_averages(_fact(spark, sf), _properties(spark, sf))
-    return found.select("source_molecule", "aromatic_rings", "heavy_atoms", _mean("avg"))
+    return views.grouped_averages(_fact(spark, sf), _properties(spark, sf))
 
 
 def fact_upsert(spark: SparkSession, sf: str) -> DataFrame:
