@@ -33,20 +33,20 @@ def new_target_lines(spark: SparkSession, folder: str, glob: str = "data_*", fil
 def load_new_targets(
     spark: SparkSession,
     folder: str,
+    name: str,
     load: Callable[[DataFrame, int], None],
-    checkpoint: str | None = None,
     glob: str = "data_*",
 ) -> StreamingQuery:
     """Hand the lines of new files to ``load(batch, batch_id)``, then stop.
 
-    Progress is kept in ``checkpoint``, by default in the cluster's shared
-    folder. A batch may be handed over again after a failure, so ``load`` has to give
-    the same result when repeated.
+    Progress is kept under ``name``, which must be the stream's own, in the
+    cluster's shared folder. A batch may be handed over again after a failure,
+    so ``load`` has to give the same result when repeated.
     """
     return (
         new_target_lines(spark, folder, glob)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/new_targets")
+        .option("checkpointLocation", f"{shared_dir(spark)}/{name}")
         .trigger(availableNow=True)
         .start()
     )

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,14 +276,14 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     root = str(tmp_path)
     prepare(spark, root)
     (tmp_path / "in").mkdir()
-    seen = []
+    seen, name = [], f"new_targets_{uuid.uuid4().hex}"
     if not spark.conf.get("spark.checkpoint.dir", None):
         with pytest.raises(ValueError):
-            stream.load_new_targets(spark, f"{root}/in", print)
+            stream.load_new_targets(spark, f"{root}/in", name, print)
         spark.conf.set("spark.checkpoint.dir", f"{root}/shared")
 
     def run(load):
-        stream.load_new_targets(spark, f"{root}/in", load).awaitTermination()
+        stream.load_new_targets(spark, f"{root}/in", name, load).awaitTermination()
 
     load = stream.fact_loader(monthly.source_words(spark, f"{root}/prints"), f"{root}/stream_fact")
 
