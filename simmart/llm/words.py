@@ -76,6 +76,37 @@ class Hasher:
         np.cumsum(words * powers[: len(words)], out=sums[1:])
         return mix((sums[skip + length : skip + length + n] - sums[skip : skip + n]) * inverses[skip : skip + n])
 
+    def spans(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the runs of words from each start to its end."""
+        powers, inverses = self._table(_RUN_BASE, len(words) + 1)
+        sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * powers[: len(words)], out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * inverses[starts])
+
 
 def utf8(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+
+
+def sorted_blob(values: np.ndarray) -> bytes:
+    """Sorted 64-bit integers as differences, byte by byte of all of them, in
+    as few bytes each as the largest needs; what compresses comes together."""
+    steps = np.diff(np.asarray(values, np.uint64), prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_sorted_blob(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :width] = planes.T
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def among(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values are in the sorted array."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values
