@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from simmart.llm import packing, pieces, substrings
+from simmart.llm import neardup, packing, pieces, substrings
 from simmart.llm.common import prepared, table
 
 
@@ -24,6 +24,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(docs, tokenizer_file("word_bpe_49k.json"), with_ids=False)
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(prepared(spark), sf_dir, "documents"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return substrings.without_repeats(docs, with_text=False)
@@ -32,6 +36,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op8_packing": op8_packing,
+    "op9_neardup": op9_neardup,
     "op10_substrings": op10_substrings,
 }
 
