@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from simmart.llm import neardup, packing, pieces, substrings
+from simmart.llm import language, neardup, packing, pieces, quality, substrings
 from simmart.llm.common import prepared, table
 
 
@@ -19,6 +19,15 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(docs, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents")
+    return quality.rated(docs, table(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(prepared(spark), sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return packing.packed(docs, tokenizer_file("word_bpe_49k.json"), with_ids=False)
@@ -35,6 +44,8 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_neardup": op9_neardup,
     "op10_substrings": op10_substrings,
