@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from simmart.llm import language, neardup, packing, pieces, quality, substrings
+from simmart.llm import language, neardup, packing, pieces, quality, spots, substrings
 from simmart.llm.common import prepared, table
 
 
@@ -19,6 +19,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(docs, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.ring(table(prepared(spark), sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return quality.rated(docs, table(spark, sf_dir, "labels"))
@@ -44,6 +48,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_spotsigs": op4_spotsigs,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
