@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simmart.llm import language, neardup, packing, pieces, quality, spots, substrings
+from simmart.llm import archive, covertree, language, neardup, packing, pieces, quality, rollup, spots, substrings
 from simmart.llm.common import prepared, table
 
 
@@ -14,6 +14,22 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.archived(table(prepared(spark), sf_dir, "pages"))
+
+
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    versions = {"byte_bpe_50k": "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "byte_bpe_multi_50k.tiktoken"}
+    return rollup.maintained(
+        table(prepared(spark), sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        {name: tokenizer_file(file) for name, file in versions.items()},
+        public_tokenizers.PATTERN,
+    )
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return pieces.encoded(docs, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
@@ -23,6 +39,10 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.ring(table(prepared(spark), sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.nearest(table(prepared(spark), sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return quality.rated(docs, table(spark, sf_dir, "labels"))
@@ -47,8 +67,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_tokens": op2_tokens,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_spotsigs": op4_spotsigs,
+    "op5_topk": op5_topk,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
@@ -56,4 +79,61 @@ QUERIES = {
     "op10_substrings": op10_substrings,
 }
 
-ORACLE: dict[str, str] = {}
+# SHA-1 in base 32: the bits of the hex digits in groups of five.
+_BASE32 = """
+    array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST(list_sum(list_transform(range(5), j ->
+            (((instr('0123456789abcdef', substr(h, CAST((5 * i + j) // 4 + 1 AS INTEGER), 1)) - 1)
+              >> CAST(3 - (5 * i + j) % 4 AS INTEGER)) & 1) * (16 >> CAST(j AS INTEGER)))) AS INTEGER), 1)), '')
+"""
+
+ORACLE = {
+    "op1_warc": f"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url, sha1(coalesce(html, '')) AS h FROM pages
+        ),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to, url
+        FROM f
+    """,
+    "op5_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(d.e AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e)
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+    """,
+    "op10_substrings": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13
+        ),
+        keyed AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS k FROM windows),
+        firsts AS (SELECT k, min(doc_id) AS first_id FROM keyed GROUP BY k HAVING min(doc_id) < max(doc_id)),
+        gone AS (
+            SELECT DISTINCT doc_id, i + unnest(range(13)) AS at
+            FROM keyed JOIN firsts USING (k) WHERE first_id < doc_id
+        ),
+        gone_of AS (SELECT doc_id, list(at) AS ats, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+               sha256(coalesce(array_to_string(
+                   CASE WHEN ats IS NULL THEN words
+                        ELSE list_filter(words, (x, i) -> NOT list_contains(ats, i)) END, ' '), '')) AS kept_sha256
+        FROM w LEFT JOIN gone_of USING (doc_id)
+    """,
+}
