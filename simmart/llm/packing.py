@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -34,8 +35,10 @@ from simmart.llm.common import kept, texts
 WINDOW = 4096
 END_ID = 2
 OPEN_WINDOWS = 1_024  # at most 16 MB of ids; more are evened out
-WORDS_KEPT = 800_000  # tokenised words a worker holds, some 170 MB
+WORDS_KEPT = 1_600_000  # tokenised words a worker holds, some 300 MB
+_NO_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to tokenizers
 _SPACE = re.compile("[ \n\t\r]+")
+_TAIL = ".,!&*$%#|"
 
 
 class Words:
@@ -56,18 +59,36 @@ class Words:
     def learn(self, words: set[str]) -> None:
         if len(self._known) > WORDS_KEPT:
             self._known.clear()
-        missing = list(words - self._known.keys())
-        for start in range(0, len(missing), 10_000):
-            part = missing[start : start + 10_000]
+        known = self._known
+        missing = [w for w in words if w not in known]
+        parts = [self._parts(w) for w in missing]
+        needed = [x for x in {x for p in parts for x in p} if x not in known]
+        for start in range(0, len(needed), 10_000):
+            part = needed[start : start + 10_000]
             found = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self._known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, found))
+            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found))
+        known.update((w, known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]]) for w, p in zip(missing, parts))
+
+    @staticmethod
+    def _parts(word: str) -> tuple[str, ...]:
+        """A word in one or two parts that the tokenizer treats apart: marks
+        that follow a letter or digit are split off it. ASCII is lower-cased
+        here, as the tokenizer does, so that fewer words are distinct."""
+        if "<|" in word:  # special tokens are told by case
+            return (word,)
+        if word.isascii():
+            word = word.lower()
+        stem = word.rstrip(_TAIL)
+        if len(stem) < len(word) and stem and stem[-1].lower()[-1].isalnum():
+            return stem, word[len(stem) :]
+        return (word,)
 
     def ids(self, text: str) -> bytes:
         """Ids of a text, as 32-bit little-endian integers."""
         return self.batch([text])[0]
 
     def batch(self, batch: list[str]) -> list[bytes]:
-        split = [_SPACE.sub(" ", text).split(" ") for text in batch]
+        split = [_SPACE.split(text) if _NO_SPACE.search(text) else text.split() for text in batch]
         self.learn(set().union(*split))
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
