@@ -210,6 +210,26 @@ WHERE l_suppkey NOT IN (SELECT c_custkey FROM customer) GROUP BY l_suppkey
 """,
     "paged_scan": "SELECT page_id, url, html, count(*) OVER () AS total_count FROM pages",
     "json_envelope_unnest": ENVELOPE,
+    "page_reconcile": """
+WITH p AS (
+    SELECT doc_id % 10 AS c, length(text) - length(replace(text, chr(10), '')) + 1 AS n FROM documents
+), faults AS (
+    SELECT CASE c WHEN 1 THEN 'lost' WHEN 2 THEN 'broken' WHEN 3 THEN 'no list of records' ELSE 'short' END AS kind,
+           count(*) AS n_pages, CAST(sum(CASE WHEN c = 4 THEN n - 1 ELSE 0 END) AS BIGINT) AS n_records
+    FROM p WHERE c BETWEEN 1 AND 4 GROUP BY 1
+)
+SELECT * FROM faults
+UNION ALL
+SELECT 'with records', count(*) FILTER (n - CASE WHEN c = 4 THEN 1 ELSE 0 END > 0),
+       CAST(sum(n - CASE WHEN c = 4 THEN 1 ELSE 0 END) AS BIGINT)
+FROM p WHERE c NOT BETWEEN 1 AND 3
+""",
+    "staging_key_violations": """
+SELECT 'orders' AS table_name, o_orderkey::VARCHAR AS key_value, count(*) AS n_rows FROM orders GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'lineitem', l_orderkey || ',' || l_suppkey, count(*) FROM lineitem GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'labels', doc_id::VARCHAR, count(*) FROM labels GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'conversations', conv_id::VARCHAR, count(*) FROM conversations GROUP BY ALL HAVING count(*) > 1
+""",
     "json_validate": JSON_VALIDATE,
     "normalize_dictionary": """
 SELECT 'M' || doc_id AS chembl_id, lang AS molecule_type, source AS pref_name, n_chars AS chirality,
@@ -224,7 +244,8 @@ FROM documents JOIN labels USING (doc_id)
 SELECT 'M' || doc_id AS chembl_id, text AS canonical_smiles FROM documents WHERE lang <> 'de'
 """,
     "nan_to_null": """
-SELECT vec_id, CASE WHEN embedding[1] >= 0 THEN embedding[1]::DOUBLE END AS value FROM embeddings
+SELECT vec_id, place - 1 AS place, CASE WHEN value >= 0 THEN value::DOUBLE END AS value
+FROM (SELECT vec_id, unnest(range(1, len(embedding) + 1))::INTEGER AS place, unnest(embedding) AS value FROM embeddings)
 """,
     "avg_score": f"""
 WITH {FACT} SELECT source_chembl_id, avg(tanimoto_similarity) AS avg FROM fact GROUP BY source_chembl_id
@@ -241,16 +262,18 @@ SELECT target_chembl_id, {PIVOT_COLUMNS} FROM fact
 WHERE source_chembl_id IN ({", ".join(map(str, PIVOT_IDS))}) GROUP BY target_chembl_id
 """,
     "next_most_similar": f"""
-WITH {FACT}
+WITH {FACT}, scored AS (
+    SELECT source_chembl_id, target_chembl_id, nullif(tanimoto_similarity, 5 / 16) AS tanimoto_similarity FROM fact
+)
 SELECT source_chembl_id, target_chembl_id, tanimoto_similarity,
        lead(tanimoto_similarity, 1) OVER (
-           PARTITION BY target_chembl_id ORDER BY tanimoto_similarity DESC, source_chembl_id
+           PARTITION BY target_chembl_id ORDER BY tanimoto_similarity DESC NULLS FIRST, source_chembl_id
        ) AS next_most_similar_target,
        nth_value(target_chembl_id, 2) OVER (
-           PARTITION BY source_chembl_id ORDER BY tanimoto_similarity DESC, target_chembl_id
+           PARTITION BY source_chembl_id ORDER BY tanimoto_similarity DESC NULLS FIRST, target_chembl_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
        ) AS second_most_similar_target
-FROM fact WHERE source_chembl_id <> target_chembl_id
+FROM scored WHERE source_chembl_id <> target_chembl_id
 """,
     "grouped_averages": f"""
 WITH {FACT}, {PROPERTIES}

@@ -9,15 +9,17 @@ in any order and averages compare without rounding.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from simmart.functions.fingerprint import N_BITS, fingerprint, n_set, pack
 from simmart.functions.text import month_prefix
 from simmart.operators import dedup, normalize, quality, similarity, targets
-from simmart.plans import mart, views
-from simmart.session import tune
+from simmart.plans import ingest, mart, views
+from simmart.session import shared_dir, tune
 from simmart.sources import files, paged
-from simmart.sources.tables import fan_out, table
+from simmart.sources.tables import table
 
 PIVOT = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89]
 
@@ -31,7 +33,7 @@ def _any_text(text: Column) -> Column:
 
 
 def fingerprint_bits(spark: SparkSession, sf: str) -> DataFrame:
-    docs = fan_out(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = table(spark, sf, "documents")
     return docs.select("doc_id", fingerprint(F.col("text"), valid=_any_text).alias("fingerprint"))
 
 
@@ -50,7 +52,7 @@ def fingerprint_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fingerprint_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return files.fingerprint_files(spark, f"{sf}/documents.parquet", "doc_id", "text")
+    return files.fingerprint_files(spark, f"{sf}/documents.parquet", "doc_id bigint, text string", "text")
 
 
 def structure_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +73,7 @@ def _molecules(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
     def words(df: DataFrame) -> DataFrame:
         bits = fingerprint(F.col("text"), valid=_any_text)
-        return fan_out(df).select("chembl_id", pack(bits, N_BITS).alias("words"))
+        return df.select("chembl_id", pack(bits, N_BITS).alias("words"))
 
     return words(items), words(docs.unionByName(items))
 
@@ -180,6 +182,41 @@ def json_envelope_unnest(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "total_count", F.get_json_object("record", "$.line").alias("line"))
 
 
+def page_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document as the page of one offset, and its lines as the records;
+    one page in ten is lost, cut off, without a list, or short by a record."""
+    lines = F.transform(F.split("text", F.lit("\n")), lambda line: F.struct(line.alias("line")))
+    case = F.col("doc_id") % 10
+    last = F.when(case == 4, 1).otherwise(0)
+    total = F.struct((F.size(lines) + F.col("doc_id")).cast("bigint").alias("total_count")).alias("page_meta")
+    some = F.slice(lines, F.lit(1), F.size(lines) - last)
+    whole = F.to_json(F.struct(total, some.alias("molecules")))
+    body = (
+        F.when(case == 1, F.lit(None))
+        .when(case == 2, F.substring(whole, F.lit(1), F.length(whole) - 1))
+        .when(case == 3, F.to_json(F.struct(total, F.lit("none").alias("molecules"))))
+        .otherwise(whole)
+    )
+    pages = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("page_offset"),
+        F.when(case == 1, "lost").otherwise("ok").alias("status"),
+        body.alias("body"),
+        F.when(case == 1, "timeout").alias("problem"),
+    )
+    faults = normalize.page_faults(pages, rows=2**31 - 1)
+    kinds = faults.groupBy(F.regexp_extract("reason", "^[a-z ]+", 0).alias("kind"))
+    bad = kinds.agg(F.count("*").alias("n_pages"), F.sum("n_records").alias("n_records"))
+    records = normalize.unnest_pages(paged.good_pages(pages), keep=("page_offset",))
+    all_ = records.agg(F.countDistinct("page_offset").alias("n_pages"), F.count("*").alias("n_records"))
+    return bad.unionByName(all_.withColumn("kind", F.lit("with records")))
+
+
+def staging_key_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Four tables as staging tables, three of them with keys that repeat."""
+    keys = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_suppkey"], "labels": ["doc_id"], "conversations": ["conv_id"]}
+    return ingest.staging_key_violations({name: table(spark, sf, name) for name in keys}, keys)
+
+
 def json_validate(spark: SparkSession, sf: str) -> DataFrame:
     """Events as lookup records whose last_active is a number, a number as
     text, or text; and whose status is missing, null, or a number."""
@@ -209,7 +246,7 @@ def json_validate(spark: SparkSession, sf: str) -> DataFrame:
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, with their labels where there are any, as nested records."""
-    docs, labels = fan_out(table(spark, sf, "documents")), table(spark, sf, "labels")
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     joined = docs.join(labels, "doc_id", "left")
     properties = F.when(
         F.col("quality").isNotNull(),
@@ -251,9 +288,11 @@ def normalize_structures(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nan_to_null(spark: SparkSession, sf: str) -> DataFrame:
-    first = F.get("embedding", F.lit(0)).cast("double")
-    value = F.when(first < 0, F.lit(float("nan"))).otherwise(first)
-    return normalize.nan_to_null(table(spark, sf, "embeddings").select("vec_id", value.alias("value")), ["value"])
+    """Every element of every vector; negative ones stand for NaN."""
+    nan = F.lit(float("nan")).cast("double")
+    values = F.transform("embedding", lambda x: F.when(x < 0, nan).otherwise(x.cast("double")))
+    clean = normalize.nan_to_null(table(spark, sf, "embeddings").select("vec_id", values.alias("values")), ["values"])
+    return clean.select("vec_id", F.posexplode("values").alias("place", "value"))
 
 
 # --- mart and views
@@ -293,7 +332,9 @@ def pivot_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def next_most_similar(spark: SparkSession, sf: str) -> DataFrame:
-    return views.next_most_similar(_fact(spark, sf))
+    """A fact in which one score in eleven is null."""
+    score = F.nullif("tanimoto_similarity", F.lit(5 / 16))
+    return views.next_most_similar(_fact(spark, sf).withColumn("tanimoto_similarity", score))
 
 
 def grouped_averages(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,7 +345,11 @@ def fact_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """The lines 1-4 of the orders are the old fact, the others the new rows."""
     lines, late = table(spark, sf, "lineitem"), F.col("l_linenumber") > 4
     old, new = _pairs(lines.where(~late)), _pairs(lines.where(late))
-    return mart.upsert(old, new, mart.FACT_KEYS)
+    path = f"{shared_dir(spark)}/fact-{uuid.uuid4().hex}"
+    schema = "source_chembl_id bigint, target_chembl_id bigint, tanimoto_similarity double"
+    for rows in (old, new):
+        mart.put(spark, path, rows, mart.FACT_KEYS, schema)
+    return mart.read(spark, path, schema)
 
 
 def key_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -353,6 +398,8 @@ QUERIES = {
     "fk_violations": fk_violations,
     "paged_scan": paged_scan,
     "json_envelope_unnest": json_envelope_unnest,
+    "page_reconcile": page_reconcile,
+    "staging_key_violations": staging_key_violations,
     "json_validate": json_validate,
     "normalize_dictionary": normalize_dictionary,
     "normalize_properties": normalize_properties,

@@ -14,19 +14,46 @@ ENVELOPE = (
 )
 
 
+def _records(page: Column) -> Column:
+    """The first list of records, unless that is empty or missing: the second."""
+    first, second = page["chembl_id_lookups"], page["molecules"]
+    return F.coalesce(F.when(F.size(first) > 0, first), second, first)
+
+
 def unnest_pages(pages: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per record of each page envelope, as JSON text, with the page's
-    total. Records lie under the first list unless that is empty or missing;
-    a page whose list is neither gives no rows."""
+    total. A page without a list of records gives no row; ``page_faults`` tells
+    which pages those are."""
     page = pages.withColumn("_page", F.from_json(F.col(body), ENVELOPE))
-    first, second = F.col("_page.chembl_id_lookups"), F.col("_page.molecules")
-    records = F.coalesce(F.when(F.size(first) > 0, first), second, F.array().cast("array<string>"))
+    records = F.coalesce(_records(F.col("_page")), F.array().cast("array<string>"))
     return page.select(
         *keep, F.col("_page.page_meta.total_count").alias("total_count"), F.explode(records).alias("record")
     )
 
 
-def _only(df: DataFrame, condition: Column) -> DataFrame:
+def page_faults(pages: DataFrame, rows: int, keep: tuple[str, ...] = ("page_offset",)) -> DataFrame:
+    """Pages that are lost or broken, hold no list of records, or fewer records
+    than the total implies: the kept columns, reason and n_records. Only the
+    records of short pages can be used. Columns of the pages: page_offset,
+    status, body and problem."""
+    page = pages.withColumn("_page", F.from_json("body", ENVELOPE)).withColumn("_list", _records(F.col("_page")))
+    total = F.col("_page.page_meta.total_count")
+    due = F.least(F.lit(rows), total - F.col("page_offset"))
+    found = F.size("_list")
+    reason = (
+        F.when(F.col("status") != "ok", F.concat(F.lit("lost: "), F.coalesce("problem", F.lit("unknown"))))
+        # Null unless the text is one complete object: the parser alone would
+        # accept the start of a broken one.
+        .when(F.json_object_keys("body").isNull(), "broken: not a JSON object")
+        .when(F.col("_list").isNull() & (F.coalesce(total, F.lit(1)) > 0), "no list of records")
+        .when(found < due, F.format_string("short: %d of %d records", found, due))
+    )
+    usable = F.when(reason.startswith("short"), found).otherwise(0).cast("bigint")
+    judged = page.select(*keep, reason.alias("reason"), usable.alias("n_records"))
+    return only(judged, F.col("reason").isNotNull())
+
+
+def only(df: DataFrame, condition: Column) -> DataFrame:
     """Rows that meet the condition, as a generator that yields one row or
     none. A filter would be pushed below the projections it rests on and
     repeat the whole parse of the record inside its condition."""
@@ -128,31 +155,41 @@ def check_molecules(records: DataFrame, column: str = "record") -> DataFrame:
     )
 
 
-def accepted(checked: DataFrame) -> DataFrame:
-    return _only(checked, F.size("faults") == 0).drop("faults")
+def accepted(checked: DataFrame, *columns: str) -> DataFrame:
+    """The columns of records without a fault. They are chosen first, so that
+    a scan of stored records reads no others."""
+    return only(checked.select(*columns, "faults"), F.size("faults") == 0).drop("faults")
 
 
 def refused(checked: DataFrame, column: str = "record") -> DataFrame:
     """(record, faults) of the records that were not accepted."""
-    return _only(checked, F.size("faults") > 0).select(column, "faults")
+    return only(checked.select(column, "faults"), F.size("faults") > 0)
 
 
 def lookup_table(checked: DataFrame) -> DataFrame:
-    return accepted(checked).select(*[f.name for f in schemas.LOOKUP])
+    return accepted(checked, *[f.name for f in schemas.LOOKUP])
 
 
 def dictionary_table(checked: DataFrame) -> DataFrame:
-    return accepted(checked).select("chembl_id", "dictionary.*")
+    return accepted(checked, "chembl_id", "dictionary").select("chembl_id", "dictionary.*")
 
 
 def properties_table(checked: DataFrame) -> DataFrame:
-    return accepted(checked).where("properties is not null").select("chembl_id", "properties.*")
+    found = accepted(checked, "chembl_id", "properties")
+    return found.where("properties is not null").select("chembl_id", "properties.*")
 
 
 def structures_table(checked: DataFrame) -> DataFrame:
-    return accepted(checked).where("structures is not null").select("chembl_id", "structures.*")
+    found = accepted(checked, "chembl_id", "structures")
+    return found.where("structures is not null").select("chembl_id", "structures.*")
 
 
 def nan_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NaN becomes null in the given floating columns."""
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})
+    """NaN becomes null in the given columns of numbers or lists of numbers."""
+
+    def number(value: Column) -> Column:
+        return F.when(~F.isnan(value), value)
+
+    kinds = dict(df.dtypes)
+    lists = {c: kinds[c].startswith("array") for c in columns}
+    return df.withColumns({c: F.transform(c, number) if lists[c] else number(F.col(c)) for c in columns})

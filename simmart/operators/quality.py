@@ -26,14 +26,6 @@ def foreign_key_violations(fact: DataFrame, column: str, dim: DataFrame, key: st
     )
 
 
-def too_long(df: DataFrame, limit: int, columns: list[str]) -> DataFrame:
-    """Rows with a text longer than the declared column width."""
-    over = F.lit(False)
-    for column in columns:
-        over = over | (F.length(column) > limit)
-    return df.where(over)
-
-
 def reconcile(df: DataFrame, key: str, processed: DataFrame) -> DataFrame:
     """One row: distinct ids expected, rows processed, and whether they agree."""
     expected = df.agg(F.countDistinct(key).alias("n")).select(F.lit("expected").alias("what"), "n")
@@ -65,5 +57,4 @@ __all__ = [
     "primary_key_violations",
     "reconcile",
     "repeated_keys",
-    "too_long",
 ]

@@ -13,21 +13,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset as ds
+import pyarrow.fs as pafs
 
-WIDTH = 1024  # targets of a tile
+WIDTH = 1024  # targets of a block
+ALL_ROWS = 16_384  # sources held at a time; 4 MB of 2,048 bits
+BEST_ROWS = 65_536  # larger, as each time up to k + 1 rows per target come out
 CELLS = 1 << 18  # scores of a tile
 
 Overlap = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def word_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list<int64> column as a (rows, words) matrix of unsigned words."""
+def word_rows(column: pa.Array | pa.ChunkedArray, n_words: int) -> np.ndarray:
+    """A list<int64> column as a (rows, words) matrix of unsigned words. Rows
+    of another width raise an error: they would give plausible wrong scores."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not len(column):
-        return np.zeros((0, 0), np.uint64)
+    found = set(pc.unique(pc.list_value_length(column)).to_pylist())
+    if found - {n_words}:
+        raise ValueError(f"fingerprints of {n_words} words are needed; there are some of {sorted(found - {n_words})}")
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return np.ascontiguousarray(flat).view(np.uint64).reshape(len(column), -1)
+    return np.ascontiguousarray(flat).view(np.uint64).reshape(len(column), n_words)
 
 
 def with_words(rows):
@@ -36,26 +42,55 @@ def with_words(rows):
 
 
 class TargetBlock:
-    """Targets of one task: ids, packed words and set-bit counts."""
+    """Some targets: ids, packed words and set-bit counts."""
 
-    def __init__(self, ids: pa.Array, words: np.ndarray, start: int = 0):
+    def __init__(self, ids: pa.Array, words: np.ndarray):
         self.ids = ids
         self.words = words
-        self.start = start
         self.sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
 
     @classmethod
-    def from_arrow(cls, table: pa.Table) -> TargetBlock:
-        table = with_words(table)
-        return cls(table.column(0).combine_chunks(), word_rows(table.column(1)))
+    def from_arrow(cls, batch: pa.RecordBatch, n_words: int) -> TargetBlock:
+        batch = with_words(batch)
+        return cls(batch.column(0), word_rows(batch.column(1), n_words))
 
     def __len__(self) -> int:
         return len(self.ids)
 
-    def parts(self) -> list[TargetBlock]:
-        """Blocks of at most ``WIDTH`` targets; ``start`` is their place here."""
-        cuts = range(0, len(self), WIDTH)
-        return [TargetBlock(self.ids.slice(i, WIDTH), self.words[i : i + WIDTH], i) for i in cuts]
+
+class StoredTargets:
+    """Targets in a folder of Parquet files that every task can read. They are
+    walked block by block, so that no task holds more than one of them."""
+
+    def __init__(self, path: str, n_words: int):
+        self.path, self.n_words = path, n_words
+
+    def __iter__(self) -> Iterator[TargetBlock]:
+        system, path = pafs.FileSystem.from_uri(self.path)
+        for batch in ds.dataset(path, format="parquet", filesystem=system).to_batches(batch_size=WIDTH):
+            block = TargetBlock.from_arrow(batch, self.n_words)
+            if len(block):
+                yield block
+
+
+def gathered(batches: Iterator[pa.RecordBatch], n_words: int, rows: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and words of up to `rows` sources at a time."""
+    waiting, n = [], 0
+    for batch in map(with_words, batches):
+        while len(batch):
+            part = batch.slice(0, rows - n)
+            waiting.append(part)
+            batch, n = batch.slice(len(part)), n + len(part)
+            if n == rows:
+                yield _ids_and_words(waiting, n_words)
+                waiting, n = [], 0
+    if waiting:
+        yield _ids_and_words(waiting, n_words)
+
+
+def _ids_and_words(parts: list[pa.RecordBatch], n_words: int) -> tuple[pa.Array, np.ndarray]:
+    table = pa.Table.from_batches(parts)
+    return table.column(0).combine_chunks(), word_rows(table.column(1), n_words)
 
 
 def word_overlap(block: TargetBlock) -> Overlap:
@@ -91,9 +126,11 @@ def posting_overlap(block: TargetBlock) -> Overlap:
         end = np.cumsum(length)
         step = np.arange(end[-1] if len(end) else 0) - np.repeat(end - length, length)
         hit = listed[np.repeat(first[bit], length) + step]
-        cell = np.repeat(row, length) * len(block) + hit
-        counts = np.bincount(cell, minlength=len(sources) * len(block))
-        return counts.reshape(len(sources), len(block))[:, wanted]
+        place = np.full(len(block), -1)
+        place[wanted] = np.arange(len(wanted))
+        own = place[hit] >= 0
+        cell = np.repeat(row, length)[own] * len(wanted) + place[hit[own]]
+        return np.bincount(cell, minlength=len(sources) * len(wanted)).reshape(len(sources), len(wanted))
 
     return overlap
 
@@ -118,31 +155,26 @@ def _chunks(n_rows: int, n_targets: int) -> Iterator[slice]:
         yield slice(start, min(start + step, n_rows))
 
 
-def _self_index(source_ids: pa.Array, block: TargetBlock) -> np.ndarray:
-    """Index of the target with the source's own id, or -1."""
-    at = pc.index_in(source_ids, value_set=block.ids.cast(source_ids.type))
-    return at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+def _codes(source_ids: pa.Array, block: TargetBlock) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the sources' and targets' ids; -1 for one that no target has."""
+    values = pc.unique(block.ids.cast(source_ids.type))
+    numbers = [pc.index_in(ids.cast(source_ids.type), value_set=values) for ids in (source_ids, block.ids)]
+    return tuple(x.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for x in numbers)
 
 
-def all_scores(batches: Iterator[pa.RecordBatch], block: TargetBlock, method: str) -> Iterator[pa.RecordBatch]:
-    """Every (target, source, score) of the batches, without self pairs."""
-    parts = [(part, OVERLAPS[method](part)) for part in block.parts()]
-    if not parts:
-        return
-    for batch in map(with_words, batches):
-        if not len(batch):
-            continue
-        ids, words = batch.column(0), word_rows(batch.column(1))
+def all_scores(batches: Iterator[pa.RecordBatch], targets: StoredTargets, method: str) -> Iterator[pa.RecordBatch]:
+    """Every (target, source, score) of the batches, without pairs of one id."""
+    for ids, words in gathered(batches, targets.n_words, ALL_ROWS):
         sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
-        own = _self_index(ids, block)
-        for chunk in _chunks(len(words), len(block)):
-            for part, overlap in parts:
-                everyone = np.arange(len(part))
-                score = ratio(overlap(words[chunk], everyone), sizes[chunk], part.sizes)
-                row, target = np.nonzero(own[chunk][:, None] - part.start != everyone[None, :])
+        for block in targets:
+            overlap, everyone = OVERLAPS[method](block), np.arange(len(block))
+            own, other = _codes(ids, block)
+            for chunk in _chunks(len(words), len(block)):
+                score = ratio(overlap(words[chunk], everyone), sizes[chunk], block.sizes)
+                row, target = np.nonzero(own[chunk][:, None] != other[None, :])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.ids.take(pa.array(target)),
+                        block.ids.take(pa.array(target)),
                         ids.take(pa.array(row + chunk.start)),
                         pa.array(score[row, target]),
                     ],
@@ -184,54 +216,47 @@ class _Best:
 
 
 def best_scores(
-    batches: Iterator[pa.RecordBatch], block: TargetBlock, method: str, keep: int
+    batches: Iterator[pa.RecordBatch], targets: StoredTargets, method: str, keep: int
 ) -> Iterator[pa.RecordBatch]:
-    """The ``keep`` best sources of each target among all batches of the task.
+    """The ``keep`` best sources of each target among up to BEST_ROWS sources
+    at a time.
 
     Sources are taken in order of set-bit count. A score cannot exceed
     min(a, b) / max(a, b) of the two counts (Swamidass & Baldi, 2007), so
     targets whose floor already lies above that bound skip the chunk. The
     comparison keeps equal scores, so ties are never lost.
     """
-    parts = [(part, OVERLAPS[method](part), _Best(len(part), keep)) for part in block.parts()]
-    if not parts:
-        return
-    id_type = None
-    for batch in map(with_words, batches):
-        if not len(batch):
-            continue
-        id_type = batch.column(0).type
-        words = word_rows(batch.column(1))
+    for ids, words in gathered(batches, targets.n_words, BEST_ROWS):
         sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         order = np.argsort(sizes, kind="stable")
-        words, sizes = words[order], sizes[order]
-        own = _self_index(batch.column(0), block)[order]
-        names = batch.column(0).to_numpy(zero_copy_only=False)[order]
-        for chunk in _chunks(len(words), len(block)):
-            low, high = sizes[chunk.start], sizes[chunk.stop - 1]
-            for part, overlap, best in parts:
-                wanted = np.nonzero(_bound(part.sizes, low, high) >= best.floor)[0]
+        words, sizes, ids = words[order], sizes[order], ids.take(pa.array(order))
+        names = ids.to_numpy(zero_copy_only=False)
+        for block in targets:
+            overlap, best = OVERLAPS[method](block), _Best(len(block), keep)
+            own, other = _codes(ids, block)
+            for chunk in _chunks(len(words), len(block)):
+                low, high = sizes[chunk.start], sizes[chunk.stop - 1]
+                wanted = np.nonzero(_bound(block.sizes, low, high) >= best.floor)[0]
                 if not len(wanted):
                     continue
-                score = ratio(overlap(words[chunk], wanted), sizes[chunk], part.sizes[wanted])
-                score[own[chunk][:, None] - part.start == wanted[None, :]] = -1.0
+                score = ratio(overlap(words[chunk], wanted), sizes[chunk], block.sizes[wanted])
+                score[own[chunk][:, None] == other[wanted][None, :]] = -1.0
                 n = len(score)
                 if n > keep:
                     here = np.partition(score, n - keep, axis=0)[n - keep]
                     best.floor[wanted] = np.maximum(best.floor[wanted], here)
                 row, at = np.nonzero(score >= best.floor[wanted])
                 best.add(wanted[at], score[row, at], names[row + chunk.start])
-    for part, _, best in parts:
-        rows = best.cut()
-        if len(rows):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.ids.take(pa.array(rows["t"].to_numpy())),
-                    pa.array(rows["source"].tolist(), type=id_type),
-                    pa.array(rows["score"].to_numpy()),
-                ],
-                ["target_chembl_id", "source_chembl_id", "similarity_score"],
-            )
+            rows = best.cut()
+            if len(rows):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        block.ids.take(pa.array(rows["t"].to_numpy(np.int64))),
+                        pa.array(rows["source"].tolist(), type=ids.type),
+                        pa.array(rows["score"].to_numpy(np.float64)),
+                    ],
+                    ["target_chembl_id", "source_chembl_id", "similarity_score"],
+                )
 
 
 def _bound(sizes: np.ndarray, low: int, high: int) -> np.ndarray:

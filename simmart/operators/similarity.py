@@ -1,58 +1,45 @@
 """All-pairs Tanimoto scoring and the best k per target.
 
-Targets are one month's molecules, sources the whole fingerprint store. The
-sources are never shuffled while the targets fit a fixed broadcast bound; past
-it both sides are cut into tiles that meet in pairs, so neither side passes
-through the driver or has to fit one task.
+Targets are one month's molecules, sources the whole fingerprint store. Targets
+are written once to the shared folder, and the tasks that scan the sources walk
+them block by block. So neither side is shuffled, broadcast or collected, a
+task's memory does not grow with either, and there is one plan for every size.
+The shared folder must be of a kind that pyarrow reads (file, hdfs, s3, gs).
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from simmart.operators.scoring import TargetBlock, all_scores, best_scores
+from simmart.functions.fingerprint import N_BITS, WORD
+from simmart.operators.scoring import StoredTargets, all_scores, best_scores
+from simmart.session import shared_dir
 
-# Rows of 2,048 bits and a short id: 65,536 targets make about 20 MB.
-BROADCAST_TARGETS = 65_536
-TILE = 65_536
-FULL_TILE = 2_048  # a pair of full-score tiles yields its square in rows
+Scorer = Callable[[Iterator[pa.RecordBatch], StoredTargets], Iterator[pa.RecordBatch]]
 
-Scorer = Callable[[Iterator[pa.RecordBatch], TargetBlock], Iterator[pa.RecordBatch]]
 
-
-def pair_scores(
-    targets: DataFrame,
-    sources: DataFrame,
-    method: str = "words",
-    broadcast_targets: int = BROADCAST_TARGETS,
-    tile: int = FULL_TILE,
-) -> DataFrame:
+def pair_scores(targets: DataFrame, sources: DataFrame, method: str = "words", n_bits: int = N_BITS) -> DataFrame:
     """(target_chembl_id, source_chembl_id, similarity_score) of every target
-    with every source but itself. Both inputs hold (chembl_id, words); rows
-    without words are left out. They are dropped on the task side: a filter
+    with every source but those of its own id. Both inputs hold (chembl_id,
+    words); rows without words are left out, words of another width than
+    n_bits raise an error. Null words are dropped on the task side: a filter
     here would be pushed down and evaluate the fingerprint twice."""
-    return _score(targets, sources, lambda b, t: all_scores(b, t, method), broadcast_targets, tile)
+    return _score(targets, sources, lambda b, t: all_scores(b, t, method), n_bits)
 
 
 def top_similar(
-    targets: DataFrame,
-    sources: DataFrame,
-    k: int = 10,
-    method: str = "words",
-    broadcast_targets: int = BROADCAST_TARGETS,
-    tile: int = TILE,
+    targets: DataFrame, sources: DataFrame, k: int = 10, method: str = "words", n_bits: int = N_BITS
 ) -> DataFrame:
     """The k most similar sources of each target, with the tie flag.
 
-    Each task keeps only its own k + 1 best rows per target, so what is
-    shuffled grows with tasks x targets and not with the pairs.
+    Tasks send on k + 1 rows per target for every 65,536 sources, so what is
+    shuffled is a small part of the pairs.
     """
-    near = _score(targets, sources, lambda b, t: best_scores(b, t, method, k + 1), broadcast_targets, tile)
-    return rank_top(near, k)
+    return rank_top(_score(targets, sources, lambda b, t: best_scores(b, t, method, k + 1), n_bits), k)
 
 
 def rank_top(scored: DataFrame, k: int = 10) -> DataFrame:
@@ -75,49 +62,15 @@ def rank_top(scored: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def _score(targets: DataFrame, sources: DataFrame, scorer: Scorer, broadcast_targets: int, tile: int) -> DataFrame:
+def _score(targets: DataFrame, sources: DataFrame, scorer: Scorer, n_bits: int) -> DataFrame:
     targets = targets.select("chembl_id", "words")
     sources = sources.select("chembl_id", "words")
+    path = f"{shared_dir(targets.sparkSession)}/targets-{uuid.uuid4().hex}"
+    targets.write.parquet(path)
+    stored = StoredTargets(path, -(-n_bits // WORD))
     schema = (
         f"target_chembl_id {targets.schema['chembl_id'].dataType.simpleString()},"
         f"source_chembl_id {sources.schema['chembl_id'].dataType.simpleString()},"
         "similarity_score double"
     )
-    # The count reads no fingerprints: the words column is pruned away.
-    n_targets = targets.count()
-    if n_targets <= broadcast_targets:
-        shared = targets.sparkSession.sparkContext.broadcast(targets.toArrow())
-        return sources.mapInArrow(lambda batches: scorer(batches, TargetBlock.from_arrow(shared.value)), schema)
-    return _score_tiles(targets, sources, scorer, n_targets, tile, schema)
-
-
-def _score_tiles(
-    targets: DataFrame, sources: DataFrame, scorer: Scorer, n_targets: int, tile: int, schema: str
-) -> DataFrame:
-    """Meet every source tile with every target tile. Ids are unique (the
-    keep-first step made them so), so hashing them gives even tiles."""
-    source_tiles = max(1, math.ceil(sources.count() / tile))
-    target_tiles = max(1, math.ceil(n_targets / tile))
-
-    def tiled(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("chembl_id"), F.lit(n_own)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        )
-
-    left = tiled(sources, "s_tile", source_tiles, "t_tile", target_tiles)
-    right = tiled(targets, "t_tile", target_tiles, "s_tile", source_tiles)
-
-    def meet(near: pa.Table, block: pa.Table) -> pa.Table:
-        rows = near.select(["chembl_id", "words"]).to_batches()
-        found = list(scorer(iter(rows), TargetBlock.from_arrow(block.select(["chembl_id", "words"]))))
-        if found:
-            return pa.Table.from_batches(found)
-        return pa.table(
-            {
-                "target_chembl_id": block.column("chembl_id").slice(0, 0),
-                "source_chembl_id": near.column("chembl_id").slice(0, 0),
-                "similarity_score": pa.array([], pa.float64()),
-            }
-        )
-
-    return left.groupBy("s_tile", "t_tile").cogroup(right.groupBy("s_tile", "t_tile")).applyInArrow(meet, schema)
+    return sources.mapInArrow(lambda batches: scorer(batches, stored), schema)

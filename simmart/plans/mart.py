@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from simmart import schemas
-from simmart.operators.dedup import keep_first
 from simmart.operators.quality import foreign_key_violations, primary_key_violations
+from simmart.session import shared_dir
 
 FACT_KEYS = ["source_chembl_id", "target_chembl_id"]
 DIM_KEYS = ["chembl_id"]
+BUCKETS = 256
 
 
 def fact_rows(top: DataFrame) -> DataFrame:
@@ -26,23 +29,37 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*old.columns).unionByName(new)
 
 
-def last_of_each(new: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key, for batches that repeat a key."""
-    return keep_first(new.withColumn("_back", -F.col(order)), keys, ["_back"]).drop("_back")
-
-
-def write_version(df: DataFrame, path: str) -> None:
-    """Write a new version. An existing path is refused: the rows may be
-    computed from it, and a reader may hold it open."""
-    df.write.mode("errorifexists").parquet(path)
-
-
-def fact_or_empty(spark: SparkSession, path: str | None) -> DataFrame:
-    return spark.read.schema(schemas.FACT).parquet(path) if path else spark.createDataFrame([], schemas.FACT)
-
-
-def dim_or_empty(spark: SparkSession, path: str | None) -> DataFrame:
-    return spark.read.schema(schemas.DIM).parquet(path) if path else spark.createDataFrame([], schemas.DIM)
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def put(spark: SparkSession, path: str, new: DataFrame, keys: list[str], schema: str) -> None:
+    """Upsert into a table in place. The table is divided by the hash of the
+    keys, and only the parts that new rows fall into are read and rewritten.
+
+    The new parts are complete in a folder of their own before any replaces an
+    old one. Repeating a ``put`` that broke off gives the same table. Keys are
+    unique in the new rows, and BUCKETS numbers at most come to the driver.
+    """
+    part = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket")
+    stage = f"{shared_dir(spark)}/put-{uuid.uuid4().hex}"
+    new.select("*", part).write.parquet(f"{stage}/new")
+    rows = spark.read.parquet(f"{stage}/new")
+    touched = [r.bucket for r in rows.select("bucket").distinct().collect()]
+    if exists(spark, path):
+        old = spark.read.schema(f"{schema}, bucket int").parquet(path).where(F.col("bucket").isin(touched))
+        rows = upsert(old, rows, [*keys, "bucket"])
+    rows.repartition("bucket").write.parquet(f"{stage}/parts")
+    done = spark.read.parquet(f"{stage}/parts").write.partitionBy("bucket")
+    done.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that ``put`` keeps; an absent one is empty."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, bucket int").parquet(path).drop("bucket")
 
 
 def keys_in_fact(fact: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, is_bit_text, pack
+from simmart import schemas
+from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, pack
 from simmart.operators.dedup import drop_repeats
-from simmart.operators.similarity import pair_scores, rank_top
+from simmart.operators.similarity import pair_scores, top_similar
 from simmart.operators.targets import accepted_targets, monthly_targets, refused_lines, refused_targets
 from simmart.plans import mart
 from simmart.plans.ingest import require_settings
@@ -18,8 +19,8 @@ from simmart.sources import files
 
 @dataclass(frozen=True)
 class Month:
-    """Where one monthly run reads and writes. Fact and dimension are written
-    as new versions; the former ones, if any, are named separately."""
+    """Where one monthly run reads and writes. Fact and dimension are tables
+    into which each month puts its rows; scores are the month's own."""
 
     day: dt.date
     targets: str
@@ -30,20 +31,19 @@ class Month:
     refused: str
     fact: str
     dim: str
-    old_fact: str | None = None
-    old_dim: str | None = None
+
+    def work(self, name: str) -> str:
+        """Where stages that are read more than once are kept."""
+        return f"{self.scores}-work/{name}"
 
 
 def source_words(spark: SparkSession, folder: str, radius: int = RADIUS, n_bits: int = N_BITS) -> DataFrame:
-    """(chembl_id, words) of the fingerprint store: the first valid row of
-    each id, in file and row order."""
-    stored = require_settings(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), radius, n_bits)
-    bits = F.col("fingerprint")
-    prints = stored.where(is_bit_text(bits, n_bits) & F.col("chembl_id").isNotNull()).select(
-        "chembl_id", bits, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
-    first = drop_repeats(prints, ["chembl_id"], ["file", "row"])
-    return first.select("chembl_id", pack(bits, n_bits).alias("words"))
+    """(chembl_id, words) of the fingerprint store: the first row of each id,
+    in file and row order. The bit texts beside the words are not read."""
+    require_settings(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), radius, n_bits)
+    prints = files.fingerprint_files(spark, folder, "chembl_id string, words array<bigint>", "words", placed=True)
+    first = drop_repeats(prints.where("chembl_id is not null"), ["chembl_id"], ["file", "row"])
+    return first.select("chembl_id", "words")
 
 
 def target_words(targets: DataFrame, radius: int = RADIUS, n_bits: int = N_BITS, **rule) -> DataFrame:
@@ -53,14 +53,9 @@ def target_words(targets: DataFrame, radius: int = RADIUS, n_bits: int = N_BITS,
 
 
 def write_scores(scores: DataFrame, path: str) -> None:
-    """Write full scores so that a target's rows lie together. The rebalance
-    hint lets Spark size the files by volume and split a large target."""
-    (
-        scores.hint("rebalance", "target_chembl_id")
-        .sortWithinPartitions("target_chembl_id", F.desc("similarity_score"))
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    """Write full scores from the tasks that made them. The pairs are not
+    shuffled; in each file rows lie together by blocks of targets."""
+    scores.write.mode("overwrite").parquet(path)
 
 
 def has_files(spark: SparkSession, folder: str, day: dt.date) -> bool:
@@ -77,19 +72,24 @@ def has_files(spark: SparkSession, folder: str, day: dt.date) -> bool:
 def run(spark: SparkSession, month: Month) -> DataFrame:
     """One month: targets, full scores, top ten, fact, dimension. Returns the
     broken keys of the new mart. A month without files loads nothing new."""
-    lines = files.target_file_lines(spark, month.targets, month.day)
-    targets = monthly_targets(lines)
+    # The files are numbered and decoded once; what follows reads the lines.
+    lines = month.work("lines")
+    files.target_file_lines(spark, month.targets, month.day).write.mode("overwrite").parquet(lines)
+    lines = spark.read.parquet(lines)
     refused_lines(lines).write.mode("overwrite").parquet(f"{month.refused}/lines")
+    monthly_targets(lines).write.mode("overwrite").parquet(month.work("targets"))
+    targets = spark.read.parquet(month.work("targets"))
     refused_targets(targets).write.mode("overwrite").parquet(f"{month.refused}/targets")
+    target_words(accepted_targets(targets)).write.mode("overwrite").parquet(month.work("words"))
+    words, sources = spark.read.parquet(month.work("words")), source_words(spark, month.fingerprints)
 
-    scores = pair_scores(target_words(accepted_targets(targets)), source_words(spark, month.fingerprints))
-    write_scores(scores, month.scores)
-    # Read back, so that the ranking does not score everything again.
-    top = rank_top(spark.read.parquet(month.scores))
+    write_scores(pair_scores(words, sources), month.scores)
+    # Scored again rather than ranked from the full scores: the tasks cut to
+    # eleven per target, with bounds, and the pairs are never sorted.
+    top = top_similar(words, sources)
 
-    fact = mart.upsert(mart.fact_or_empty(spark, month.old_fact), mart.fact_rows(top), mart.FACT_KEYS)
-    mart.write_version(fact, month.fact)
-    fact = spark.read.parquet(month.fact)
+    mart.put(spark, month.fact, mart.fact_rows(top), mart.FACT_KEYS, schemas.FACT)
+    fact = mart.read(spark, month.fact, schemas.FACT)
     rows = mart.dim_rows(spark.read.parquet(month.properties), spark.read.parquet(month.dictionary), fact)
-    mart.write_version(mart.upsert(mart.dim_or_empty(spark, month.old_dim), rows, mart.DIM_KEYS), month.dim)
-    return mart.fact_faults(fact, spark.read.parquet(month.dim))
+    mart.put(spark, month.dim, rows, mart.DIM_KEYS, schemas.DIM)
+    return mart.fact_faults(fact, mart.read(spark, month.dim, schemas.DIM))

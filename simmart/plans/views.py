@@ -59,13 +59,14 @@ def pivot_scores(fact: DataFrame, ids: list = PIVOT_IDS) -> DataFrame:
 def next_most_similar(fact: DataFrame) -> DataFrame:
     """Each pair with the next lower score of its target, and, from the second
     pair of its source on, the target of that source's second pair. Equal
-    scores are ordered by id. Self pairs are left out.
+    scores are ordered by id; null scores come first. Self pairs are left out.
 
     A window over the pairs themselves would put all pairs of one popular
     source or target into one task. Both columns need less:
 
-    * the next score only depends on the target's distinct scores, which the
-      fingerprint width bounds, and on which of several equal pairs is last;
+    * the next score only depends on the target's distinct scores, and on which
+      of several equal pairs is last; scores are fractions of two counts of
+      bits, of which 2,048 bits allow some hundred thousand, and no more;
     * the second pair of a source is among its two best, so all others are cut
       before the shuffle.
 
@@ -75,14 +76,16 @@ def next_most_similar(fact: DataFrame) -> DataFrame:
         "source_chembl_id", "target_chembl_id", "tanimoto_similarity"
     )
 
-    falling = Window.partitionBy("target_chembl_id").orderBy(F.desc("tanimoto_similarity"))
+    falling = Window.partitionBy("target_chembl_id").orderBy(F.desc_nulls_first("tanimoto_similarity"))
     steps = (
         pairs.groupBy("target_chembl_id", "tanimoto_similarity")
         .agg(F.max("source_chembl_id").alias("last_source"))
         .withColumn("next_score", F.lead("tanimoto_similarity").over(falling))
     )
 
-    best = Window.partitionBy("source_chembl_id").orderBy(F.desc("tanimoto_similarity"), F.asc("target_chembl_id"))
+    best = Window.partitionBy("source_chembl_id").orderBy(
+        F.desc_nulls_first("tanimoto_similarity"), F.asc("target_chembl_id")
+    )
     ranked = pairs.withColumn("place", F.row_number().over(best)).where("place <= 2")
 
     def at(place: int):
@@ -90,7 +93,7 @@ def next_most_similar(fact: DataFrame) -> DataFrame:
 
     leaders = ranked.groupBy("source_chembl_id").agg(at(1).alias("first_target"), at(2).alias("second_target"))
 
-    stepped = splittable_join(pairs, steps, ["target_chembl_id", "tanimoto_similarity"])
+    stepped = splittable_join(pairs, steps, ["target_chembl_id", "tanimoto_similarity"], null_safe=True)
     joined = splittable_join(stepped, leaders, ["source_chembl_id"])
     is_last = F.col("source_chembl_id") == F.col("last_source")
     is_first = F.col("target_chembl_id") == F.col("first_target")
@@ -118,18 +121,19 @@ def grouped_averages(fact: DataFrame, properties: DataFrame) -> DataFrame:
     rows = per_source.join(
         properties.select(F.col("chembl_id").alias("source_chembl_id"), "aromatic_rings", "heavy_atoms"),
         "source_chembl_id",
-    )
+    ).withColumn("real", F.lit(1))
+    # An empty fact has a grand total too: one more row, that counts for nothing.
+    none = fact.sparkSession.range(1).select(F.lit(0).alias("real"))
+    rows = rows.unionByName(none, allowMissingColumns=True)
     source, rings, atoms = F.col("source_chembl_id"), F.col("aromatic_rings"), F.col("heavy_atoms")
-    mean = F.try_divide(F.sum("total"), F.sum("n")).alias("avg")
-    grouped = rows.groupingSets([[source], [rings, atoms], [atoms]], source, rings, atoms).agg(
-        mean,
+    grouped = rows.groupingSets([[source], [rings, atoms], [atoms], []], source, rings, atoms).agg(
+        F.try_divide(F.sum("total"), F.sum("n")).alias("avg"),
+        F.sum("real").alias("real"),
         F.grouping("source_chembl_id").alias("source"),
         F.grouping("aromatic_rings").alias("aromatic"),
         F.grouping("heavy_atoms").alias("heavy"),
     )
-    # On its own, because an empty grouping set yields no row for an empty fact.
-    over_all = rows.agg(mean).withColumns({flag: F.lit(1) for flag in ("source", "aromatic", "heavy")})
-    grouped = grouped.unionByName(over_all, allowMissingColumns=True)
+    grouped = grouped.where("real > 0 or source + aromatic + heavy = 3")
     return grouped.select(
         F.when(F.col("source") == 0, source.cast("string")).otherwise("TOTAL").alias("source_molecule"),
         F.when(F.col("aromatic") == 0, count_text(rings)).otherwise("TOTAL").alias("aromatic_rings"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
@@ -28,8 +31,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it."""
+    """Folder every executor can reach, as the cluster names it. Only a local
+    session, as in tests, may leave it unset: a temporary folder serves it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        raise ValueError("spark.checkpoint.dir is not set; name a folder all executors can reach")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder all executors can reach")
+        named = Path(tempfile.mkdtemp(prefix="simmart-")).as_uri()
+        spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -43,16 +43,21 @@ def target_file_lines(spark: SparkSession, folder: str, day: dt.date) -> DataFra
     bytes past ASCII is refused whichever way it is decoded, so decoding line
     by line gives the same molecules as decoding the whole file.
     """
-    raw = (
-        spark.read.option("pathGlobFilter", month_glob(day))
-        .option("lineSep", "\n")
-        .text(folder)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("id"),
-            decode_bytes(F.col("value").cast("binary")).alias("content"),
-        )
+    return numbered_lines(split_lines(spark.read.option("pathGlobFilter", month_glob(day)).option("lineSep", "\n").text(folder)))
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """(file, start, value) of what the text source reads: the file and where
+    the split begins in it."""
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """(file, line, content) of the lines of whole splits, as they were read."""
+    raw = lines.select(
+        "file", "start", F.monotonically_increasing_id().alias("id"), decode_bytes(F.col("value").cast("binary")).alias("content")
     )
     # One row per split. The ids of a split's lines are consecutive.
     splits = raw.groupBy("file", "start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
@@ -66,16 +71,30 @@ def target_file_lines(spark: SparkSession, folder: str, day: dt.date) -> DataFra
 def fingerprint_files(
     spark: SparkSession,
     folder: str,
-    id_column: str = "chembl_id",
-    bits_column: str = "fingerprint",
-    skip_corrupt: bool = True,
+    schema: str = "chembl_id string, fingerprint string",
+    bits: str = "fingerprint",
+    skip_corrupt: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
-    """The two fingerprint columns of a folder's Parquet files, nulls dropped.
-    Other file types are ignored; unreadable files are skipped on request."""
-    return (
-        spark.read.option("pathGlobFilter", "*.parquet")
+    """The named columns of a folder's Parquet files, rows without bits
+    dropped; placed adds file and row. Other file types are ignored.
+
+    The schema is declared, so that no file's fate depends on its name: an
+    unreadable file fails the read, or on request is skipped wherever it
+    stands, and then ``files_without_rows`` lists it.
+    """
+    found = (
+        spark.read.schema(schema)
+        .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", str(skip_corrupt).lower())
         .parquet(folder)
-        .select(id_column, bits_column)
-        .dropna(subset=[bits_column])
     )
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")] if placed else []
+    return found.select(*found.columns, *place).dropna(subset=[bits])
+
+
+def files_without_rows(spark: SparkSession, folder: str, read: DataFrame) -> DataFrame:
+    """(file) of a folder's Parquet files of which a ``placed`` read with
+    ``skip_corrupt`` gave no row: the skipped ones, and any that are empty."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    return listed.select(F.col("path").alias("file")).join(read.select("file").distinct(), "file", "left_anti")

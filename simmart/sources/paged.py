@@ -1,12 +1,15 @@
-"""Paged JSON source: one Spark partition per page.
+"""Paged JSON source: one Spark partition per range of pages.
 
 A fetcher knows two things: how many records there are, and the JSON text of
-the page at an offset. Spark plans one partition per offset and each task
-fetches its own page, so pages never pass through the driver.
+the page at an offset. Spark plans a bounded number of ranges of offsets and
+each task fetches the pages of its own, so pages never pass through the driver
+and the plan does not grow with them. A fetcher that can read a range in one go
+has a method ``pages`` too.
 """
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 import urllib.request
@@ -15,10 +18,12 @@ from typing import Protocol
 
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 PAGE_ROWS = 1000
+RANGES = 1024  # at most
+RANGE_PAGES = 8  # at least, where there are as many
 SCHEMA = "page_offset bigint, status string, body string, problem string"
 
 
@@ -38,8 +43,10 @@ class HttpPages:
         for attempt in range(self.tries):
             try:
                 with urllib.request.urlopen(f"{self.base_url}?{query}", timeout=self.timeout) as answer:
-                    return answer.read().decode("utf-8")
-            except OSError:
+                    text = answer.read().decode("utf-8")
+                json.loads(text)  # an answer that is cut off is asked for again
+                return text
+            except (OSError, http.client.HTTPException, ValueError):
                 if attempt + 1 == self.tries:
                     raise
                 time.sleep(self.wait)
@@ -68,23 +75,38 @@ class ParquetPages:
         return self._data().count_rows()
 
     def page(self, offset: int, limit: int) -> str:
-        records: list[dict] = []
-        passed = 0
+        return next(text for _, text in self.pages(range(offset, offset + 1), limit))
+
+    def pages(self, offsets: range, limit: int) -> Iterator[tuple[int, str]]:
+        """The pages of a range of offsets; each row group is read once."""
+        total, waiting, passed = self.total(), [], 0
+        at, end = offsets.start, min(total, offsets[-1] + limit)
+
+        def page() -> str:
+            nonlocal waiting
+            records, waiting = waiting[:limit], waiting[limit:]
+            return json.dumps({"page_meta": {"total_count": total}, self.key: records})
+
         for part in self._data().get_fragments():
             for group in part.split_by_row_group():
-                n = group.count_rows()
-                if passed + n > offset and passed < offset + limit:
+                n = sum(g.num_rows for g in group.row_groups)
+                if passed + n > offsets.start and passed < end:
                     table = group.to_table(columns=self.columns)
-                    start = max(0, offset - passed)
-                    records += table.slice(start, min(n, offset + limit - passed) - start).to_pylist()
+                    start = max(0, offsets.start - passed)
+                    waiting += table.slice(start, min(n, end - passed) - start).to_pylist()
+                    while len(waiting) >= limit:
+                        yield at, page()
+                        at += limit
                 passed += n
-        return json.dumps({"page_meta": {"total_count": passed}, self.key: records})
+        while at in offsets:  # a last page that is not full, or one past the end
+            yield at, page()
+            at += limit
 
 
-class _Page(InputPartition):
-    def __init__(self, offset: int):
-        super().__init__(offset)
-        self.offset = offset
+class _Range(InputPartition):
+    def __init__(self, offsets: range):
+        super().__init__(offsets)
+        self.offsets = offsets
 
 
 class _PageReader(DataSourceReader):
@@ -92,20 +114,35 @@ class _PageReader(DataSourceReader):
         self.fetcher, self.rows = fetcher, rows
 
     def partitions(self) -> list[InputPartition]:
-        return [_Page(offset) for offset in range(0, self.fetcher.total(), self.rows)]
+        every = range(0, self.fetcher.total(), self.rows)
+        step = max(1, min(RANGE_PAGES, len(every)), -(-len(every) // RANGES))
+        return [_Range(every[i : i + step]) for i in range(0, len(every), step)]
+
+    def _one_by_one(self, offsets: range) -> Iterator[tuple]:
+        for offset in offsets:
+            try:
+                yield offset, "ok", self.fetcher.page(offset, self.rows), None
+            except Exception as problem:  # a lost page is a row, not a failed job
+                yield offset, "lost", None, f"{type(problem).__name__}: {problem}"
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         if partition is None or partition.value is None:
             return
-        offset = partition.value
+        offsets = partition.value
+        if not hasattr(self.fetcher, "pages"):
+            yield from self._one_by_one(offsets)
+            return
         try:
-            yield offset, "ok", self.fetcher.page(offset, self.rows), None
-        except Exception as problem:  # a lost page is a row, not a failed job
-            yield offset, "lost", None, f"{type(problem).__name__}: {problem}"
+            for offset, text in self.fetcher.pages(offsets, self.rows):
+                yield offset, "ok", text, None
+                offsets = offsets[1:]
+        except Exception:  # the pages not reached are tried by themselves
+            yield from self._one_by_one(offsets)
 
 
 def pages(spark: SparkSession, fetcher: PageFetcher, rows: int = PAGE_ROWS, name: str = "paged_json") -> DataFrame:
-    """(page_offset, status, body, problem), one row per page."""
+    """(page_offset, status, body, problem), one row per page. The offset, never
+    the place, tells the page."""
 
     class Paged(DataSource):
         @classmethod
@@ -124,14 +161,3 @@ def pages(spark: SparkSession, fetcher: PageFetcher, rows: int = PAGE_ROWS, name
 
 def good_pages(fetched: DataFrame) -> DataFrame:
     return fetched.where("status = 'ok'")
-
-
-def lost_pages(fetched: DataFrame) -> DataFrame:
-    return fetched.where("status = 'lost'").select("page_offset", "problem")
-
-
-def page_totals(fetched: DataFrame) -> DataFrame:
-    """One row: pages asked for, pages lost."""
-    return fetched.agg(
-        F.count("*").alias("n_pages"), F.count_if(F.col("status") == "lost").alias("n_lost")
-    )

@@ -15,18 +15,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def fan_out(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has too few splits to use them.
-
-    For steps that cost much CPU per row. A scan that already has two or more
-    splits per core, as any large table has, is returned as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(4 * cores)
-
-
 def even_chunks(df: DataFrame, n_rows: int, chunk: int = FINGERPRINT_CHUNK) -> DataFrame:
     """Even partitions of at most ``chunk`` rows, given the row count."""
     return df.repartition(max(1, math.ceil(n_rows / chunk)))
@@ -54,8 +42,3 @@ def jdbc_table(
 def append_jdbc(df: DataFrame, url: str, name: str, **options: str) -> None:
     """Append to a database table, in batches. Failures are raised."""
     df.write.format("jdbc").options(url=url, dbtable=name, batchsize=INSERT_CHUNK, **options).mode("append").save()
-
-
-def append_table(df: DataFrame, path: str) -> None:
-    """Append to a Parquet table. Failures are raised."""
-    df.write.mode("append").parquet(path)

@@ -4,30 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from simmart import schemas
 from simmart.operators.similarity import top_similar
 from simmart.operators.targets import accepted_targets, monthly_targets
 from simmart.plans import mart
 from simmart.plans.monthly import target_words
 from simmart.session import shared_dir
-from simmart.sources.files import file_texts, text_lines
+from simmart.sources.files import numbered_lines, split_lines
 
-# The columns of the binaryFile source.
-BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+FILES_PER_BATCH = 1000
 
 
-def new_target_lines(spark: SparkSession, folder: str, glob: str = "data_*", files_per_batch: int = 1000) -> DataFrame:
-    """Stream of (file, line, content) from files not seen before."""
+def new_target_lines(
+    spark: SparkSession, folder: str, glob: str = "data_*", files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Stream of (file, start, value): lines of files not seen before, read in
+    splits, so that a file may be larger than a task."""
     found = (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE)
+        spark.readStream.format("text")
         .option("pathGlobFilter", glob)
+        .option("lineSep", "\n")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
     )
-    return text_lines(file_texts(found))
+    return split_lines(found)
 
 
 def load_new_targets(
@@ -36,38 +39,43 @@ def load_new_targets(
     name: str,
     load: Callable[[DataFrame, int], None],
     glob: str = "data_*",
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Hand the lines of new files to ``load(batch, batch_id)``, then stop.
-
-    Progress is kept under ``name``, which must be the stream's own, in the
-    cluster's shared folder. A batch may be handed over again after a failure,
-    so ``load`` has to give the same result when repeated.
+    """Hand the numbered lines of new files to ``load(lines, batch_id)``, then
+    stop. Progress is kept under ``name``, which must be the stream's own, in
+    the cluster's shared folder. A batch may be handed over again after a
+    failure, so ``load`` has to give the same result when repeated.
     """
     return (
-        new_target_lines(spark, folder, glob)
-        .writeStream.foreachBatch(load)
+        new_target_lines(spark, folder, glob, files_per_batch)
+        .writeStream.foreachBatch(lambda lines, batch_id: load(numbered_lines(lines), batch_id))
         .option("checkpointLocation", f"{shared_dir(spark)}/{name}")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def fact_version(root: str, batch_id: int) -> str:
-    return f"{root}/version={batch_id}"
-
+class FactLoader:
+    """A ``load`` that scores each batch's targets against ``sources`` and puts
+    their top ten into the fact table at ``root``/fact.
 
-def fact_loader(sources: DataFrame, root: str) -> Callable[[DataFrame, int], None]:
-    """A ``load`` that scores each batch's targets against ``sources`` and
-    upserts their top ten. Version n of the fact is version n - 1 with batch
-    n put in, so a repeated batch writes the same version again."""
-
-    def load(lines: DataFrame, batch_id: int) -> None:
-        spark = lines.sparkSession
-        # Read by three jobs (count, broadcast, ranking); the files only once.
-        targets = target_words(accepted_targets(monthly_targets(lines))).persist()
-        new = mart.fact_rows(top_similar(targets, sources))
-        old = mart.fact_or_empty(spark, fact_version(root, batch_id - 1) if batch_id else None)
-        mart.upsert(old, new, mart.FACT_KEYS).write.mode("overwrite").parquet(fact_version(root, batch_id))
-        targets.unpersist()
+    The ids seen in each batch are kept beside the fact, and an id that another
+    batch has seen is not scored again. So the first row of an id counts,
+    however many files come in a batch, and also after the stream's progress
+    was lost, if the new one gets another ``run`` name. A repeated batch puts
+    the same rows in again.
+    """
 
-    return load
+    def __init__(self, sources: DataFrame, root: str, run: str) -> None:
+        self.sources, self.root, self.run = sources, root, run
+
+    def __call__(self, lines: DataFrame, batch_id: int) -> None:
+        spark, own, seen = lines.sparkSession, f"{self.run}-{batch_id}", f"{self.root}/seen"
+        found = monthly_targets(lines)
+        if mart.exists(spark, seen):
+            held = spark.read.schema(f"{schemas.TARGET}, batch string").parquet(seen).where(F.col("batch") != own)
+            found = found.join(held.select("chembl_id"), "chembl_id", "left_anti")
+        found.write.mode("overwrite").parquet(f"{seen}/batch={own}")
+        new = target_words(accepted_targets(spark.read.schema(schemas.TARGET).parquet(f"{seen}/batch={own}")))
+        rows = mart.fact_rows(top_similar(new, self.sources))
+        mart.put(spark, f"{self.root}/fact", rows, mart.FACT_KEYS, schemas.FACT)

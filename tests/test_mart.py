@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 import uuid
 
 import pytest
@@ -7,8 +8,10 @@ from pyspark.sql import functions as F
 
 from simmart import schemas
 from simmart.operators import dedup, quality
+from simmart.operators.similarity import top_similar
+from simmart.operators.skew import splittable_join
 from simmart.plans import ingest, mart, monthly, views
-from simmart.sources import tables
+from simmart.sources import files, tables
 from simmart.streaming import targets as stream
 
 
@@ -26,17 +29,6 @@ def test_upsert_replaces_appends_and_repeats(spark):
     assert sorted(twice.collect()) == sorted(once.collect())
 
 
-def test_last_of_each(spark):
-    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, n int, v string")
-    assert {(r.k, r.v) for r in mart.last_of_each(df, ["k"], "n").collect()} == {("a", "y"), ("b", "z")}
-
-
-def test_versions_are_never_overwritten(spark, tmp_path):
-    mart.write_version(fact(spark, [("a", "t", 0.1)]), str(tmp_path / "v1"))
-    with pytest.raises(Exception, match="(?i)exists"):
-        mart.write_version(fact(spark, [("a", "t", 0.2)]), str(tmp_path / "v1"))
-
-
 def test_dimension_rows(spark):
     properties = spark.createDataFrame(
         [("a", "1.5", "NULL", 2.5), ("b", "x", "2", 3.5), ("c", "1", "1", 1.0), ("d", "1", "1", 1.0)],
@@ -59,8 +51,6 @@ def test_key_checks(spark):
     assert found == {("a", 1, 2), (None, 2, 1)}
     dim = spark.createDataFrame([("a",)], "id string")
     assert [tuple(r) for r in quality.foreign_key_violations(df, "k", dim, "id").collect()] == [("k", "b", 1)]
-    long = quality.too_long(df, 0, ["k"])
-    assert long.count() == 3
 
 
 def test_duplicates(spark):
@@ -77,15 +67,27 @@ def test_drop_repeats_equals_keep_first(spark):
     assert sorted(wide.collect()) == sorted(dedup.keep_first(df, ["k"], ["f", "i"]).collect())
 
 
-def test_sources_skip_invalid_rows_before_the_first_is_taken(spark, tmp_path):
-    good, other = "01" * 1024, "10" * 1024
-    spark.createDataFrame([("a", "bad"), ("b", good)], schemas.FINGERPRINT).coalesce(1).write.parquet(f"{tmp_path}/p/1")
-    rows = [("a", good), ("a", other), ("c", None), ("b", "01"), ("d", other)]
-    spark.createDataFrame(rows, schemas.FINGERPRINT).coalesce(1).write.mode("append").parquet(f"{tmp_path}/p/2")
-    both = spark.read.parquet(f"{tmp_path}/p/1", f"{tmp_path}/p/2")
-    both.coalesce(1).write.parquet(f"{tmp_path}/q")
+def test_sources_are_the_first_of_each_id(spark, tmp_path):
+    a, b = "01" * 1024, "10" * 1024
+    for rows in ([("a", a), ("b", None)], [("a", b), ("b", b), ("c", a)]):
+        ingest.write_fingerprints(spark.createDataFrame(rows, schemas.FINGERPRINT).coalesce(1), f"{tmp_path}/{len(rows)}")
+    both = spark.read.parquet(f"{tmp_path}/2").unionByName(spark.read.parquet(f"{tmp_path}/3"))
+    meta = spark.read.parquet(f"{tmp_path}/2").schema["fingerprint"].metadata
+    both.select("chembl_id", F.col("fingerprint").alias("fingerprint", metadata=meta), "words").coalesce(1).write.parquet(f"{tmp_path}/q")
     found = {r.chembl_id: r.words[0] for r in monthly.source_words(spark, f"{tmp_path}/q").collect()}
-    assert set(found) == {"a", "b", "d"} and found["b"] == 0x5555555555555555
+    assert found == {"a": 0x5555555555555555, "b": -0x5555555555555556, "c": 0x5555555555555555}
+
+
+@pytest.mark.parametrize("name", ["a-first", "z-last"])
+def test_a_corrupt_file_is_told_wherever_it_stands(spark, tmp_path, name):
+    spark.createDataFrame([("a", "01"), ("b", None)], schemas.FINGERPRINT).coalesce(1).write.parquet(f"{tmp_path}/p")
+    (tmp_path / "p" / f"{name}.parquet").write_bytes(b"PAR1 not a file of columns PAR1")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        files.fingerprint_files(spark, f"{tmp_path}/p").collect()
+    read = files.fingerprint_files(spark, f"{tmp_path}/p", skip_corrupt=True, placed=True)
+    assert [r.chembl_id for r in read.collect()] == ["a"]
+    skipped = [r.file for r in files.files_without_rows(spark, f"{tmp_path}/p", read).collect()]
+    assert [f.rsplit("/", 1)[1] for f in skipped] == [f"{name}.parquet"]
 
 
 def test_reconcile(spark):
@@ -102,16 +104,11 @@ def test_row_counter(spark, tmp_path):
     assert seen.get == {"n_rows": 7}
 
 
-def test_even_chunks_and_fan_out(spark, tmp_path):
+def test_even_chunks(spark):
     df = spark.range(1000)
     sizes = [len(p) for p in tables.even_chunks(df, 1000, 300).rdd.glom().collect()]
     assert len(sizes) == 4 and max(sizes) - min(sizes) <= 4
     assert tables.even_chunks(df.where("id < 0"), 0).count() == 0
-    assert tables.fan_out(spark.range(0, 100, 1, 64)).rdd.getNumPartitions() == 64
-    assert tables.fan_out(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 16
-    tables.append_table(df, str(tmp_path / "t"))
-    tables.append_table(df, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2000
 
 
 # --- views against their definition in plain SQL windows, with one hot source
@@ -124,7 +121,31 @@ def skewed(spark):
     pairs = {("s0", f"t{i}") for i in range(300)} | {(f"s{i}", "t0") for i in range(300)}
     pairs |= {(f"s{rng.randrange(40)}", f"t{rng.randrange(40)}") for _ in range(300)}
     pairs |= {("x", "x"), ("y", "y"), ("only", "t1")}
-    return fact(spark, [(s, t, rng.choice([0.1, 0.25, 0.5, 0.5, 0.75, 1.0])) for s, t in sorted(pairs)])
+    return fact(spark, [(s, t, rng.choice([0.1, None, 0.25, 0.5, 0.5, 0.75, 1.0])) for s, t in sorted(pairs)])
+
+
+@pytest.mark.parametrize(
+    "left, right", [("int", "bigint"), ("bigint", "int"), ("float", "double"), ("date", "timestamp"), ("string", "string")]
+)
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_splittable_join_is_a_join(spark, left, right, null_safe, how):
+    day = "'2024-01-0' || " if left == "date" else ""
+    values = [1, 2, 2, None, 3]
+    many = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v int, i int").selectExpr(f"cast({day} v as {left}) k", "i")
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d")], "v int, w string").selectExpr(f"cast({day} v as {right}) k", "w")
+    found = splittable_join(many, one, ["k"], how, null_safe)
+    assert found.columns == ["k", "i", "w"]
+    partner = {1: "a", 2: "b"} | ({None: "n"} if null_safe else {})
+    expected = {(i, partner.get(v)) for i, v in enumerate(values) if how == "left" or v in partner}
+    assert {(r.i, r.w) for r in found.collect()} == expected
+
+
+def test_deviation_with_unlike_key_types(spark):
+    pairs = spark.createDataFrame([(1, 2, 0.5)], "source_chembl_id bigint, target_chembl_id bigint, tanimoto_similarity double")
+    for kind in ("int", "bigint"):
+        dim = spark.createDataFrame([(1, 1.0), (2, 4.0)], f"chembl_id {kind}, alogp double")
+        assert views.average_deviation(pairs, dim).first()[:] == (1, 3.0)
 
 
 def test_next_most_similar_equals_windows(spark, skewed):
@@ -132,9 +153,9 @@ def test_next_most_similar_equals_windows(spark, skewed):
     plain = spark.sql("""
         SELECT source_chembl_id, target_chembl_id, tanimoto_similarity,
                lead(tanimoto_similarity, 1) OVER (PARTITION BY target_chembl_id
-                   ORDER BY tanimoto_similarity DESC, source_chembl_id) AS next_most_similar_target,
+                   ORDER BY tanimoto_similarity DESC NULLS FIRST, source_chembl_id) AS next_most_similar_target,
                nth_value(target_chembl_id, 2) OVER (PARTITION BY source_chembl_id
-                   ORDER BY tanimoto_similarity DESC, target_chembl_id
+                   ORDER BY tanimoto_similarity DESC NULLS FIRST, target_chembl_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS second_most_similar_target
         FROM skewed WHERE source_chembl_id <> target_chembl_id""")
     ours = views.next_most_similar(skewed)
@@ -232,11 +253,11 @@ def prepare(spark, root):
     ids.withColumns({f.name: F.lit(None).cast(f.dtype) for f in schemas.DICTIONARY}).drop("id").write.parquet(f"{root}/dictionary")
 
 
-def month(root, day, name, **old):
+def month(root, day, name):
     return monthly.Month(
         day=day, targets=f"{root}/in", fingerprints=f"{root}/prints", properties=f"{root}/properties",
         dictionary=f"{root}/dictionary", scores=f"{root}/{name}/scores", refused=f"{root}/{name}/refused",
-        fact=f"{root}/{name}/fact", dim=f"{root}/{name}/dim", **old,
+        fact=f"{root}/fact", dim=f"{root}/dim",
     )
 
 
@@ -251,55 +272,69 @@ def test_two_months(spark, tmp_path):
     assert not monthly.has_files(spark, f"{root}/in", dt.date(2024, 10, 1))
     faults = monthly.run(spark, month(root, dt.date(2024, 8, 1), "m8"))
     assert faults.count() == 0
-    first = spark.read.parquet(f"{root}/m8/fact")
+    first = mart.read(spark, f"{root}/fact", schemas.FACT)
     assert {(r.target_chembl_id, r["count"]) for r in first.groupBy("target_chembl_id").count().collect()} == {("S1", 10), ("S2", 10)}
     assert spark.read.parquet(f"{root}/m8/scores").count() == 2 * 39
     assert [r.reason for r in spark.read.parquet(f"{root}/m8/refused/lines").collect()] == ["malformed"]
     assert [r.chembl_id for r in spark.read.parquet(f"{root}/m8/refused/targets").collect()] == ["S3"]
     assert first.where("target_chembl_id = source_chembl_id").count() == 0
 
-    second = monthly.run(
-        spark, month(root, dt.date(2024, 9, 1), "m9", old_fact=f"{root}/m8/fact", old_dim=f"{root}/m8/dim")
-    )
+    first = spark.createDataFrame(first.collect(), schemas.FACT)
+    second = monthly.run(spark, month(root, dt.date(2024, 9, 1), "m9"))
     assert second.count() == 0
-    both = spark.read.parquet(f"{root}/m9/fact")
+    both = mart.read(spark, f"{root}/fact", schemas.FACT)
     assert {r.target_chembl_id for r in both.select("target_chembl_id").distinct().collect()} == {"S1", "S2", "S4"}
     assert both.groupBy(*mart.FACT_KEYS).count().where("count > 1").count() == 0
     assert both.join(first.where("target_chembl_id = 'S1'"), first.columns, "left_semi").count() == 10
 
-    empty = monthly.run(spark, month(root, dt.date(2024, 10, 1), "m10", old_fact=f"{root}/m9/fact", old_dim=f"{root}/m9/dim"))
-    assert empty.count() == 0
-    assert sorted(spark.read.parquet(f"{root}/m10/fact").collect()) == sorted(both.collect())
-
-
-def test_stream_takes_each_file_once(spark, tmp_path):
+    both = both.collect()
+    assert monthly.run(spark, month(root, dt.date(2024, 10, 1), "m10")).count() == 0
+    assert sorted(mart.read(spark, f"{root}/fact", schemas.FACT).collect()) == sorted(both)
+
+
+def test_put_rewrites_touched_parts_only(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = [(f"s{i}", f"t{i % 7}", i / 100) for i in range(100)]
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").rglob("*.parquet")}
+    mart.put(spark, path, fact(spark, rows), mart.FACT_KEYS, schemas.FACT)
+    before = files()
+    new = [("s3", "t3", 0.9), ("x", "y", 0.8)]
+    for _ in range(2):
+        mart.put(spark, path, fact(spark, new), mart.FACT_KEYS, schemas.FACT)
+    expected = {(s, t): v for s, t, v in [*rows, *new]}
+    found = mart.read(spark, path, schemas.FACT).collect()
+    assert {(r.source_chembl_id, r.target_chembl_id): r.tanimoto_similarity for r in found} == expected and len(found) == 101
+    parts = {p.parent.name for p in set(before) ^ set(files())}
+    assert len(parts) <= 2 and len({p.parent.name for p in before}) > 50
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_stream_takes_each_file_once(spark, tmp_path, files_per_batch):
+    """One fact, however many files come in a batch, also when batches are
+    repeated, and when the progress is lost."""
     root = str(tmp_path)
     prepare(spark, root)
     (tmp_path / "in").mkdir()
-    seen, name = [], f"new_targets_{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        with pytest.raises(ValueError):
-            stream.load_new_targets(spark, f"{root}/in", name, print)
-        spark.conf.set("spark.checkpoint.dir", f"{root}/shared")
+    sources = monthly.source_words(spark, f"{root}/prints")
 
-    def run(load):
-        stream.load_new_targets(spark, f"{root}/in", name, load).awaitTermination()
+    def run(name):
+        load = stream.FactLoader(sources, f"{root}/stream", name)
 
-    load = stream.fact_loader(monthly.source_words(spark, f"{root}/prints"), f"{root}/stream_fact")
+        def twice(lines, batch_id):
+            load(lines, batch_id)
+            load(lines, batch_id)
 
-    def both(lines, batch_id):
-        seen.append((batch_id, lines.select("file").distinct().count()))
-        load(lines, batch_id)
-        load(lines, batch_id)  # a repeated batch changes nothing
+        stream.load_new_targets(spark, f"{root}/in", name, twice, files_per_batch=files_per_batch).awaitTermination()
+        return mart.read(spark, f"{root}/stream/fact", schemas.FACT).collect()
 
-    (tmp_path / "in" / "data_08_2024.csv").write_text("h\nS1,CCN\n")
+    first, other = (f"targets_{uuid.uuid4().hex}" for _ in range(2))
+    for month_, text in (("07", "h\nS1,CCN\nS3,C(\n"), ("08", "h\nS1,NN\nS2,CCCNN\n"), ("09", "h\nS3,CC\n")):
+        (tmp_path / "in" / f"data_{month_}_2024.csv").write_text(text)
+        time.sleep(0.02)
     (tmp_path / "in" / "other.csv").write_text("h\nS9,CCN\n")
-    run(both)
-    run(both)
-    (tmp_path / "in" / "data_09_2024.csv").write_text("h\nS1,NN\nS2,CCCNN\n")
-    run(both)
-    assert seen == [(0, 1), (1, 1)]
-    first = spark.read.parquet(stream.fact_version(f"{root}/stream_fact", 0))
-    second = spark.read.parquet(stream.fact_version(f"{root}/stream_fact", 1))
-    assert first.count() == 10 and {r.target_chembl_id for r in second.collect()} == {"S1", "S2"}
-    assert second.groupBy(*mart.FACT_KEYS).count().where("count > 1").count() == 0
+    expected = mart.fact_rows(
+        top_similar(monthly.target_words(spark.createDataFrame([("S1", "CCN"), ("S2", "CCCNN")], schemas.TARGET)), sources)
+    ).collect()
+    assert sorted(run(first)) == sorted(expected) and len(expected) == 20
+    assert sorted(run(first)) == sorted(expected)
+    assert sorted(run(other)) == sorted(expected)

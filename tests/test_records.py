@@ -6,10 +6,12 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from simmart import schemas
+from simmart.functions.fingerprint import pack
 from simmart.operators import normalize
 from simmart.plans import ingest
 from simmart.sources import paged
 
+# The fields of both kinds of record.
 LOOKUP = {
     "chembl_id": "CHEMBL1",
     "entity_type": "COMPOUND",
@@ -179,7 +181,9 @@ class Pages:
 
 def test_pages_become_partitions(spark):
     fetched = paged.pages(spark, Pages(2500), name="t_pages")
-    assert fetched.rdd.getNumPartitions() == 3
+    assert fetched.rdd.getNumPartitions() == 1
+    many = paged.pages(spark, Pages(30_000_000), name="t_many")
+    assert many.rdd.getNumPartitions() <= paged.RANGES
     assert sorted(r.page_offset for r in fetched.collect()) == [0, 1000, 2000]
     rows = normalize.unnest_pages(paged.good_pages(fetched))
     assert rows.select(F.get_json_object("record", "$.i").cast("int").alias("i")).agg(F.sum("i"), F.count("i")).first()[:] == (
@@ -190,8 +194,48 @@ def test_pages_become_partitions(spark):
 def test_lost_page_is_reported(spark):
     fetched = paged.pages(spark, Pages(2500, lost={1000}), name="t_lost")
     assert normalize.unnest_pages(paged.good_pages(fetched)).count() == 1500
-    assert paged.lost_pages(fetched).first()[:] == (1000, "OSError: gone")
-    assert paged.page_totals(fetched).first()[:] == (3, 1)
+    assert normalize.page_faults(fetched, 1000).first()[:] == (1000, "lost: OSError: gone", 0)
+
+
+def test_ranges_of_a_table(spark, tmp_path):
+    """Pages that cross row groups and files, a last one that is not full, and
+    one past the end."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for part in range(3):
+        pq.write_table(pa.table({"i": range(part * 25, part * 25 + 25)}), tmp_path / f"{part}.parquet", row_group_size=7)
+    fetcher = paged.ParquetPages(str(tmp_path), ["i"])
+    found = {r.page_offset: [x["i"] for x in json.loads(r.body)["molecules"]] for r in paged.pages(spark, fetcher, 4, "t_ranges").collect()}
+    assert found == {at: list(range(at, min(75, at + 4))) for at in range(0, 75, 4)}
+    assert json.loads(fetcher.page(73, 4))["molecules"] == [{"i": 73}, {"i": 74}]
+    assert json.loads(fetcher.page(75, 4))["molecules"] == []
+
+
+def test_every_kind_of_page_fault(spark, tmp_path):
+    """One failing, one cut-off and one short page of lookups, and none of
+    molecules: the job tells all three and does not match."""
+
+    class Damaged(Pages):
+        def page(self, offset, limit):
+            text = super().page(offset, limit)
+            if offset == 10:
+                return text[:-1]
+            if offset == 20:
+                data = json.loads(text)
+                return json.dumps({**data, self.key: data[self.key][:-2]})
+            return text
+
+    lookups = Damaged(45, lost={30}, make=lambda i: {**LOOKUP, "chembl_id": f"L{i}"}, key="chembl_id_lookups")
+    out = ingest.Staging(str(tmp_path), "7")
+    steps = {r.step: r for r in ingest.run(spark, lookups, Pages(0), out, rows=10).collect()}
+    faults = {r.page_offset: (r.reason, r.n_records) for r in spark.read.parquet(out.path("page_faults_lookups")).collect()}
+    assert faults == {
+        10: ("broken: not a JSON object", 0), 20: ("short: 8 of 10 records", 8), 30: ("lost: OSError: gone", 0),
+    }
+    assert steps["lookup records"][1:] == (45, 23, False)
+    assert steps["lookup page faults"][1:] == (0, 3, False)
+    assert steps["molecule records"].matches and steps["molecule page faults"].matches
 
 
 def test_no_records(spark):
@@ -245,18 +289,39 @@ def test_ingest_job(spark, tmp_path):
 
     lookups = Pages(30, make=lambda i: {**LOOKUP, "chembl_id": f"L{i}"}, key="chembl_id_lookups")
     out = ingest.Staging(str(tmp_path))
-    check = ingest.run(spark, lookups, Pages(100, make=molecule), out).first()
+    for _ in range(2):  # a repeated run changes nothing
+        steps = {r.step: tuple(r)[1:] for r in ingest.run(spark, lookups, Pages(100, make=molecule), out).collect()}
     count = lambda name: spark.read.parquet(out.path(name)).count()
     assert count("staging_chembl_id_lookup") == 30
     assert count("staging_molecule_dictionary") == 90
     assert count("staging_compound_properties") == 90
     assert count("staging_compound_structures") == 80
     assert count("refused_molecules") == 10 and count("refused_lookups") == 0
-    assert (check.expected, check.actual, check.matches) == (80, 70, False)
+    assert steps == {
+        "lookup records": (30, 30, True), "lookup page faults": (0, 0, True), "molecule records": (100, 100, True),
+        "molecule page faults": (0, 0, True), "broken keys": (0, 0, True), "fingerprints": (80, 70, False),
+    }
     prints = spark.read.parquet(out.path("fingerprints"))
     assert ingest.require_settings(prints) is prints
     with pytest.raises(ValueError):
         ingest.require_settings(prints, radius=3)
+    with pytest.raises(ValueError):
+        ingest.require_settings(prints.select(F.col("fingerprint").alias("fingerprint", metadata={})))
+    checked = spark.read.parquet(out.path("checked_molecules"))
+    plan = normalize.structures_table(checked)._jdf.queryExecution().executedPlan().toString()
+    scanned = plan[plan.index("ReadSchema") :]
+    assert "structures" in scanned and "dictionary" not in scanned and "properties" not in scanned
+
+
+def test_fingerprints_are_computed_once(spark, tmp_path):
+    """The plan that is written holds the hash of the substrings once."""
+    rows = spark.createDataFrame([("a", "CC"), ("b", "C(")], "chembl_id string, canonical_smiles string")
+    prints = ingest.fingerprints(rows)
+    kept = normalize.only(prints, F.col("fingerprint").isNotNull())
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    ingest.write_fingerprints(prints, str(tmp_path / "p"))
+    found = spark.read.parquet(str(tmp_path / "p")).select("chembl_id", "words", pack(F.col("fingerprint")).alias("same")).collect()
+    assert [(r.chembl_id, r.words == r.same) for r in found] == [("a", True)]
 
 
 def test_batch_fingerprint_function(spark):

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from simmart.functions.fingerprint import pack
+from simmart.operators import scoring
 from simmart.operators.similarity import pair_scores, rank_top, top_similar
 
+BITS = 128
 FLAG = "has_duplicates_of_last_largest_score"
 
 
@@ -53,28 +55,31 @@ def case():
 
 
 @pytest.mark.parametrize("method", ["words", "postings"])
-@pytest.mark.parametrize("bound", [1000, 0])
-def test_all_plans_equal_brute_force(spark, case, method, bound):
+@pytest.mark.parametrize("block, rows", [(1024, 65_536), (4, 32)])
+def test_scores_equal_brute_force(spark, case, method, block, rows, monkeypatch):
+    """With one block of targets, and with many blocks and refilled sources."""
+    for name, value in (("WIDTH", block), ("ALL_ROWS", rows), ("BEST_ROWS", rows)):
+        monkeypatch.setattr(scoring, name, value)
     targets, sources = case
     scores = brute(targets, sources)
     t, s = words(spark, targets), words(spark, sources).repartition(5)
-    full = pair_scores(t, s, method, bound, tile=64)
+    full = pair_scores(t, s, method, BITS)
     assert {tuple(r) for r in full.collect()} == set(scores)
     assert full.count() == len(scores)
-    top = top_similar(t, s, 10, method, bound, tile=64)
+    top = top_similar(t, s, 10, method, BITS)
     assert {tuple(r) for r in top.collect()} == brute_top(scores)
 
 
 def test_rank_top_of_full_scores(spark, case):
     targets, sources = case
-    full = pair_scores(words(spark, targets), words(spark, sources))
+    full = pair_scores(words(spark, targets), words(spark, sources), n_bits=BITS)
     assert {tuple(r) for r in rank_top(full).collect()} == brute_top(brute(targets, sources))
 
 
 @pytest.mark.parametrize("k", [1, 3])
 def test_other_k(spark, case, k):
     targets, sources = case
-    top = top_similar(words(spark, targets), words(spark, sources), k)
+    top = top_similar(words(spark, targets), words(spark, sources), k, n_bits=BITS)
     assert {tuple(r) for r in top.collect()} == brute_top(brute(targets, sources), k)
 
 
@@ -83,7 +88,7 @@ def test_hot_copies_keep_every_tie(spark):
     sources = [(f"c{i:03}", "1100" * 16) for i in range(120)] + random_rows(7, 240, "r", copies=0)
     targets = [("c000", "1100" * 16)]
     short = [(n, b[:64]) for n, b in sources]
-    top = top_similar(words(spark, targets), words(spark, short).repartition(7))
+    top = top_similar(words(spark, targets), words(spark, short).repartition(7), n_bits=64)
     rows = top.orderBy("source_chembl_id").collect()
     assert [r.source_chembl_id for r in rows] == [f"c{i:03}" for i in range(1, 11)]
     assert [r[FLAG] for r in rows] == [False] * 9 + [True]
@@ -92,25 +97,38 @@ def test_hot_copies_keep_every_tie(spark):
 def test_number_ids(spark):
     t = spark.createDataFrame([(1, "1100" * 16), (2, "1010" * 16)], "chembl_id bigint, bits string")
     w = t.select("chembl_id", pack(F.col("bits")).alias("words"))
-    rows = top_similar(w, w).collect()
+    rows = top_similar(w, w, n_bits=64).collect()
     assert {(r.target_chembl_id, r.source_chembl_id) for r in rows} == {(1, 2), (2, 1)}
 
 
 def test_no_targets_or_no_sources(spark):
     some, none = words(spark, random_rows(1, 4, "m")), words(spark, [("x", None)]).where("1 = 0")
-    for bound in (10, -1):
-        assert top_similar(none, some, broadcast_targets=bound).count() == 0
-        assert top_similar(some, none, broadcast_targets=bound).count() == 0
+    assert top_similar(none, some, n_bits=BITS).count() == 0
+    assert top_similar(some, none, n_bits=BITS).count() == 0
+
+
+def test_unlike_widths_raise(spark):
+    wide, narrow = words(spark, [("a", "1100" * 32)]), words(spark, [("b", "1100" * 16)])
+    for t, s, n in ((wide, narrow, 128), (narrow, wide, 128), (wide, wide, 64), (wide.unionByName(narrow).coalesce(1), wide, 128)):
+        with pytest.raises(Exception, match="fingerprints of [12] words are needed"):
+            pair_scores(t, s, n_bits=n).collect()
+
+
+def test_repeated_target_ids_keep_no_self_pair(spark):
+    t = words(spark, [("x", "1100" * 16), ("x", "1100" * 16), ("y", "1010" * 16)])
+    rows = [tuple(r)[:2] for r in pair_scores(t, t, n_bits=64).collect()]
+    assert sorted(rows) == [("x", "y")] * 2 + [("y", "x")] * 2
 
 
 @pytest.mark.parametrize(
     "scores, flag",
     [
+        # The known case of a tie.
         ([0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.05], True),
-        ([0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.04], False),
-        ([0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05], False),
-        ([0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1], False),
-        ([0.9, 0.9, 0.9, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.01], False),
+        ([i / 12 for i in range(11, 0, -1)], False),
+        ([i / 16 for i in range(10, 0, -1)], False),
+        ([i / 16 for i in range(9, 0, -1)], False),
+        ([0.75] * 3 + [i / 32 for i in range(8, 0, -1)], False),
     ],
 )
 def test_tie_flag(spark, scores, flag):
@@ -127,7 +145,7 @@ def test_ranking_is_cut_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_sources_are_not_shuffled_below_the_bound(spark, case):
+def test_neither_side_is_shuffled(spark, case):
     targets, sources = case
-    plan = pair_scores(words(spark, targets), words(spark, sources))._jdf.queryExecution().executedPlan().toString()
+    plan = pair_scores(words(spark, targets), words(spark, sources), n_bits=BITS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
