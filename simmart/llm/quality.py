@@ -167,7 +167,7 @@ def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     chosen = usable.where(place <= int(share * 2.0**62)).limit(SAMPLE)
     sample = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
     found = measured(sample, "text", ("key", "label")).limit(2 * SAMPLE).toArrow().sort_by("key")
-    x = np.array(found["statistics"].to_pylist(), np.float64).reshape(found.num_rows, -1)
+    x = np.array(found["statistics"].to_pylist(), np.float64).reshape(found.num_rows, -1 if found.num_rows else 1)
     return grow(x, np.array(found["label"].to_pylist(), np.float64))
 
 
