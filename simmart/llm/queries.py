@@ -81,8 +81,8 @@ QUERIES = {
 
 # SHA-1 in base 32: the bits of the hex digits in groups of five.
 _BASE32 = """
-    array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-        1 + CAST(list_sum(list_transform(range(5), j ->
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST(list_sum(list_transform(range(5), lambda j:
             (((instr('0123456789abcdef', substr(h, CAST((5 * i + j) // 4 + 1 AS INTEGER), 1)) - 1)
               >> CAST(3 - (5 * i + j) % 4 AS INTEGER)) & 1) * (16 >> CAST(j AS INTEGER)))) AS INTEGER), 1)), '')
 """
@@ -100,10 +100,10 @@ ORACLE = {
     """,
     "op5_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ),
         scored AS (
             SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(d.e AS DOUBLE[])) AS BIGINT) AS score
@@ -126,14 +126,14 @@ ORACLE = {
         keyed AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS k FROM windows),
         firsts AS (SELECT k, min(doc_id) AS first_id FROM keyed GROUP BY k HAVING min(doc_id) < max(doc_id)),
         gone AS (
-            SELECT DISTINCT doc_id, i + unnest(range(13)) AS at
+            SELECT DISTINCT doc_id, i + unnest(range(13)) AS place
             FROM keyed JOIN firsts USING (k) WHERE first_id < doc_id
         ),
-        gone_of AS (SELECT doc_id, list(at) AS ats, count(*) AS n FROM gone GROUP BY doc_id)
+        gone_of AS (SELECT doc_id, list(place) AS places, count(*) AS n FROM gone GROUP BY doc_id)
         SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
                sha256(coalesce(array_to_string(
-                   CASE WHEN ats IS NULL THEN words
-                        ELSE list_filter(words, (x, i) -> NOT list_contains(ats, i)) END, ' '), '')) AS kept_sha256
+                   CASE WHEN places IS NULL THEN words
+                        ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
         FROM w LEFT JOIN gone_of USING (doc_id)
     """,
 }
