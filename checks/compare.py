@@ -36,11 +36,11 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
-def differences(spark: SparkSession, db: duckdb.DuckDBPyConnection, sf: str, name: str) -> str | None:
+def differences(spark: SparkSession, db: duckdb.DuckDBPyConnection, sf: str, query, sql: str) -> str | None:
     """What differs between the query and its SQL; None when nothing does."""
-    df = tuned(QUERIES[name])(spark, sf)
+    df = query(spark, sf)
     ours = rows_of(df.columns, df.collect())
-    found = db.execute(ORACLE[name])
+    found = db.execute(sql)
     columns = [d[0] for d in found.description]
     theirs = rows_of(columns, found.fetchall())
     if sorted(df.columns) != sorted(columns):
@@ -70,7 +70,7 @@ def main(sf: str, *names: str) -> int:
             continue
         start = time.time()
         try:
-            problem = differences(spark, db, sf, name)
+            problem = differences(spark, db, sf, tuned(QUERIES[name]), ORACLE[name])
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += problem is not None

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import connect, differences
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,10 +18,10 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, db, name):
     if name in driver.oracle_sql():
-        assert differences(spark, db, SF, name) is None
+        assert differences(spark, db, SF, driver.queries()[name], driver.oracle_sql()[name]) is None
     else:
         assert driver.queries()[name](spark, SF).count() > 0
 
