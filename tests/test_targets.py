@@ -8,6 +8,7 @@ from simmart.sources import files
 
 DAY = dt.date(2024, 8, 1)
 
+# The known lines and what becomes of them.
 CONTENT = """chembl_id,smiles
     CHEMBL1,C
     CHEMBL2,CC, extra comma
@@ -50,12 +51,12 @@ def test_first_of_each_id_in_file_then_line_order(spark, tmp_path):
 
 
 def test_two_equal_files_give_each_molecule_once(spark, tmp_path):
-    text = "chembl_id,smiles\n CHEMBL123,CCO\n CHEMBL456,c1ccccc1\n CHEMBL789,CC(=O)O\n "
+    text = "id,structure\n M1,NCCN\n M2,CSC\n M3,C1CC1\n "
     write(tmp_path / "in", "data_08_2024_1.csv", text)
     write(tmp_path / "in", "data_08_2024_2.csv", text)
     for lines in lines_both_ways(spark, tmp_path / "in"):
         found = {(r.chembl_id, r.smiles) for r in monthly_targets(lines).collect()}
-        assert found == {("CHEMBL123", "CCO"), ("CHEMBL456", "c1ccccc1"), ("CHEMBL789", "CC(=O)O")}
+        assert found == {("M1", "NCCN"), ("M2", "CSC"), ("M3", "C1CC1")}
 
 
 def test_latin_1_file(spark, tmp_path):
