@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from simmart.session import tune
+from simmart.session import shared_dir, tune
 
 # Rows of one Arrow batch. Texts differ in length by four orders of magnitude,
 # so that the default of 10,000 rows may be a gigabyte.
@@ -27,18 +25,9 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Only where it is unset, as in tests
-    on one machine, a temporary folder of this process takes its place."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = Path(tempfile.mkdtemp(prefix="simmart-")).as_uri()
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A folder that every executor reaches, in spark.checkpoint.dir."""
+    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
