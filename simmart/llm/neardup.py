@@ -17,14 +17,16 @@ of the sets of 0.8 or more, counted on the sets themselves. Then the components
 of the links are taken, and where a bucket's texts lie in several components,
 those outside the bucket's largest are compared with all texts of the others.
 So every two texts of a bucket are compared or known to belong together, no
-matter how large the bucket, and pairs are not enumerated within components.
+matter how large the bucket, and pairs are not enumerated within components. In
+buckets of over SMALL texts that last comparison runs in blocks, as products of
+matrices, and lists no pairs but the links.
 
 A pair of likeness 0.8 shares a bucket with a probability of 0.99999 (30 bands
 of 5 rows; 0.9997 at 0.75).
 
 Texts without words, null texts among them, are equal texts. Rows of one key
-with several texts count as one document where texts are compared, and each row
-gets the class of its own text. Rows with a null key are kept, without a class.
+with several texts are compared by one of them, and each gets the class of its
+own text. Rows with a null key are kept, without a class.
 Keys are integers; only the named columns are read.
 """
 
@@ -33,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from simmart.llm.common import blob, kept, per_batch, prepared, stored, texts
 from simmart.llm.graph import components
@@ -43,6 +45,9 @@ from simmart.operators.skew import splittable_join
 RUN = 5
 LIKENESS = 0.8
 BANDS, ROWS = 30, 5
+SLOTS = 1 << 26  # bits of the bitmap of needed keys: 8 MB
+SMALL = 64  # texts of a bucket of which pairs are listed; larger ones are compared in blocks
+BLOCK, COLUMNS = 512, 4096  # texts of a block; runs compared at a time
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,36 +128,95 @@ def _signed(docs: DataFrame, key: str, text: str, bands: int, rows: int, run: in
     return per_batch(columns, sign, "key bigint, digest binary, bands array<bigint>")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, key: str, text: str, run: int, likeness: float) -> DataFrame:
-    """The pairs (a, b) of which the sets of runs are alike enough."""
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+
+
+def _sets(docs: DataFrame, needed: DataFrame, key: str, text: str, run: int) -> DataFrame:
+    """(key, runs): the sorted distinct runs of the needed documents, and of
+    few others. So that texts are not shuffled, those not needed are left out
+    where they are read, by a bitmap of fixed size over hashes of the keys."""
+    slots = needed.select(_slot("key").alias("slot")).groupBy(F.expr("CAST(slot DIV 32 AS INT)").alias("word"))
+    words = slots.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS INT)))").alias("bits")).toArrow()
+    bitmap = np.zeros(SLOTS // 32, np.uint32)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    marked = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [blob(np.unique(runs_of(t, run))) for t in texts(batch.column(1))]
+        slot = batch.column(1).to_numpy()
+        there = (marked.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1
+        batch = batch.filter(pa.array(there.astype(bool)))
+        found = [blob(np.unique(runs_of(t, run))) for t in texts(batch.column(2))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["key", "runs"])
 
+    columns = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where("key is not null")
+    found = per_batch(columns.select("key", _slot("key").alias("slot"), "text"), sets, "key bigint, runs binary")
+    # One set for each key, for repeated rows too.
+    return stored(found.groupBy("key").agg(F.max("runs").alias("runs")), "sets")
+
+
+def _near(a: np.ndarray, b: np.ndarray, likeness: float) -> bool:
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if len(small) < likeness * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int(np.count_nonzero(large[at] == small))
+    return shared >= likeness * (len(small) + len(large) - shared)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
+    """The pairs (a, b) of which the sets of runs are alike enough."""
+
     def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
         left, right = (batch.column(i).to_pylist() for i in (2, 3))
-        near = []
-        for x, y in zip(left, right):
-            small, large = sorted((np.frombuffer(v, np.uint64) for v in (x, y)), key=len)
-            if len(small) < likeness * len(large):
-                near.append(False)
-                continue
-            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            shared = int((large[at] == small).sum())
-            near.append(shared >= likeness * (len(small) + len(large) - shared))
-        kept_rows = pa.array(near, pa.bool_())
-        return batch.select(["a", "b"]).filter(kept_rows)
-
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    columns = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    found = per_batch(columns.join(needed, "key"), sets, "key bigint, runs binary")
-    # Repeated rows give one set.
-    found = found.groupBy("key", F.xxhash64("runs").alias("h")).agg(F.any_value("runs").alias("runs")).drop("h")
-    found = stored(found, "sets")
-    left, right = (found.withColumnsRenamed({"key": c, "runs": f"runs_{c}"}) for c in "ab")
+        near = [_near(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), likeness) for x, y in zip(left, right)]
+        return batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    # Neither side has a bounded size: never broadcast.
+    left, right = (sets.withColumnsRenamed({"key": c, "runs": f"runs_{c}"}).hint("merge") for c in "ab")
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "runs_a", "runs_b")
-    return stored(per_batch(joined, compare, "a bigint, b bigint").distinct(), "linked")
+    return stored(per_batch(joined, compare, "a bigint, b bigint"), "linked")
+
+
+def _linked_in_blocks(mixed: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
+    """Links of large buckets between texts outside the largest component and
+    all others. The bucket's texts are dealt into blocks; each block of those
+    outside meets each block of all in one task, as matrices of runs, so that
+    only links come out."""
+    parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    rows = mixed.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    every = rows.select("band", "id", "root", F.lit(False).alias("outside"), other.alias("i"), F.col("part").alias("j"))
+    outside = rows.where("root <> main")
+    outside = outside.select("band", "id", "root", F.lit(True).alias("outside"), F.col("part").alias("i"), other.alias("j"))
+    met = every.unionByName(outside).join(sets.withColumnRenamed("key", "id").hint("merge"), "id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        sets_ = [np.frombuffer(b, np.uint64) for b in table.column("runs").to_pylist()]
+        out = table.column("outside").to_numpy(zero_copy_only=False).astype(bool)
+        ids, roots = (table.column(c).to_numpy() for c in ("id", "root"))
+        size = np.array([len(x) for x in sets_], np.int64)
+        row = np.repeat(np.arange(len(sets_)), size)
+        token, column, count = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+        # Runs of one text only are in no overlap.
+        place = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[column]
+        row, place = row[place >= 0], place[place >= 0]
+        line = np.full(len(sets_), -1)
+        line[out], line[~out] = np.arange(out.sum()), np.arange((~out).sum())
+        shared = np.zeros((int(out.sum()), int((~out).sum())), np.float32)
+        for start in range(0, int(place.max(initial=-1)) + 1, COLUMNS):
+            own = (place >= start) & (place < start + COLUMNS)
+            both = [np.zeros((n, COLUMNS), np.float32) for n in shared.shape]
+            for half, side in zip(both, (out, ~out)):
+                at = own & side[row]
+                half[line[row[at]], place[at] - start] = 1
+            shared += both[0] @ both[1].T
+        near = shared >= likeness * (size[out][:, None] + size[~out][None] - shared)
+        x, y = np.nonzero(near & (roots[out][:, None] != roots[~out][None]))
+        x, y = ids[out][x], ids[~out][y]
+        return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+
+    return stored(met.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "linked")
 
 
 def _pairs(x: str, y: str) -> list:
@@ -186,14 +250,16 @@ def near_duplicates(
     pivot = F.explode(F.array("low", "high")).alias("pivot")
     compared = members.select("id", "band", pivot).select("id", F.col("pivot").bitwiseXOR(F.col("band")).alias("pivot"))
     compared = stored(compared.where("id <> pivot").select(*_pairs("id", "pivot")).distinct(), "pairs")
-    links = _linked(compared, docs, key, text, run, likeness)
+    sets = _sets(docs, members.select(F.col("id").alias("key")).distinct(), key, text, run)
+    links = _linked(compared, sets, likeness)
     classes = stored(components(links), "components")
 
-    rest = _across(members.select("id", "band"), classes).join(compared, ["a", "b"], "left_anti")
-    rest = stored(rest, "rest")
-    if not rest.isEmpty():
-        more = _linked(rest, docs, key, text, run, likeness)
-        links = stored(links.unionByName(more), "linked")
+    mixed = _mixed(members.select("id", "band"), classes)
+    rest = _across(mixed.where(F.col("n") <= SMALL)).join(compared, ["a", "b"], "left_anti")
+    large = mixed.where(F.col("n") > SMALL)
+    more = _linked(rest, sets, likeness).unionByName(_linked_in_blocks(large, sets, likeness))
+    if not more.isEmpty():
+        links = stored(links.unionByName(more).distinct(), "linked")
         classes = stored(components(links), "components")
 
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
@@ -209,15 +275,22 @@ def near_duplicates(
     )
 
 
-def _across(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket's texts that lie in different components, one
-    of them outside the bucket's largest."""
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(band, id, root, main, n) of buckets with texts of several components:
+    the component of each text, the bucket's largest, and its texts."""
     placed = members.join(classes.select(F.col("node").alias("id"), "root"), "id", "left")
     placed = placed.withColumn("root", F.coalesce("root", "id"))
     sizes = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("parts"))
-    main = main.where("parts > 1").select("band", F.col("largest.root").alias("main"))
-    mixed = stored(splittable_join(placed, main, ["band"]), "mixed")
+    main = sizes.groupBy("band").agg(
+        F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("components"), F.sum("n").alias("n")
+    )
+    main = main.where("components > 1").select("band", F.col("largest.root").alias("main"), "n")
+    return stored(splittable_join(placed, main, ["band"]), "mixed")
+
+
+def _across(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a small bucket's texts that lie in different components,
+    one of them outside the bucket's largest."""
     outside = mixed.where("root <> main").select("band", F.col("id").alias("x"), F.col("root").alias("x_root"))
-    pairs = mixed.join(outside, "band").where("root <> x_root")
+    pairs = mixed.select("band", "id", "root").join(outside, "band").where("root <> x_root")
     return pairs.select(*_pairs("id", "x")).distinct()
