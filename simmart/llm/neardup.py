@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from simmart.llm.common import blob, kept, per_batch, prepared, stored, texts
+from simmart.llm.common import Scratch, blob, kept, per_batch, prepared, stored, texts
 from simmart.llm.graph import components
 from simmart.llm.words import Hasher, mix, utf8
 from simmart.operators.skew import splittable_join
@@ -152,7 +152,7 @@ def _sets(docs: DataFrame, needed: DataFrame, key: str, text: str, run: int) ->
     columns = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where("key is not null")
     found = per_batch(columns.select("key", _slot("key").alias("slot"), "text"), sets, "key bigint, runs binary")
     # One set for each key, for repeated rows too.
-    return stored(found.groupBy("key").agg(F.max("runs").alias("runs")), "sets")
+    return found.groupBy("key").agg(F.max("runs").alias("runs"))
 
 
 def _near(a: np.ndarray, b: np.ndarray, likeness: float) -> bool:
@@ -175,7 +175,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
     # Neither side has a bounded size: never broadcast.
     left, right = (sets.withColumnsRenamed({"key": c, "runs": f"runs_{c}"}).hint("merge") for c in "ab")
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "runs_a", "runs_b")
-    return stored(per_batch(joined, compare, "a bigint, b bigint"), "linked")
+    return per_batch(joined, compare, "a bigint, b bigint")
 
 
 def _linked_in_blocks(mixed: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
@@ -216,7 +216,7 @@ def _linked_in_blocks(mixed: DataFrame, sets: DataFrame, likeness: float) -> Dat
         x, y = ids[out][x], ids[~out][y]
         return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
-    return stored(met.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct(), "linked")
+    return met.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _pairs(x: str, y: str) -> list:
@@ -235,37 +235,37 @@ def near_duplicates(
     """One row per document: the key, text_id (the smallest key of an equal
     text), class_id (the smallest key of its group of near duplicates), and
     n_links (near texts that its text was linked with)."""
-    prepared(docs.sparkSession)
-    signed = stored(_signed(docs, key, text, bands, rows, run), "signatures")
+    scratch = Scratch(prepared(docs.sparkSession), "near-duplicates")
+    signed = scratch.stored(_signed(docs, key, text, bands, rows, run), "signatures")
     distinct = signed.where("key is not null").groupBy("digest")
-    distinct = stored(distinct.agg(F.min("key").alias("id"), F.any_value("bands").alias("bands")), "distinct")
+    distinct = scratch.stored(distinct.agg(F.min("key").alias("id"), F.any_value("bands").alias("bands")), "distinct")
 
     members = distinct.select("id", F.explode("bands").alias("band"))
     flipped = F.col("id").bitwiseXOR(F.col("band"))  # an order of its own in each band
-    buckets = members.groupBy("band").agg(
-        F.count("*").alias("n"), F.min(flipped).alias("low"), F.max(flipped).alias("high")
-    )
-    buckets = stored(buckets.where("low <> high").drop("n"), "buckets")
-    members = stored(splittable_join(members, buckets, ["band"]), "members")
+    buckets = members.groupBy("band").agg(F.min(flipped).alias("low"), F.max(flipped).alias("high"))
+    buckets = scratch.stored(buckets.where("low <> high"), "buckets")
+    members = scratch.stored(splittable_join(members, buckets, ["band"]), "members")
     pivot = F.explode(F.array("low", "high")).alias("pivot")
     compared = members.select("id", "band", pivot).select("id", F.col("pivot").bitwiseXOR(F.col("band")).alias("pivot"))
-    compared = stored(compared.where("id <> pivot").select(*_pairs("id", "pivot")).distinct(), "pairs")
-    sets = _sets(docs, members.select(F.col("id").alias("key")).distinct(), key, text, run)
-    links = _linked(compared, sets, likeness)
-    classes = stored(components(links), "components")
+    compared = scratch.stored(compared.where("id <> pivot").select(*_pairs("id", "pivot")).distinct(), "pairs")
+    needed = members.select(F.col("id").alias("key")).distinct()
+    sets = scratch.stored(_sets(docs, needed, key, text, run), "sets")
+    links = scratch.stored(_linked(compared, sets, likeness), "linked")
+    classes = components(links)
 
-    mixed = _mixed(members.select("id", "band"), classes)
+    mixed = scratch.stored(_mixed(members.select("id", "band"), classes), "mixed")
     rest = _across(mixed.where(F.col("n") <= SMALL)).join(compared, ["a", "b"], "left_anti")
-    large = mixed.where(F.col("n") > SMALL)
-    more = _linked(rest, sets, likeness).unionByName(_linked_in_blocks(large, sets, likeness))
+    large = _linked_in_blocks(mixed.where(F.col("n") > SMALL), sets, likeness)
+    more = scratch.stored(_linked(rest, sets, likeness).unionByName(large), "linked")
     if not more.isEmpty():
-        links = stored(links.unionByName(more).distinct(), "linked")
-        classes = stored(components(links), "components")
+        links = scratch.stored(links.unionByName(more).distinct(), "linked")
+        classes = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     known = distinct.select("digest", "id").join(degree, "id", "left")
     known = known.join(classes.select(F.col("node").alias("id"), "root"), "id", "left")
-    rows_ = splittable_join(signed.select("key", "digest"), known, ["digest"], "left")
+    rows_ = stored(splittable_join(signed.select("key", "digest"), known, ["digest"], "left").drop("digest"), "classes")
+    scratch.clear()
     named = F.col("key").isNotNull()
     return rows_.select(
         F.col("key").alias(key),
@@ -285,7 +285,7 @@ def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
         F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("components"), F.sum("n").alias("n")
     )
     main = main.where("components > 1").select("band", F.col("largest.root").alias("main"), "n")
-    return stored(splittable_join(placed, main, ["band"]), "mixed")
+    return splittable_join(placed, main, ["band"])
 
 
 def _across(mixed: DataFrame) -> DataFrame:
