@@ -12,7 +12,7 @@ from simmart.session import shared_dir
 
 FACT_KEYS = ["source_chembl_id", "target_chembl_id"]
 DIM_KEYS = ["chembl_id"]
-BUCKETS = 256
+BUCKETS = 64
 
 
 def fact_rows(top: DataFrame) -> DataFrame:
@@ -46,13 +46,15 @@ def put(spark: SparkSession, path: str, new: DataFrame, keys: list[str], schema:
     stage = f"{shared_dir(spark)}/put-{uuid.uuid4().hex}"
     new.select("*", part).write.parquet(f"{stage}/new")
     rows = spark.read.parquet(f"{stage}/new")
-    touched = [r.bucket for r in rows.select("bucket").distinct().collect()]
     if exists(spark, path):
+        touched = [r.bucket for r in rows.select("bucket").distinct().collect()]
         old = spark.read.schema(f"{schema}, bucket int").parquet(path).where(F.col("bucket").isin(touched))
-        rows = upsert(old, rows, [*keys, "bucket"])
-    rows.repartition("bucket").write.parquet(f"{stage}/parts")
-    done = spark.read.parquet(f"{stage}/parts").write.partitionBy("bucket")
-    done.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        upsert(old, rows, [*keys, "bucket"]).repartition("bucket").write.parquet(f"{stage}/parts")
+        rows = spark.read.parquet(f"{stage}/parts")
+    else:
+        rows = rows.repartition("bucket")
+    done = rows.write.partitionBy("bucket").mode("overwrite")
+    done.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
