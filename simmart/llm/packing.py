@@ -35,7 +35,7 @@ from simmart.llm.common import kept, texts
 WINDOW = 4096
 END_ID = 2
 OPEN_WINDOWS = 1_024  # at most 16 MB of ids; more are evened out
-WORDS_KEPT = 1_600_000  # tokenised words a worker holds, some 300 MB
+WORDS_KEPT = 600_000  # tokenised words a worker holds, some 120 MB
 _NO_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to tokenizers
 _SPACE = re.compile("[ \n\t\r]+")
 _TAIL = ".,!&*$%#|"
@@ -114,7 +114,7 @@ class Packer:
         for start in range(0, whole, self.window):
             self.done.append((row, start, ids[start : start + self.window], self._new(), 0))
         if whole < len(ids):
-            self._place_item(row, whole, ids[whole:])
+            self._place_item(row, whole, ids[whole:].copy())  # a view would keep the whole document
 
     def _place_item(self, row, start: int, ids: np.ndarray) -> None:
         size = len(ids)
