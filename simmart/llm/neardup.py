@@ -1,8 +1,10 @@
 """Near duplicates by DartMinHash signatures and banded joining.
 
-A document is the set of its runs of five words (of all its words, if fewer),
-weighted by 1 + floor(log2(times it occurs)). The weight axis of a run is cut
-into unit regions. Each region gets a stream of darts from its hash: their
+A document is the set of its runs of five words (of all its words, if fewer).
+Links are decided on the plain sets, so each document is signed as a plain set,
+each run with a weight of one; where runs repeat also with the weights
+1 + floor(log2(times it occurs)). The weight axis of a run is cut into unit
+regions. Each region gets a stream of darts from its hash: their
 ranks are the arrivals of a Poisson process, and each is thrown at one of the
 signature's coordinates. Darts up to a rank that reaches all coordinates are
 thrown for a document, so that a large document throws about as many as a small
@@ -22,7 +24,8 @@ buckets of over SMALL texts that last comparison runs in blocks, as products of
 matrices, and lists no pairs but the links.
 
 A pair of likeness 0.8 shares a bucket with a probability of 0.99999 (30 bands
-of 5 rows; 0.9997 at 0.75).
+of 5 rows; 0.9997 at 0.75), by the signatures of the plain sets alone and so
+however often runs repeat in either text.
 
 Texts without words, null texts among them, are equal texts. Rows of one key
 with several texts are compared by one of them, and each gets the class of its
@@ -115,11 +118,16 @@ def _signed(docs: DataFrame, key: str, text: str, bands: int, rows: int, run: in
             words = hasher.words(utf8(t))[0]
             digests.append(xxhash.xxh3_128_digest(words.tobytes()))
             runs.append(hasher.runs(words, min(run, max(1, len(words)))))
-        ranks = darts(*regions(runs), len(runs), bands * rows)
-        found = band_hashes(ranks, bands, rows).view(np.int64)
-        filled = np.array([len(r) > 0 for r in runs])
-        offsets = np.concatenate([[0], np.cumsum(filled * bands)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(found[filled]).ravel())
+        # Where no run repeats, the weighted set is the plain one.
+        plain = [np.unique(r) for r in runs]
+        again = [i for i, r in enumerate(runs) if len(plain[i]) < len(r)]
+        ranks = darts(*regions(plain + [runs[i] for i in again]), len(runs) + len(again), bands * rows)
+        hashes = band_hashes(ranks, bands, rows).view(np.int64)
+        found = [hashes[i] if len(r) else hashes[i, :0] for i, r in enumerate(runs)]
+        for i, own in zip(again, hashes[len(runs) :]):
+            found[i] = np.unique(np.concatenate([found[i], own]))
+        offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(offsets, np.concatenate(found))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(digests, pa.binary()), lists], ["key", "digest", "bands"]
         )

@@ -179,6 +179,22 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert len([k for k, c in found.items() if c == 900]) == 151
 
 
+def test_near_duplicates_of_texts_that_repeat_unequally(spark):
+    """The same sets of runs, but lines and passages that stand in one text
+    several times as often as in the other."""
+    rows = []
+    for i in range(24):
+        words = prose(i * 41, 104).split(" ")
+        text = " ".join(words)
+        other = " ".join(words[:34] * 16 + words[34:]) if i % 3 == 0 else "\n".join([text] * (2 + i % 7))
+        rows += [(i, text), (100 + i, other)]
+        rows.append((200 + i, "\n".join([text] + [" ".join(words[:8])] * (3 * i))))
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], DOCS).repartition(5)
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert found == {k: c for (k, _), c in brute_classes(rows).items()}
+    assert all(found[100 + i] == i for i in range(24))
+
+
 def test_near_duplicates_of_odd_documents(odd_docs, no_docs):
     rows = neardup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
