@@ -8,20 +8,22 @@ return the columns of documents.
    likeness to any language learned, go.
 2. quality: documents that are likelier bad than good go.
 3. near_duplicates: of each group of near duplicates the document with the
-   smallest id stays.
+   smallest id stays. Texts of one id that are not alike are in groups of their
+   own.
 4. repeats: words of passages that occur in a document with a smaller id are
    cut. Documents without any stay as they are.
 5. packing: what is left becomes sequences of tokens.
 
 Models are fitted on the stage's own input, on labelled rows that their queries
 do not hold out. A document with a null text is rejected by the first stage;
-one with a null id is in no group of near duplicates and stays. Of repeated
-rows of the kept document of a group one stays.
+one with a null id is in no group of near duplicates and stays. Of a group's
+rows with the smallest id, repeated or with texts near to one another, one
+stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from simmart.llm import language, neardup, packing, quality, substrings
 from simmart.llm.common import prepared, stored, table
@@ -52,16 +54,26 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        return _one_row_of_each_group(docs)
     found = neardup.near_duplicates(docs)
     gone = found.where("doc_id is not null and class_id <> doc_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    # Repeated rows of a kept document: few at a time, as ids are nearly unique.
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
-    if repeated.isEmpty():
-        return left.select(*COLUMNS)
-    once = left.join(repeated.select("doc_id"), "doc_id").withColumn("first", first).where("first = 1")
-    return left.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def _one_row_of_each_group(docs: DataFrame) -> DataFrame:
+    """The same where ids repeat: rows are compared by numbers of their own, so
+    that each goes by its own text. Numbers are stored, as they may change when
+    they are given again."""
+    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    named = rows.where("doc_id is not null")
+    found = neardup.near_duplicates(named, "row").select("row", "class_id")
+    order = F.struct("doc_id", F.xxhash64("text").alias("hash"), "lang", "source", "n_chars", "row")
+    placed = named.select("row", order.alias("order")).join(found, "row")
+    firsts = placed.groupBy("class_id").agg(F.min("order").alias("first"))
+    once = named.join(firsts.select("first.row"), "row", "left_semi")
+    return once.unionByName(rows.where("doc_id is null")).select(*COLUMNS)
 
 
 def repeats_cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from checks.compare import connect, differences
 from simmart.llm import packing
 from simmart.llm.common import table
 from simmart.llm.queries import ORACLE, QUERIES, tokenizer_file
+from tests.llm.conftest import DOCS, prose
 from tests.llm.test_texts import WORDS, brute_classes, brute_cut
 
 SF = "/root/testdata/sf0.001"
@@ -69,3 +70,15 @@ def test_pipeline_of_odd_documents(spark, odd_docs, no_docs, monkeypatch):
             elif name != "quality":  # fitted on other documents' labels
                 docs = stage(spark, docs, SF)
         assert docs.count() >= 0
+
+
+def test_pipeline_keeps_unlike_texts_of_one_id(spark):
+    """Each row goes or stays by its own text, also where ids repeat."""
+    a, b, c, d = (prose(i * 31, 60) for i in range(1, 5))
+    near = a + " more"
+    rows = [(1, a), (5, near), (5, b), (5, b), (7, c), (7, d), (9, d), (None, a), (None, a)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], DOCS).repartition(3)
+    found = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    assert found.columns == docs.columns
+    expected = [(1, a), (5, b), (7, c), (7, d), (None, a), (None, a)]
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(expected, key=str)
