@@ -30,7 +30,7 @@ from simmart.llm.common import prepared, stored, table
 from simmart.llm.queries import tokenizer_file
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_LANGUAGE = 0.35  # score below which a language is not told
+LEAST_LANGUAGE = 0.119  # margin over other languages below which none is told; a score of 0.35 of four
 LEAST_QUALITY = 0.5
 
 
@@ -41,8 +41,8 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def told_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     held = F.coalesce(language.remainder("doc_id", 5) == 0, F.lit(False))
-    found = language.predicted(docs, language.learned(docs, ~held), keep=tuple(COLUMNS))
-    told = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)
+    found = language.predicted(docs, language.learned(docs, ~held), keep=tuple(COLUMNS), margin=True)
+    told = (F.col("lang_pred") != language.UNKNOWN) & (F.col("margin") >= LEAST_LANGUAGE)
     return found.where(told).select(*COLUMNS)
 
 

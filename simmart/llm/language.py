@@ -62,6 +62,7 @@ class Model:
     languages: list[str]
     column: np.ndarray  # of each slot in the matrix, -1: in no landmark
     matrix: np.ndarray
+    runs: float = 1.0  # median number of runs of the texts learned from
 
     def scores(self, found: list[np.ndarray]) -> np.ndarray:
         """Regression values of each text and language."""
@@ -102,7 +103,8 @@ def fit(found: list[np.ndarray], languages: list[str]) -> Model | None:
     solved = np.linalg.solve(
         mapped.T @ mapped + RIDGE * len(found) * np.eye(mapped.shape[1]), mapped.T @ target
     )
-    return Model(names, column, (marks.T @ (root @ solved)).astype(np.float32))
+    runs = float(np.median([len(f) for f in found]))
+    return Model(names, column, (marks.T @ (root @ solved)).astype(np.float32), runs)
 
 
 def learned(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
@@ -132,14 +134,30 @@ def learned(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "te
     return fit([np.frombuffer(b, np.int32) for b in sample["slots"].to_pylist()], sample["lang"].to_pylist())
 
 
-def predicted(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The kept columns, lang_pred and score (0 to 1) of every row."""
+def _margin(values: np.ndarray) -> np.ndarray:
+    if values.shape[1] == 1:
+        return np.full(len(values), np.inf)
+    ordered = np.sort(values, axis=1)
+    best, others = ordered[:, -1], ordered[:, :-1]
+    top = others[:, -1]
+    return best - top - np.log(np.exp(others - top[:, None]).mean(axis=1))
+
+
+def predicted(
+    docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",), margin: bool = False
+) -> DataFrame:
+    """The kept columns, lang_pred and score (0 to 1) of every row. On request
+    also margin: the best regression value less the mean (of exponentials) of
+    the others, which does not depend on how many there are. Values grow with
+    the root of a text's number of runs; the margin of a text of fewer than the
+    learned texts' median is raised to that. It is infinite for one language
+    only, and 0 for unknown."""
     kinds = dict(docs.dtypes)
 
     def predict(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [presence(t) for t in texts(batch.column(batch.num_columns - 1))]
         known = [i for i, f in enumerate(found) if f is not None and model]
-        names, score = np.full(len(found), UNKNOWN, object), np.zeros(len(found))
+        names, score, above = np.full(len(found), UNKNOWN, object), np.zeros(len(found)), np.zeros(len(found))
         for start in range(0, len(known), 64):
             part = known[start : start + 64]
             values = SHARPNESS * model.scores([found[i] for i in part]).astype(np.float64)
@@ -148,11 +166,14 @@ def predicted(docs: DataFrame, model: Model | None, text: str = "text", keep: tu
             best = share.argmax(axis=1)
             names[part] = np.array(model.languages, object)[best]
             score[part] = share[np.arange(len(part)), best]
-        columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score)]
-        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
+            if margin:
+                short = np.sqrt([min(1.0, len(found[i]) / model.runs) for i in part])
+                above[part] = _margin(values) / SHARPNESS / short
+        columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(score), *[pa.array(above)] * margin]
+        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score", *["margin"] * margin])
 
     chosen = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
-    schema = "".join(f"kept_{i} {kinds[c]}, " for i, c in enumerate(keep)) + "lang_pred string, score double"
+    schema = "".join(f"kept_{i} {kinds[c]}, " for i, c in enumerate(keep)) + "lang_pred string, score double" + ", margin double" * margin
     result = per_batch(docs.select(*chosen, F.col(text).alias("text")), predict, schema)
     return result.withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from simmart.llm import covertree, language, quality
 from tests.llm.conftest import DOCS, prose
 
@@ -74,6 +75,26 @@ def labelled(spark, n=600):
     )
 
 
+def test_margin_does_not_depend_on_the_number_of_languages_or_runs(spark):
+    """A text's margin of 0.5 to all others is 0.5, and told, among 4 and among
+    15 languages, of which a score of 0.35 tells the first only; a
+    quarter of a typical text's runs with half its value give as much."""
+    slots = language.presence("abcdefgh")
+    for n in (4, 15):
+        for runs, value in ((len(slots), 0.5), (4 * len(slots), 0.25)):
+            matrix = np.zeros((len(slots), n), np.float32)
+            matrix[:, 1] = value / np.sqrt(len(slots))
+            column = np.full(language.LENGTHS * language.SLOTS, -1, np.int32)
+            column[slots] = np.arange(len(slots))
+            model = language.Model([f"l{i:02}" for i in range(n)], column, matrix, runs)
+            docs = spark.createDataFrame([(1, "abcdefgh"), (2, "!!"), (3, None)], "doc_id bigint, text string")
+            found = {r.doc_id: r for r in language.predicted(docs, model, margin=True).collect()}
+            assert found[1].margin == pytest.approx(0.5, abs=1e-5) and found[1].lang_pred == "l01"
+            assert found[2].margin == found[3].margin == 0 and found[2].lang_pred == "und"
+            assert (found[1].score >= 0.35) == (n == 4)
+            assert found[1].margin >= corpus_pipeline.LEAST_LANGUAGE
+
+
 def test_quality_held_out(spark):
     docs, labels = labelled(spark)
     found = quality.rated(docs, labels).collect()
