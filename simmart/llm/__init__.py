@@ -1 +1 @@
-"""Operators for preparing training text: ten of them, one module each."""
+"""Operators for preparing training text: thirteen of them, one module each."""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from simmart.llm import archive, covertree, language, neardup, packing, pieces, quality, rollup, spots, substrings
+from simmart.llm import (
+    archive, covertree, language, lexical, neardup, packing, pieces, quality, rollup, spots, substrings, toxicity, variants,
+)
 from simmart.llm.common import prepared, table
 
 
@@ -66,6 +68,18 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(docs, with_text=False)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(prepared(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rated(table(prepared(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(prepared(spark), sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_tokens": op2_tokens,
@@ -77,6 +91,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_neardup": op9_neardup,
     "op10_substrings": op10_substrings,
+    "op11_lexical": op11_lexical,
+    "op12_toxicity": op12_toxicity,
+    "op13_variants": op13_variants,
 }
 
 # SHA-1 in base 32: the bits of the hex digits in groups of five.
@@ -136,4 +153,88 @@ ORACLE = {
                         ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
         FROM w LEFT JOIN gone_of USING (doc_id)
     """,
+    "op11_lexical": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ),
+        i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        c AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_all FROM d WHERE len(terms) > 0),
+        f AS (
+            SELECT row, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+            FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM i) GROUP BY row, term
+        ),
+        w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM f, c GROUP BY term, n_docs
+        ),
+        s AS (
+            SELECT item_id, row, any_value(doc_id) AS doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_all)))) AS BIGINT) AS score
+            FROM i JOIN f USING (term) JOIN w USING (term), c GROUP BY item_id, row
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM s WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
+    # The checksum: a byte at a time, by a table made of its polynomial.
+    "op13_variants": r"""
+        WITH RECURSIVE crc(n, k, c) AS (
+            SELECT n, 0, n FROM range(256) t(n)
+            UNION ALL
+            SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8
+        ),
+        crcs AS (SELECT list(c ORDER BY n) AS t FROM crc WHERE k = 8),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents)
+            GROUP BY ALL
+        ),
+        coded AS (SELECT *, hex(encode(concat(doc_id, ':', run))) AS x FROM runs),
+        summed AS (
+            SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2), lambda i:
+                16 * (instr('0123456789ABCDEF', substr(x, 2 * i + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(x, 2 * i + 2, 1)) - 1)),
+                lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) + 1 AS INTEGER)]))) AS h
+            FROM coded, crcs
+        ),
+        edited AS (
+            SELECT n, CASE WHEN h % 31 = 0 THEN concat(left(run, h % length(run)), substr(run, h % length(run) + 2)) ELSE run END AS word
+            FROM summed
+        ),
+        v AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ),
+        p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+        holes AS (SELECT word, n, concat(left(word, i - 1), '_', substr(word, i + 1)) AS hole FROM p),
+        shorter AS (SELECT DISTINCT word, n, concat(left(word, i - 1), substr(word, i + 1)) AS short FROM p),
+        pairs AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+            UNION ALL SELECT s.word, s.n, v.word, v.n FROM shorter s JOIN v ON v.word = s.short
+            UNION ALL SELECT v.word, v.n, s.word, s.n FROM shorter s JOIN v ON v.word = s.short
+        ),
+        near AS (
+            SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n
+            FROM pairs GROUP BY word
+        ),
+        rated AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * v.n THEN form END AS form,
+                   CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n
+            FROM v LEFT JOIN near USING (word)
+        ),
+        chain(word, root, k) AS (
+            SELECT word, word, 0 FROM v
+            UNION ALL
+            SELECT chain.word, rated.form, k + 1 FROM chain JOIN rated ON rated.word = chain.root WHERE rated.form IS NOT NULL
+        ),
+        roots AS (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word)
+        SELECT word, form, root, n, n_near, form_n FROM rated JOIN roots USING (word)
+    """,
 }

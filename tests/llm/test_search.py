@@ -1,0 +1,267 @@
+"""Lexical search, toxicity and spelling variants."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from simmart.llm import lexical, toxicity, variants
+from tests.llm.conftest import DOCS, WORDS, prose
+
+ITEMS = "item_id bigint, text string, rank int, doc string"
+
+# --- lexical search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def fold(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute_ranked(docs, items, k=10):
+    counts = [(key, Counter(TERM.findall(fold(t)))) for key, t in docs]
+    counts = [(key, c) for key, c in counts if c]
+    n_docs, n_all = len(counts), sum(sum(c.values()) for _, c in counts)
+    found = []
+    for item, text in items:
+        scores = []
+        for key, c in counts:
+            n, score = sum(c.values()), 0
+            for term in set(TERM.findall(fold(text))) & c.keys():
+                df = sum(term in other for _, other in counts)
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+                score += w * ((10**9 * c[term]) // (1000 * c[term] + 8 * (10 + (90 * n * n_docs) // n_all)))
+            if score > 0:
+                scores.append((-score, key is None, key))
+        found += [(item, i + 1, key, -s) for i, (s, _, key) in enumerate(sorted(scores)[:k])]
+    return sorted(found, key=str)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+ODD_ITEMS = [
+    (1, prose(1, 12)),
+    (1, prose(40, 5)),
+    (2, None),
+    (3, " !! "),
+    (4, "WORD É中 Word é中 \x00 nowhere"),
+    (None, prose(900, 8)),
+    (5, prose(77, 3) + "," + prose(77, 3).upper()),
+]
+
+
+def test_ranked_equals_brute_force(spark, odd_docs, monkeypatch):
+    items = spark.createDataFrame([(*i, 7, "x") for i in ODD_ITEMS], ITEMS).coalesce(1)
+    docs = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    expected = brute_ranked(docs, ODD_ITEMS)
+    found = lexical.ranked(odd_docs, items)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"] and rows(found) == expected
+    monkeypatch.setattr(lexical, "BLOCK_CHARS", 40)  # several blocks
+    monkeypatch.setattr(lexical, "BUFFER_ROWS", 1)  # cut after every batch
+    assert rows(lexical.ranked(odd_docs, items)) == expected
+    assert rows(lexical.ranked(odd_docs, items, k=2)) == brute_ranked(docs, ODD_ITEMS, 2)
+
+
+def test_ranked_ties_go_to_the_smallest_ids(spark):
+    docs = [(i, prose(i % 3, 20), "en", "s", 1) for i in range(300)]
+    items = [(0, prose(0, 4)), (1, prose(1, 4))]
+    found = lexical.ranked(spark.createDataFrame(docs, DOCS).repartition(7), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert rows(found) == brute_ranked([d[:2] for d in docs], items)
+
+
+def test_ranked_of_nothing(spark, no_docs, odd_docs):
+    items = spark.createDataFrame(ODD_ITEMS, "item_id bigint, text string")
+    assert lexical.ranked(no_docs, items).count() == 0
+    assert lexical.ranked(odd_docs, items.limit(0)).count() == 0
+    assert lexical.ranked(odd_docs.where("doc_id in (3, 4, 5)"), items).count() == 0
+    assert lexical.ranked(odd_docs, items.where("item_id in (2, 3)")).count() == 0
+
+
+def test_terms_that_share_a_guard_are_all_counted():
+    scanner = lexical.Scanner(["a", "ab", "b", "é1"])
+    counts = scanner.counts(lexical.guarded("A a,AB  b\nab\x7fa-É1 é1 xa"))
+    assert counts == {0: 3, 1: 2, 2: 1, 3: 1}
+    assert lexical.n_terms(lexical.guarded("A a,AB  b\nab\x7fa-É1 é1 xa")) == 9
+
+
+# --- toxicity
+
+BAD = ["vilespeak", "nastytalk", "grubby"]
+
+
+def spoken(seed, n, bad):
+    words = prose(seed, n).split()
+    for j in range(3 if bad else 0):
+        words.insert((seed * 13 + j * 17) % n, BAD[(seed + j) % 3])
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def spoken_docs(spark):
+    made = [(i, spoken(i, 30 + i % 90, i % 5 == 0), "en", "s", 0) for i in range(900)]
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(900)] + [(3, 1, 1), (None, 1, 1), (4, 1, None), (10**6, 1, 1)]
+    return (
+        spark.createDataFrame(made, DOCS).repartition(3),
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+    )
+
+
+def test_toxicity_held_out(spoken_docs):
+    found = toxicity.rated(*spoken_docs).collect()
+    assert len(found) == 900
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in found)
+    held = [r for r in found if r.held_out]
+    assert len(held) > 100 and np.mean([r.predicted == int(r.doc_id % 5 == 0) for r in held]) > 0.97
+
+
+def test_toxicity_of_odd_documents(spark, spoken_docs, odd_docs, no_docs):
+    docs, labels = spoken_docs
+    model = toxicity.learned(docs, labels)
+    found = toxicity.scored(odd_docs, model).collect()
+    assert len(found) == 13 and [r for r in found if not 0 <= r.score < 0.5] == []
+    assert len({r.score for r in found if r.doc_id in (3, 4, 5)}) == 1  # null, empty and blank
+    assert toxicity.rated(no_docs, labels).count() == 0
+    assert {r.score for r in toxicity.rated(odd_docs, labels.limit(0)).collect()} == {0.0}
+    assert {r.score for r in toxicity.rated(odd_docs, labels.where("toxic = 0")).collect()} == {0.0}
+    assert not toxicity.rated(odd_docs.where("doc_id is null"), labels).first().held_out
+
+
+def test_toxicity_learns_the_same_from_rows_in_another_order(spoken_docs):
+    docs, labels = spoken_docs
+    a, b = (toxicity.learned(docs.repartition(n, F.rand(n)), labels.repartition(n)) for n in (2, 5))
+    assert a.contents == b.contents and (a.weight == b.weight).all() and a.base == b.base
+
+
+def test_gain_is_the_difference_of_compressed_lengths():
+    gains = toxicity.Gains(*(c + toxicity.TAIL for c in (b" vilespeak grubby ", b" " + prose(1, 200).encode() + b" ")))
+    assert gains.of(b"vilespeak") > 3 and gains.of(b"grubby") > 1 and gains.of(b"zzqxk") <= 1
+    assert gains.of(prose(1, 1).encode()) < 0
+
+
+def test_copies_of_a_passage_count_once():
+    """A word found in one passage only, however often copied, tells nothing."""
+    toxic = [toxicity.surroundings(prose(5, 20) + " oncesaid " + prose(6, 20)) for _ in range(60)]
+    toxic += [toxicity.surroundings(prose(i, 20) + " vilespeak " + prose(i + 1, 20)) for i in range(60)]
+    ordinary = [toxicity.surroundings(prose(i, 40)) for i in range(200, 400)]
+    content, _ = toxicity.dictionaries(toxic, ordinary)
+    assert b" vilespeak " in content and b"oncesaid" not in content
+
+
+def test_statistics_cover_the_whole_text():
+    model = toxicity.Model((b" vilespeak " + toxicity.TAIL, b" the of and " + toxicity.TAIL), threshold=2)
+    long = prose(3, 50_000)
+    without, end = model.features([long, long + " vilespeak"])
+    assert without[3] == 0 and end[3] == np.log1p(1) and end[0] > without[0]
+
+
+# --- spelling variants
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def brute_words(docs):
+    counts = Counter()
+    for key, text in docs:
+        for run in RUN.findall(text or ""):
+            run = fold(run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += len(run) >= 7
+    return {w: n for w, n in counts.items() if n >= 2}
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(docs):
+    counts = brute_words(docs)
+    form = {}
+    n_near = Counter()
+    for w, n in counts.items():
+        others = [o for o in counts if near(w, o)]
+        n_near[w] = len(others)
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        form[w] = best if best and counts[best] >= 10 * n else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return sorted(((w, form[w], root(w), n, n_near[w], counts.get(form[w])) for w, n in counts.items()), key=str)
+
+
+def misspelt(spark):
+    """Chains of forms, ties, repeated letters, letters beyond ASCII."""
+    words = {"rhubarbs": 2000, "rhubarb": 200, "rhubarp": 20, "rhubarpp": 2, "grannies": 30, "grannier": 30, "grannie": 3,
+             "ÀÉîôûß÷×": 40, "ÀÉîôûß÷": 2, "aaaaaaaa": 25, "aaaaaaa": 2, "aaaaaaaaa": 2, "zebrafish": 5, "Zebrafish": 5}
+    docs = [(i, " ".join([w] * (n // 2)), "en", "s", 1) for i, (w, n) in enumerate(words.items()) for _ in range(2)]
+    docs += [(100 + i, prose(i, 40) + " " + WORDS[i % 9] * 3 + " " + WORDS[i % 7] * 3, "en", "s", 1) for i in range(40)]
+    return spark.createDataFrame(docs, DOCS).repartition(3)
+
+
+def test_variants_equal_brute_force(spark, odd_docs):
+    for docs in (misspelt(spark), odd_docs, misspelt(spark).unionByName(odd_docs.select("doc_id", "text", "lang", "source", "n_chars"))):
+        expected = brute_variants([(r.doc_id, r.text) for r in docs.collect()])
+        found = variants.variants(docs)
+        assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+        assert rows(found) == expected
+        assert rows(variants.variants(docs, round_bytes=96)) == expected  # many rounds, lengths in parts
+    assert any(root != form for _, form, root, *_ in expected if form)
+
+
+def test_variants_of_nothing(spark, no_docs, odd_docs):
+    assert variants.variants(no_docs).count() == 0
+    assert variants.variants(odd_docs.where("doc_id in (3, 4, 5)")).count() == 0
+
+
+def test_variants_of_very_long_words(spark):
+    long = "".join(WORDS[i * i % 97] for i in range(3000))
+    texts = [long, long, long[:4000] + "x" + long[4000:], long[:4000] + "x" + long[4000:], long[:17] + "é" + long[18:], long[:17] + "é" + long[18:]]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    expected = brute_variants(list(enumerate(texts)))
+    assert rows(variants.variants(docs)) == expected and expected[0][4] + expected[1][4] + expected[2][4] == 4
+
+
+def test_hashes_of_edits_are_those_of_the_edited_words():
+    alphabet = np.array([97, 98, 110, 255], np.uint8)
+    words = ["banana", "ananas", "bÿnnnn", "aabbaa"]
+    (at, letters), = variants.by_length(words)
+
+    def hashed(words):
+        return {int(h) for _, letters in variants.by_length(sorted(words)) for h in variants.hashes(letters)}
+
+    for i, word in enumerate(words):
+        row, found = variants.deletions(letters)
+        shorter = {word[:j] + word[j + 1 :] for j in range(6)}
+        assert sorted(found[row == i].tolist()) == sorted(hashed(shorter)) and len(hashed(shorter)) == len(shorter)
+        row, found = variants.replacements(letters, alphabet, np.arange(6))
+        other = {word[:j] + chr(c) + word[j + 1 :] for j in range(6) for c in alphabet if chr(c) > word[j]}
+        assert sorted(found[row == i].tolist()) == sorted(hashed(other))
+
+
+def test_filters_know_all_their_words_and_few_others(spark):
+    words = [f"{a}{b}{i % 1000}" for i, (a, b) in enumerate((a, b) for a in WORDS for b in WORDS)]
+    docs = spark.createDataFrame([(i, w, "en", "s", 1) for i, w in enumerate(words)], DOCS)
+    frame = variants.vocabulary(docs.withColumn("text", F.concat_ws(" ", *[F.translate("text", "0123456789", "qwzxcvyjhu")] * 2)))
+    held = frame.toPandas()
+    shards = [s for r in variants.rounds(held["size"].value_counts().to_dict()) for s in r]
+    table = variants.filled(frame, shards)
+    for size, own in held.groupby("size"):
+        own_shards = [s for s in shards if s.length == size]
+        hashed = own["hash"].to_numpy().view(np.uint64)
+        assert len(variants.known(table, own_shards, hashed)) == len(own)
+        others = np.random.default_rng(1).integers(0, 2**63, 100_000).astype(np.uint64)
+        assert len(variants.known(table, own_shards, others)) < 500
