@@ -179,6 +179,7 @@ FROM signed
     "tanimoto_full": TANIMOTO_FULL,
     "tanimoto_topk": TANIMOTO_TOPK,
     "tanimoto_postings": TANIMOTO_TOPK,
+    "tanimoto_banded": TANIMOTO_TOPK,
     "csv_clean": f"{LINES} SELECT file, line::INTEGER AS line, chembl_id, smiles FROM judged WHERE reason IS NULL",
     "csv_reject_reasons": f"{LINES} SELECT file, line::INTEGER AS line, reason FROM judged "
     "WHERE reason NOT IN ('header', 'blank')",

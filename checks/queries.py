@@ -19,7 +19,7 @@ from simmart.operators import dedup, normalize, quality, similarity, targets
 from simmart.plans import ingest, mart, views
 from simmart.session import shared_dir, tune
 from simmart.sources import files, paged
-from simmart.sources.tables import table
+from simmart.sources.tables import spread, table
 
 PIVOT = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89]
 
@@ -33,7 +33,7 @@ def _any_text(text: Column) -> Column:
 
 
 def fingerprint_bits(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", fingerprint(F.col("text"), valid=_any_text).alias("fingerprint"))
 
 
@@ -75,7 +75,7 @@ def _molecules(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         bits = fingerprint(F.col("text"), valid=_any_text)
         return df.select("chembl_id", pack(bits, N_BITS).alias("words"))
 
-    return words(items), words(docs.unionByName(items))
+    return words(spread(items)), words(spread(docs).unionByName(items))
 
 
 def tanimoto_full(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +87,16 @@ def tanimoto_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tanimoto_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return similarity.top_similar(*_molecules(spark, sf), method="postings")
+    """Ranked from all scores rather than from each task's best."""
+    return similarity.rank_top(tanimoto_full(spark, sf))
+
+
+def tanimoto_banded(spark: SparkSession, sf: str) -> DataFrame:
+    """Of sources stored in bands of set-bit counts, in two rounds."""
+    targets, sources = _molecules(spark, sf)
+    store = f"{shared_dir(spark)}/bands-{uuid.uuid4().hex}"
+    similarity.write_bands(sources, store)
+    return similarity.top_similar_stored(targets, similarity.read_bands(spark, store))
 
 
 # --- target files
@@ -385,6 +394,7 @@ QUERIES = {
     "tanimoto_full": tanimoto_full,
     "tanimoto_topk": tanimoto_topk,
     "tanimoto_postings": tanimoto_postings,
+    "tanimoto_banded": tanimoto_banded,
     "csv_clean": csv_clean,
     "csv_reject_reasons": csv_reject_reasons,
     "monthly_targets": monthly_targets,

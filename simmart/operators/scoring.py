@@ -1,16 +1,16 @@
 """Task-side scoring of one batch of sources against a block of targets.
 
-These helpers run inside Spark tasks on Arrow batches. Fingerprints are rows
-of 64-bit words, so a pair costs a handful of vectorised ``and``/popcount
-steps. Work is cut into tiles of sources by targets that stay in cache.
+These helpers run inside Spark tasks on Arrow batches. Sources are held in order
+of their set-bit counts, word by word, so that a target meets a contiguous run of
+them: a score cannot exceed min(a, b) / max(a, b) of the two counts (Swamidass &
+Baldi, 2007), which bounds the run for any least score wanted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
@@ -19,9 +19,10 @@ import pyarrow.fs as pafs
 WIDTH = 1024  # targets of a block
 ALL_ROWS = 16_384  # sources held at a time; 4 MB of 2,048 bits
 BEST_ROWS = 65_536  # larger, as each time up to k + 1 rows per target come out
-CELLS = 1 << 18  # scores of a tile
+NEAR_ROWS = 2_048  # sources of the nearest counts, which give a first floor
+OUT_ROWS = 1 << 18  # scores of a batch that comes out
 
-Overlap = Callable[[np.ndarray, np.ndarray], np.ndarray]
+ALL, OWN_BAND, OTHER_BANDS = "all", "own band", "other bands"
 
 
 def word_rows(column: pa.Array | pa.ChunkedArray, n_words: int) -> np.ndarray:
@@ -42,17 +43,18 @@ def with_words(rows):
 
 
 class TargetBlock:
-    """Some targets: ids, packed words and set-bit counts."""
+    """Some targets: ids, packed words, set-bit counts, and the least score
+    wanted of each, where a third column tells it."""
 
-    def __init__(self, ids: pa.Array, words: np.ndarray):
-        self.ids = ids
-        self.words = words
+    def __init__(self, ids: pa.Array, words: np.ndarray, floor: np.ndarray):
+        self.ids, self.words, self.floor = ids, words, floor
         self.sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
 
     @classmethod
     def from_arrow(cls, batch: pa.RecordBatch, n_words: int) -> TargetBlock:
         batch = with_words(batch)
-        return cls(batch.column(0), word_rows(batch.column(1), n_words))
+        floor = batch.column(2).to_numpy() if batch.num_columns > 2 else np.zeros(len(batch))
+        return cls(batch.column(0), word_rows(batch.column(1), n_words), floor)
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -73,8 +75,45 @@ class StoredTargets:
                 yield block
 
 
-def gathered(batches: Iterator[pa.RecordBatch], n_words: int, rows: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Ids and words of up to `rows` sources at a time."""
+class Sources:
+    """Some sources in order of set-bit count."""
+
+    def __init__(self, ids: pa.Array, words: np.ndarray) -> None:
+        sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+        order = np.argsort(sizes, kind="stable")
+        self.sizes, self.ids = sizes[order], ids.take(pa.array(order))
+        self.by_word = np.ascontiguousarray(words[order].T)
+        self.count_type = np.uint16 if 64 * len(self.by_word) < 1 << 16 else np.int32
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def scores(self, words: np.ndarray, size: int, start: int, stop: int) -> np.ndarray:
+        """Tanimoto of one target with a run of sources: bits in common, by
+        popcount of the words, over bits in either; two empty sets score 1."""
+        common = np.zeros(stop - start, self.count_type)
+        for w in np.flatnonzero(words):
+            common += np.bitwise_count(self.by_word[w, start:stop] & words[w])
+        either = self.sizes[start:stop] + size - common
+        return np.where(either == 0, 1.0, common / np.maximum(either, 1))
+
+    def reaching(self, size: int, floor: float) -> tuple[int, int]:
+        """The run of sources whose counts allow a score of the floor. A count
+        more is taken on either side than rounding could ask for."""
+        if floor <= 0:
+            return 0, len(self)
+        low, high = int(size * floor) - 1, int(size / floor) + 2
+        return int(np.searchsorted(self.sizes, low)), int(np.searchsorted(self.sizes, high, side="right"))
+
+    def order_of_ids(self) -> np.ndarray:
+        """The place of each source when sorted by id."""
+        place = np.empty(len(self), np.int64)
+        place[np.argsort(self.ids.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(self))
+        return place
+
+
+def gathered(batches: Iterator[pa.RecordBatch], n_words: int, rows: int) -> Iterator[Sources]:
+    """Up to `rows` sources at a time."""
     waiting, n = [], 0
     for batch in map(with_words, batches):
         while len(batch):
@@ -82,77 +121,15 @@ def gathered(batches: Iterator[pa.RecordBatch], n_words: int, rows: int) -> Iter
             waiting.append(part)
             batch, n = batch.slice(len(part)), n + len(part)
             if n == rows:
-                yield _ids_and_words(waiting, n_words)
+                yield _sources(waiting, n_words)
                 waiting, n = [], 0
     if waiting:
-        yield _ids_and_words(waiting, n_words)
+        yield _sources(waiting, n_words)
 
 
-def _ids_and_words(parts: list[pa.RecordBatch], n_words: int) -> tuple[pa.Array, np.ndarray]:
+def _sources(parts: list[pa.RecordBatch], n_words: int) -> Sources:
     table = pa.Table.from_batches(parts)
-    return table.column(0).combine_chunks(), word_rows(table.column(1), n_words)
-
-
-def word_overlap(block: TargetBlock) -> Overlap:
-    """Bits in common, by popcount of the words."""
-
-    by_word = np.ascontiguousarray(block.words.T)
-    count_type = np.uint16 if 64 * len(by_word) < 1 << 16 else np.int32
-
-    def overlap(sources: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        shape = len(sources), len(wanted)
-        common, shared, ones = np.zeros(shape, count_type), np.empty(shape, np.uint64), np.empty(shape, np.uint8)
-        for w, word in enumerate(np.take(by_word, wanted, axis=1)):
-            np.bitwise_and(sources[:, w, None], word[None, :], out=shared)
-            np.add(common, np.bitwise_count(shared, out=ones), out=common)
-        return common
-
-    return overlap
-
-
-def posting_overlap(block: TargetBlock) -> Overlap:
-    """Bits in common, by counting targets in the posting lists of the
-    source's set bits: work follows the shared bits, not the width."""
-    target, bit = np.nonzero(_unpack(block.words))
-    order = np.argsort(bit, kind="stable")
-    listed = target[order]
-    n_bits = block.words.shape[1] * 64
-    first = np.searchsorted(bit[order], np.arange(n_bits + 1))
-
-    def overlap(sources: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        row, bit = np.nonzero(_unpack(sources))
-        length = first[bit + 1] - first[bit]
-        # Concatenation of the posting lists first[bit] .. first[bit + 1].
-        end = np.cumsum(length)
-        step = np.arange(end[-1] if len(end) else 0) - np.repeat(end - length, length)
-        hit = listed[np.repeat(first[bit], length) + step]
-        place = np.full(len(block), -1)
-        place[wanted] = np.arange(len(wanted))
-        own = place[hit] >= 0
-        cell = np.repeat(row, length)[own] * len(wanted) + place[hit[own]]
-        return np.bincount(cell, minlength=len(sources) * len(wanted)).reshape(len(sources), len(wanted))
-
-    return overlap
-
-
-def _unpack(words: np.ndarray) -> np.ndarray:
-    as_bytes = words.astype(">u8").view(np.uint8).reshape(len(words), -1)
-    return np.unpackbits(as_bytes, axis=1)
-
-
-OVERLAPS = {"words": word_overlap, "postings": posting_overlap}
-
-
-def ratio(common: np.ndarray, sources: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Tanimoto from common bits and set-bit counts; two empty sets score 1."""
-    union = sources[:, None] + targets[None, :] - common
-    return np.where(union == 0, 1.0, common / np.maximum(union, 1))
-
-
-def _chunks(n_rows: int, n_targets: int) -> Iterator[slice]:
-    step = CELLS // min(max(1, n_targets), WIDTH)
-    for start in range(0, n_rows, step):
-        yield slice(start, min(start + step, n_rows))
+    return Sources(table.column(0).combine_chunks(), word_rows(table.column(1), n_words))
 
 
 def _codes(source_ids: pa.Array, block: TargetBlock) -> tuple[np.ndarray, np.ndarray]:
@@ -162,104 +139,94 @@ def _codes(source_ids: pa.Array, block: TargetBlock) -> tuple[np.ndarray, np.nda
     return tuple(x.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for x in numbers)
 
 
-def all_scores(batches: Iterator[pa.RecordBatch], targets: StoredTargets, method: str) -> Iterator[pa.RecordBatch]:
-    """Every (target, source, score) of the batches, without pairs of one id."""
-    for ids, words in gathered(batches, targets.n_words, ALL_ROWS):
-        sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+def _scored(block: TargetBlock, sources: Sources, found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of (target, places of sources, scores)."""
+    target = np.repeat([t for t, _, _ in found], [len(at) for _, at, _ in found])
+    return pa.RecordBatch.from_arrays(
+        [
+            block.ids.take(pa.array(target)),
+            sources.ids.take(pa.array(np.concatenate([at for _, at, _ in found]))),
+            pa.array(np.concatenate([s for _, _, s in found])),
+        ],
+        ["target_chembl_id", "source_chembl_id", "similarity_score"],
+    )
+
+
+def _batches(block: TargetBlock, sources: Sources, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    found, n = [], 0
+    for row in rows:
+        if n and n + len(row[1]) > OUT_ROWS:
+            yield _scored(block, sources, found)
+            found, n = [], 0
+        found.append(row)
+        n += len(row[1])
+    if n:
+        yield _scored(block, sources, found)
+
+
+def all_scores(batches: Iterator[pa.RecordBatch], targets: StoredTargets) -> Iterator[pa.RecordBatch]:
+    """Every (target, source, score) of the batches, without pairs of one id,
+    target after target."""
+    for sources in gathered(batches, targets.n_words, ALL_ROWS):
         for block in targets:
-            overlap, everyone = OVERLAPS[method](block), np.arange(len(block))
-            own, other = _codes(ids, block)
-            for chunk in _chunks(len(words), len(block)):
-                score = ratio(overlap(words[chunk], everyone), sizes[chunk], block.sizes)
-                row, target = np.nonzero(own[chunk][:, None] != other[None, :])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        block.ids.take(pa.array(target)),
-                        ids.take(pa.array(row + chunk.start)),
-                        pa.array(score[row, target]),
-                    ],
-                    ["target_chembl_id", "source_chembl_id", "similarity_score"],
-                )
-
-
-class _Best:
-    """The ``keep`` best rows of each target so far: score down, id up.
-
-    Candidates are gathered and cut back to ``keep`` per target only when many
-    have come together. ``floor`` never exceeds a target's keep-th best score,
-    so a row below it can be left out, and one equal to it can not.
-    """
-
-    def __init__(self, n_targets: int, keep: int):
-        self.keep = keep
-        self.limit = max(1 << 14, 4 * n_targets * keep)
-        self.floor = np.zeros(n_targets)
-        self.parts: list[pd.DataFrame] = []
-        self.size = 0
-
-    def add(self, target: np.ndarray, score: np.ndarray, source: np.ndarray) -> None:
-        self.parts.append(pd.DataFrame({"t": target, "score": score, "source": source}))
-        self.size += len(target)
-        if self.size > self.limit:
-            self.cut()
-
-    def cut(self) -> pd.DataFrame:
-        rows = pd.concat(self.parts, ignore_index=True) if self.parts else pd.DataFrame({"t": [], "score": [], "source": []})
-        rows = rows.sort_values(["t", "score", "source"], ascending=[True, False, True])
-        place = rows.groupby("t").cumcount()
-        last = rows[place == self.keep - 1]
-        at = last["t"].to_numpy(np.int64)
-        self.floor[at] = np.maximum(self.floor[at], last["score"].to_numpy())
-        rows = rows[place < self.keep]
-        self.parts, self.size = [rows], len(rows)
-        return rows
+            own, other = _codes(sources.ids, block)
+
+            def rows() -> Iterator[tuple]:
+                for t in range(len(block)):
+                    at = np.flatnonzero(own != other[t])
+                    yield t, at, sources.scores(block.words[t], block.sizes[t], 0, len(sources))[at]
+
+            yield from _batches(block, sources, rows())
+
+
+def _runs(sources: Sources, size: int, floor: float, which: str, band: int) -> list[tuple[int, int]]:
+    """The runs of sources that a target meets: all that reach its floor, or
+    those within its own band of counts, or those outside it."""
+    start, stop = sources.reaching(size, floor)
+    if which == ALL:
+        return [(start, stop)]
+    low = size // band * band
+    first, last = np.searchsorted(sources.sizes, [low, low + band])
+    if which == OWN_BAND:
+        return [(max(start, int(first)), min(stop, int(last)))]
+    return [(start, min(stop, int(first))), (max(start, int(last)), stop)]
 
 
 def best_scores(
-    batches: Iterator[pa.RecordBatch], targets: StoredTargets, method: str, keep: int
+    batches: Iterator[pa.RecordBatch], targets: StoredTargets, keep: int, which: str = ALL, band: int = 1
 ) -> Iterator[pa.RecordBatch]:
-    """The ``keep`` best sources of each target among up to BEST_ROWS sources
-    at a time.
-
-    Sources are taken in order of set-bit count. A score cannot exceed
-    min(a, b) / max(a, b) of the two counts (Swamidass & Baldi, 2007), so
-    targets whose floor already lies above that bound skip the chunk. The
-    comparison keeps equal scores, so ties are never lost.
-    """
-    for ids, words in gathered(batches, targets.n_words, BEST_ROWS):
-        sizes = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
-        order = np.argsort(sizes, kind="stable")
-        words, sizes, ids = words[order], sizes[order], ids.take(pa.array(order))
-        names = ids.to_numpy(zero_copy_only=False)
+    """The ``keep`` best sources of each target (score down, id up) among up to
+    BEST_ROWS sources at a time. Those of the nearest counts give a floor,
+    and only sources whose counts reach it are scored then; equal scores reach
+    it, so that ties are never lost."""
+    for sources in gathered(batches, targets.n_words, BEST_ROWS):
+        place = sources.order_of_ids()
         for block in targets:
-            overlap, best = OVERLAPS[method](block), _Best(len(block), keep)
-            own, other = _codes(ids, block)
-            for chunk in _chunks(len(words), len(block)):
-                low, high = sizes[chunk.start], sizes[chunk.stop - 1]
-                wanted = np.nonzero(_bound(block.sizes, low, high) >= best.floor)[0]
-                if not len(wanted):
-                    continue
-                score = ratio(overlap(words[chunk], wanted), sizes[chunk], block.sizes[wanted])
-                score[own[chunk][:, None] == other[wanted][None, :]] = -1.0
-                n = len(score)
-                if n > keep:
-                    here = np.partition(score, n - keep, axis=0)[n - keep]
-                    best.floor[wanted] = np.maximum(best.floor[wanted], here)
-                row, at = np.nonzero(score >= best.floor[wanted])
-                best.add(wanted[at], score[row, at], names[row + chunk.start])
-            rows = best.cut()
-            if len(rows):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        block.ids.take(pa.array(rows["t"].to_numpy(np.int64))),
-                        pa.array(rows["source"].tolist(), type=ids.type),
-                        pa.array(rows["score"].to_numpy(np.float64)),
-                    ],
-                    ["target_chembl_id", "source_chembl_id", "similarity_score"],
-                )
-
-
-def _bound(sizes: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Highest score a target of each size can reach with low..high set bits."""
-    below, above = sizes / max(low, 1), high / np.maximum(sizes, 1)
-    return np.where(sizes < low, below, np.where(sizes > high, above, 1.0))
+            own, other = _codes(sources.ids, block)
+
+            def rows() -> Iterator[tuple]:
+                for t in range(len(block)):
+                    size, floor = int(block.sizes[t]), float(block.floor[t])
+
+                    def met(start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+                        at = start + np.flatnonzero(own[start:stop] != other[t])
+                        return at, sources.scores(block.words[t], size, start, stop)[at - start]
+
+                    middle = int(np.searchsorted(sources.sizes, size))
+                    for start, stop in _runs(sources, size, floor, which, band):
+                        low, high = max(start, middle - NEAR_ROWS), min(stop, middle + NEAR_ROWS)
+                        if high - low > keep and high - low < stop - start:
+                            near = met(low, high)[1]
+                            if len(near) >= keep:
+                                floor = max(floor, float(np.partition(near, len(near) - keep)[len(near) - keep]))
+                                least, most = sources.reaching(size, floor)
+                                start, stop = max(start, least), min(stop, most)
+                        if start >= stop:
+                            continue
+                        at, score = met(start, stop)
+                        at, score = at[score >= floor], score[score >= floor]
+                        best = np.lexsort((place[at], -score))[:keep]
+                        if len(best):
+                            yield t, at[best], score[best]
+
+            yield from _batches(block, sources, rows())

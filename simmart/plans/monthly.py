@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from simmart import schemas
 from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, pack
 from simmart.operators.dedup import drop_repeats
-from simmart.operators.similarity import pair_scores, top_similar
+from simmart.operators.similarity import pair_scores, read_bands, top_similar_stored, write_bands
 from simmart.operators.targets import accepted_targets, monthly_targets, refused_lines, refused_targets
 from simmart.plans import mart
 from simmart.plans.ingest import require_settings
 from simmart.sources import files
 
 
+GROUP_BYTES = 1 << 20  # of a row group of scores
+
+
 @dataclass(frozen=True)
 class Month:
     """Where one monthly run reads and writes. Fact and dimension are tables
@@ -52,10 +55,17 @@ def target_words(targets: DataFrame, radius: int = RADIUS, n_bits: int = N_BITS,
     return targets.select("chembl_id", pack(bits, n_bits).alias("words"))
 
 
-def write_scores(scores: DataFrame, path: str) -> None:
+def write_scores(scores: DataFrame, path: str, group_bytes: int = GROUP_BYTES) -> None:
     """Write full scores from the tasks that made them. The pairs are not
-    shuffled; in each file rows lie together by blocks of targets."""
-    scores.write.mode("overwrite").parquet(path)
+    shuffled; in each file rows lie by targets in order of id, in row groups
+    small enough that each holds few of them."""
+    scores.write.mode("overwrite").option("parquet.block.size", group_bytes).parquet(path)
+
+
+def scores_of(spark: SparkSession, path: str, targets: list[str]) -> DataFrame:
+    """The full scores of some targets. Only row groups are read whose least
+    and greatest target, in the files' footers, have one between them."""
+    return spark.read.parquet(path).where(F.col("target_chembl_id").isin(targets))
 
 
 def has_files(spark: SparkSession, folder: str, day: dt.date) -> bool:
@@ -81,12 +91,13 @@ def run(spark: SparkSession, month: Month) -> DataFrame:
     targets = spark.read.parquet(month.work("targets"))
     refused_targets(targets).write.mode("overwrite").parquet(f"{month.refused}/targets")
     target_words(accepted_targets(targets)).write.mode("overwrite").parquet(month.work("words"))
-    words, sources = spark.read.parquet(month.work("words")), source_words(spark, month.fingerprints)
+    write_bands(source_words(spark, month.fingerprints), month.work("bands"))
+    words, sources = spark.read.parquet(month.work("words")), read_bands(spark, month.work("bands"))
 
     write_scores(pair_scores(words, sources), month.scores)
     # Scored again rather than ranked from the full scores: the tasks cut to
     # eleven per target, with bounds, and the pairs are never sorted.
-    top = top_similar(words, sources)
+    top = top_similar_stored(words, sources)
 
     mart.put(spark, month.fact, mart.fact_rows(top), mart.FACT_KEYS, schemas.FACT)
     fact = mart.read(spark, month.fact, schemas.FACT)

@@ -15,6 +15,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly where the source has fewer parts than the
+    session has cores, as a table of one row group has; else as they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def even_chunks(df: DataFrame, n_rows: int, chunk: int = FINGERPRINT_CHUNK) -> DataFrame:
     """Even partitions of at most ``chunk`` rows, given the row count."""
     return df.repartition(max(1, math.ceil(n_rows / chunk)))

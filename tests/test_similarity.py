@@ -1,11 +1,15 @@
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from simmart.functions.fingerprint import pack
 from simmart.operators import scoring
-from simmart.operators.similarity import pair_scores, rank_top, top_similar
+from simmart.operators.similarity import (
+    pair_scores, rank_top, read_bands, top_similar, top_similar_stored, wanted_bands, write_bands,
+)
+from simmart.plans import monthly
 
 BITS = 128
 FLAG = "has_duplicates_of_last_largest_score"
@@ -54,22 +58,75 @@ def case():
     return targets, sources
 
 
-@pytest.mark.parametrize("method", ["words", "postings"])
-@pytest.mark.parametrize("block, rows", [(1024, 65_536), (4, 32)])
-def test_scores_equal_brute_force(spark, case, method, block, rows, monkeypatch):
-    """With one block of targets, and with many blocks and refilled sources."""
-    for name, value in (("WIDTH", block), ("ALL_ROWS", rows), ("BEST_ROWS", rows)):
+@pytest.mark.parametrize("block, rows, near", [(1024, 65_536, 2_048), (4, 32, 2), (1024, 200, 12)])
+def test_scores_equal_brute_force(spark, case, block, rows, near, monkeypatch):
+    """With one block of targets, and with many blocks and refilled sources;
+    with first floors and without."""
+    for name, value in (("WIDTH", block), ("ALL_ROWS", rows), ("BEST_ROWS", rows), ("NEAR_ROWS", near), ("OUT_ROWS", 8 * rows)):
         monkeypatch.setattr(scoring, name, value)
     targets, sources = case
     scores = brute(targets, sources)
     t, s = words(spark, targets), words(spark, sources).repartition(5)
-    full = pair_scores(t, s, method, BITS)
+    full = pair_scores(t, s, BITS)
     assert {tuple(r) for r in full.collect()} == set(scores)
     assert full.count() == len(scores)
-    top = top_similar(t, s, 10, method, BITS)
+    top = top_similar(t, s, 10, BITS)
     assert {tuple(r) for r in top.collect()} == brute_top(scores)
 
 
+@pytest.mark.parametrize("band", [1, 8, 64])
+@pytest.mark.parametrize("k", [2, 10])
+def test_stored_bands_equal_brute_force(spark, tmp_path, case, band, k):
+    targets, sources = case
+    write_bands(words(spark, sources).repartition(5), f"{tmp_path}/bands", band)
+    store = read_bands(spark, f"{tmp_path}/bands")
+    top = top_similar_stored(words(spark, targets), store, k, BITS, band)
+    assert {tuple(r) for r in top.collect()} == brute_top(brute(targets, sources), k)
+    assert store.count() == sum(b is not None for _, b in sources)
+
+
+def test_second_round_reads_only_bands_that_can_matter(spark, tmp_path):
+    """Targets of about 20 set bits among sources of 1 to 120: those that are
+    alike have about as many."""
+    rng = random.Random(3)
+
+    def row(name, n):
+        bits = ["0"] * 128
+        for i in rng.sample(range(40), n) if n <= 40 else rng.sample(range(128), n):
+            bits[i] = "1"
+        return name, "".join(bits)
+
+    sources = [row(f"s{i:04}", 1 + i % 120) for i in range(1200)]
+    sources += [(f"t{i}-{j}", sources[19 + 120 * (i % 10)][1]) for i in range(10) for j in range(12)]
+    targets = [(f"q{i}", sources[19 + 120 * i][1]) for i in range(10)]
+    write_bands(words(spark, sources), f"{tmp_path}/bands", 8)
+    store = read_bands(spark, f"{tmp_path}/bands")
+    top = top_similar_stored(words(spark, targets), store, 10, BITS, 8)
+    assert {tuple(r) for r in top.collect()} == brute_top(brute(targets, sources))
+    floored = words(spark, targets).withColumn("floor", F.lit(0.9))
+    assert wanted_bands(floored, 8, BITS) == []  # counts of 18 to 22, all within the own band
+    assert wanted_bands(floored.withColumn("floor", F.lit(0.75)), 8, BITS) == [1, 3]
+
+
+def test_scores_of_one_target_read_few_row_groups(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(f"m{i:04}", "".join(rng.choice("01") for _ in range(64))) for i in range(1000)]
+    t = words(spark, rows)
+    monthly.write_scores(pair_scores(t, words(spark, rows[:300]).coalesce(1), n_bits=64), f"{tmp_path}/scores", 4096)
+    path = f"{tmp_path}/scores"
+    found = monthly.scores_of(spark, path, ["m0500"])
+    assert found.count() == 300
+    assert "EqualTo(target_chembl_id,m0500)" in found._jdf.queryExecution().executedPlan().toString()  # pushed to the footers
+    holding = total = 0
+    for file in (tmp_path / "scores").glob("*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        for i in range(footer.num_row_groups):
+            least = footer.row_group(i).column(0).statistics
+            total += 1
+            holding += least.min <= "m0500" <= least.max
+    assert total >= 200 and holding <= total / 100
+
+
 def test_rank_top_of_full_scores(spark, case):
     targets, sources = case
     full = pair_scores(words(spark, targets), words(spark, sources), n_bits=BITS)
