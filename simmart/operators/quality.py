@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from simmart.operators.dedup import repeated_keys
 
@@ -44,6 +44,12 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
 
 
+def write_counts(spark: SparkSession, counts: dict[str, int], path: str) -> DataFrame:
+    """(step, n_rows), stored; the same run writes it again."""
+    spark.createDataFrame(list(counts.items()), "step string, n_rows bigint").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def count_distinct(df: DataFrame, key: str, approximate: bool = False) -> DataFrame:
     """One row: number of distinct ids."""
     count = F.approx_count_distinct(key) if approximate else F.countDistinct(key)
@@ -57,4 +63,5 @@ __all__ = [
     "primary_key_violations",
     "reconcile",
     "repeated_keys",
+    "write_counts",
 ]

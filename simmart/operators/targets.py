@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from simmart.functions.fingerprint import is_structure, structure_fault
 from simmart.functions.text import has_non_ascii, is_blank, strip
@@ -35,6 +35,20 @@ def judged_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("reason", line_reason(F.col("line"), F.col("content")))
 
 
+def observed_lines(lines: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Numbered lines, and what the next action on them counts: files, lines,
+    lines that give a molecule, and those that are silent or refused."""
+    seen, reason = Observation(name), line_reason(F.col("line"), F.col("content"))
+    counts = {
+        "files": F.col("line") == 1,
+        "lines": F.lit(True),
+        "molecule lines": reason.isNull(),
+        "silent lines": F.coalesce(reason.isin(SILENT), F.lit(False)),
+        "refused lines": F.coalesce(~reason.isin(SILENT), F.lit(False)),
+    }
+    return lines.observe(seen, *(F.count_if(test).alias(what) for what, test in counts.items())), seen
+
+
 def molecules(lines: DataFrame) -> DataFrame:
     """(file, line, chembl_id, smiles) of the accepted lines."""
     parts = F.split(F.col("content"), ",", 2)

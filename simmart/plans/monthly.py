@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from simmart import schemas
 from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, pack
 from simmart.operators.dedup import drop_repeats
+from simmart.operators.quality import counted, write_counts
 from simmart.operators.similarity import pair_scores, read_bands, top_similar_stored, write_bands
-from simmart.operators.targets import accepted_targets, monthly_targets, refused_lines, refused_targets
+from simmart.operators.targets import accepted_targets, monthly_targets, observed_lines, refused_lines, refused_targets
 from simmart.plans import mart
 from simmart.plans.ingest import require_settings
 from simmart.sources import files
@@ -79,28 +80,46 @@ def has_files(spark: SparkSession, folder: str, day: dt.date) -> bool:
     )
 
 
+class _Steps:
+    """Writes stages that are read more than once, and counts their rows."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.counts = spark, {}
+
+    def write(self, df: DataFrame, path: str, step: str) -> DataFrame:
+        rows, seen = counted(df, f"{path} {step}")
+        rows.write.mode("overwrite").parquet(path)
+        self.counts[step] = seen.get["n_rows"]
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def run(spark: SparkSession, month: Month) -> DataFrame:
     """One month: targets, full scores, top ten, fact, dimension. Returns the
-    broken keys of the new mart. A month without files loads nothing new."""
+    broken keys of the new mart. A month without files loads nothing new. What
+    each step found and made is counted in the table ``month.work("counts")``."""
+    steps = _Steps(spark)
     # The files are numbered and decoded once; what follows reads the lines.
-    lines = month.work("lines")
-    files.target_file_lines(spark, month.targets, month.day).write.mode("overwrite").parquet(lines)
-    lines = spark.read.parquet(lines)
-    refused_lines(lines).write.mode("overwrite").parquet(f"{month.refused}/lines")
-    monthly_targets(lines).write.mode("overwrite").parquet(month.work("targets"))
-    targets = spark.read.parquet(month.work("targets"))
-    refused_targets(targets).write.mode("overwrite").parquet(f"{month.refused}/targets")
-    target_words(accepted_targets(targets)).write.mode("overwrite").parquet(month.work("words"))
+    lines, seen = observed_lines(files.target_file_lines(spark, month.targets, month.day), f"{month.scores} lines")
+    lines.write.mode("overwrite").parquet(month.work("lines"))
+    lines = spark.read.schema(lines.schema).parquet(month.work("lines"))
+    steps.counts |= seen.get
+    steps.write(refused_lines(lines), f"{month.refused}/lines", "refused lines written")
+    targets = steps.write(monthly_targets(lines), month.work("targets"), "targets")
+    steps.write(refused_targets(targets), f"{month.refused}/targets", "targets refused")
+    words = steps.write(target_words(accepted_targets(targets)), month.work("words"), "targets scored")
     write_bands(source_words(spark, month.fingerprints), month.work("bands"))
-    words, sources = spark.read.parquet(month.work("words")), read_bands(spark, month.work("bands"))
+    sources = read_bands(spark, month.work("bands"))
 
-    write_scores(pair_scores(words, sources), month.scores)
+    scores, n_scores = counted(pair_scores(words, sources), f"{month.scores} scores")
+    write_scores(scores, month.scores)
+    steps.counts |= {"sources": sources.count(), "scores": n_scores.get["n_rows"]}
     # Scored again rather than ranked from the full scores: the tasks cut to
     # eleven per target, with bounds, and the pairs are never sorted.
     top = top_similar_stored(words, sources)
 
-    mart.put(spark, month.fact, mart.fact_rows(top), mart.FACT_KEYS, schemas.FACT)
+    steps.counts["fact rows put"] = mart.put(spark, month.fact, mart.fact_rows(top), mart.FACT_KEYS, schemas.FACT)
     fact = mart.read(spark, month.fact, schemas.FACT)
     rows = mart.dim_rows(spark.read.parquet(month.properties), spark.read.parquet(month.dictionary), fact)
-    mart.put(spark, month.dim, rows, mart.DIM_KEYS, schemas.DIM)
+    steps.counts["dimension rows put"] = mart.put(spark, month.dim, rows, mart.DIM_KEYS, schemas.DIM)
+    write_counts(spark, steps.counts, month.work("counts"))
     return mart.fact_faults(fact, mart.read(spark, month.dim, schemas.DIM))

@@ -279,6 +279,14 @@ def test_two_months(spark, tmp_path):
     assert [r.chembl_id for r in spark.read.parquet(f"{root}/m8/refused/targets").collect()] == ["S3"]
     assert first.where("target_chembl_id = source_chembl_id").count() == 0
 
+    counts = {r.step: r.n_rows for r in spark.read.parquet(f"{root}/m8/scores-work/counts").collect()}
+    assert counts["molecule lines"] + counts["silent lines"] + counts["refused lines"] == counts["lines"] == 6
+    assert counts["refused lines"] == counts["refused lines written"] == counts["files"] == 1
+    assert counts["targets refused"] + counts["targets scored"] == counts["targets"] == 3
+    assert counts["scores"] == counts["targets scored"] * counts["sources"] - 2 == 78  # both are sources too
+    assert counts["fact rows put"] == first.count() and counts["dimension rows put"] == mart.read(spark, f"{root}/dim", schemas.DIM).count()
+    assert monthly.scores_of(spark, f"{root}/m8/scores", ["S2"]).count() == 39
+
     first = spark.createDataFrame(first.collect(), schemas.FACT)
     second = monthly.run(spark, month(root, dt.date(2024, 9, 1), "m9"))
     assert second.count() == 0
@@ -292,49 +300,177 @@ def test_two_months(spark, tmp_path):
     assert sorted(mart.read(spark, f"{root}/fact", schemas.FACT).collect()) == sorted(both)
 
 
-def test_put_rewrites_touched_parts_only(spark, tmp_path):
+def values(spark, path):
+    return {(r.source_chembl_id, r.target_chembl_id): r.tanimoto_similarity for r in mart.read(spark, path, schemas.FACT).collect()}
+
+
+def put(spark, path, rows, **more):
+    return mart.put(spark, path, fact(spark, rows).repartition(3), mart.FACT_KEYS, schemas.FACT, **more)
+
+
+def ranges(spark, path):
+    """The files of a table, checked: no ranges overlap, and counts hold."""
+    files = mart.table_files(spark, path)
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+    for f in files:
+        held = spark.read.parquet(f.file)
+        assert (held.count(), *held.agg(F.min("target_chembl_id"), F.max("target_chembl_id")).first()) == (f.n_rows, f.low, f.high)
+    return files
+
+
+def test_put_replaces_and_appends(spark, tmp_path):
     path = str(tmp_path / "fact")
+    assert mart.read(spark, path, schemas.FACT).count() == 0
     rows = [(f"s{i}", f"t{i % 7}", i / 100) for i in range(100)]
-    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "fact").rglob("*.parquet")}
-    mart.put(spark, path, fact(spark, rows), mart.FACT_KEYS, schemas.FACT)
-    before = files()
-    new = [("s3", "t3", 0.9), ("x", "y", 0.8)]
-    for _ in range(2):
-        mart.put(spark, path, fact(spark, new), mart.FACT_KEYS, schemas.FACT)
+    assert put(spark, path, rows) == 100
+    new = [("s3", "t3", 0.9), ("x", "y", 0.8), ("x", "a", 0.7)]
     expected = {(s, t): v for s, t, v in [*rows, *new]}
-    found = mart.read(spark, path, schemas.FACT).collect()
-    assert {(r.source_chembl_id, r.target_chembl_id): r.tanimoto_similarity for r in found} == expected and len(found) == 101
-    parts = {p.parent.name for p in set(before) ^ set(files())}
-    assert len(parts) <= 2 and len({p.parent.name for p in before}) > 40
+    for _ in range(3):
+        assert put(spark, path, new) == 3 and values(spark, path) == expected
+    assert mart.read(spark, path, schemas.FACT).count() == len(expected)
+    assert put(spark, path, []) == 0 and values(spark, path) == expected
+
+
+def test_put_leaves_most_files_and_grows_with_the_table(spark, tmp_path):
+    """A month of 40 new targets among 10,000 leaves more than half of the
+    files as they are; ten times the rows are about ten times the files."""
+    rng = random.Random(6)
+    names = rng.sample(range(1_000_000), 10_040)
+    rows = [(f"s{j}", f"t{n:07}", j / 16) for n in names[:10_000] for j in range(10)]
+    small, large = str(tmp_path / "small"), str(tmp_path / "large")
+    put(spark, small, rows[: len(rows) // 10], part_rows=1_000)
+    put(spark, large, rows, part_rows=1_000)
+    few, many = mart.table_files(spark, small), ranges(spark, large)[:]
+    assert 7 <= len(few) <= 14 and 80 <= len(many) <= 130
+    month = [(f"s{j}", f"t{n:07}", j / 16) for n in names[10_000:] for j in range(10)]
+    put(spark, large, month, part_rows=1_000)
+    after = mart.table_files(spark, large)
+    assert len({f.file for f in many} & {f.file for f in after}) > len(many) / 2
+    assert values(spark, large) == {(s, t): v for s, t, v in [*rows, *month]}
+    # Nine times as many rows beyond the last key are cut into files of their own.
+    beyond = [(f"s{j}", f"u{n:07}", j / 16) for n in range(900) for j in range(10)]
+    put(spark, small, beyond, part_rows=1_000)
+    assert len(mart.table_files(spark, small)) >= len(few) + 7
+    assert values(spark, small) == {(s, t): v for s, t, v in [*rows[: len(rows) // 10], *beyond]}
+
+
+def test_hot_target_stays_in_one_file(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = [(f"s{i}", "hot" if i % 3 == 0 else f"t{i}", 0.5) for i in range(600)]
+    put(spark, path, rows, part_rows=50)
+    ranges(spark, path)
+    put(spark, path, [(f"n{i}", "hot", 0.25) for i in range(300)], part_rows=50)
+    ranges(spark, path)
+    found = mart.read_keys(spark, path, schemas.FACT, "target_chembl_id", ["hot", "t4"])
+    assert found.count() == 501 and len(found.inputFiles()) <= 2
 
 
-@pytest.mark.parametrize("files_per_batch", [1, 1000])
-def test_stream_takes_each_file_once(spark, tmp_path, files_per_batch):
-    """One fact, however many files come in a batch, also when batches are
-    repeated, and when the progress is lost."""
+def test_gone_keys_leave_the_table(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    put(spark, path, [(f"s{i}", f"t{i % 50:02}", 0.5) for i in range(500)], part_rows=40)
+    gone = spark.createDataFrame([("t07",), ("t31",), ("t31",), ("zz",)], "id string")
+    put(spark, path, [("a", "t07", 1.0)], part_rows=40, gone=gone)
+    found = values(spark, path)
+    assert len(found) == 481 and found[("a", "t07")] == 1.0 and not any(t == "t31" for _, t in found)
+    everything = spark.createDataFrame([(f"t{i:02}",) for i in range(50)], "id string")
+    assert put(spark, path, [], part_rows=40, gone=everything) == 0 and values(spark, path) == {}
+    put(spark, path, [("b", "c", 0.5)])
+    assert values(spark, path) == {("b", "c"): 0.5}
+
+
+def test_put_that_broke_off_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    rows = [(f"s{i}", f"t{i % 50:02}", 0.5) for i in range(500)]
+    put(spark, path, rows, part_rows=40)
+    before = values(spark, path)
+    broken = fact(spark, [("x", "t01", 0.9)]).withColumn("tanimoto_similarity", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        mart.put(spark, path, broken, mart.FACT_KEYS, schemas.FACT, part_rows=40)
+    with monkeypatch.context() as m:  # new files are written, the list is not
+        m.setattr(mart, "FILE", "low nonsense")
+        with pytest.raises(Exception):
+            put(spark, path, [("x", "t01", 0.9)], part_rows=40)
+    assert values(spark, path) == before
+    put(spark, path, [("x", "t01", 0.9)], part_rows=40)
+    assert values(spark, path) == before | {("x", "t01"): 0.9}
+
+
+def test_old_files_are_removed_after_one_more_put(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = [(f"s{i}", f"t{i % 50:02}", 0.5) for i in range(500)]
+    put(spark, path, rows, part_rows=40)
+    earlier = mart.read(spark, path, schemas.FACT)
+    put(spark, path, [("x", "t01", 0.9)], part_rows=40)
+    assert earlier.count() == 500  # a reader of the list before is still served
+    for i in range(3):
+        put(spark, path, [("x", "t01", i / 4)], part_rows=40)
+    held = {p.name for p in (tmp_path / "fact" / "parts").rglob("*.parquet")}
+    listed = {f.file.rsplit("/", 1)[1] for f in mart.table_files(spark, path)}
+    assert listed <= held and len(held - listed) <= 1
+    assert values(spark, path) == {(s, t): v for s, t, v in [*rows, ("x", "t01", 0.5)]}
+
+
+def test_number_keys(spark, tmp_path):
+    schema, path = "k bigint, v string", str(tmp_path / "t")
+    big = 2**60
+    for rows in ([(big + i, "a") for i in range(100)], [(big + i, "b") for i in range(50, 150)], [(-5, "c")]):
+        mart.put(spark, path, spark.createDataFrame(rows, schema), ["k"], schema, part_rows=10)
+    found = {r.k: r.v for r in mart.read(spark, path, schema).collect()}
+    assert found == {big + i: "a" if i < 50 else "b" for i in range(150)} | {-5: "c"}
+
+
+STREAM = {"07": "h\nS1,CCN\nS3,C(\nS5,CCCC\n", "08": "h\nS1,NN\nS2,CCCNN\nS3,CN\nbad\n", "09": "h\nS3,CC\nS5,C)\nS4,CNCN\n\n"}
+
+
+@pytest.mark.parametrize("files_per_batch, order", [(1, ("07", "08", "09")), (1, ("09", "08", "07")), (1000, ("08", "09", "07"))])
+def test_stream_gives_one_fact_in_any_order(spark, tmp_path, files_per_batch, order):
+    """The first row of an id by file and line counts, in whatever order files
+    arrive and however many come in a batch, also when batches are repeated, and
+    when the progress is lost."""
     root = str(tmp_path)
     prepare(spark, root)
     (tmp_path / "in").mkdir()
     sources = monthly.source_words(spark, f"{root}/prints")
+    calls = []
 
     def run(name):
         load = stream.FactLoader(sources, f"{root}/stream", name)
 
         def twice(lines, batch_id):
             load(lines, batch_id)
+            calls.append((name, batch_id))
             load(lines, batch_id)
 
         stream.load_new_targets(spark, f"{root}/in", name, twice, files_per_batch=files_per_batch).awaitTermination()
-        return mart.read(spark, f"{root}/stream/fact", schemas.FACT).collect()
+        return sorted(mart.read(spark, f"{root}/stream/fact", schemas.FACT).collect())
 
     first, other = (f"targets_{uuid.uuid4().hex}" for _ in range(2))
-    for month_, text in (("07", "h\nS1,CCN\nS3,C(\n"), ("08", "h\nS1,NN\nS2,CCCNN\n"), ("09", "h\nS3,CC\n")):
-        (tmp_path / "in" / f"data_{month_}_2024.csv").write_text(text)
+    for month_ in order:
+        (tmp_path / "in" / f"data_{month_}_2024.csv").write_text(STREAM[month_])
         time.sleep(0.02)
     (tmp_path / "in" / "other.csv").write_text("h\nS9,CCN\n")
-    expected = mart.fact_rows(
-        top_similar(monthly.target_words(spark.createDataFrame([("S1", "CCN"), ("S2", "CCCNN")], schemas.TARGET)), sources)
-    ).collect()
-    assert sorted(run(first)) == sorted(expected) and len(expected) == 20
-    assert sorted(run(first)) == sorted(expected)
-    assert sorted(run(other)) == sorted(expected)
+    # S3's first row is refused, so that later ones do not count either.
+    rows = [("S1", "CCN"), ("S2", "CCCNN"), ("S4", "CNCN"), ("S5", "CCCC")]
+    expected = sorted(mart.fact_rows(top_similar(monthly.target_words(spark.createDataFrame(rows, schemas.TARGET)), sources)).collect())
+    assert run(first) == expected and len(expected) == 40
+    assert run(first) == expected
+    assert run(other) == expected
+    assert len(calls) == 2 * (3 if files_per_batch == 1 else 1)
+    again = {r.step: r.n_rows for r in spark.read.parquet(f"{root}/stream/counts/run={other}").groupBy("step").agg(F.sum("n_rows").alias("n_rows")).collect()}
+    assert again["files"] == 3 and again["lines"] == 14 and again["fact rows put"] == again["targets taken over"] == 0
+    assert again["molecule lines"] + again["silent lines"] + again["refused lines"] == again["lines"] and again["refused lines"] == 1
+
+
+def test_stream_counts_add_up(spark, tmp_path):
+    root = str(tmp_path)
+    prepare(spark, root)
+    (tmp_path / "in").mkdir()
+    for month_, text in STREAM.items():
+        (tmp_path / "in" / f"data_{month_}_2024.csv").write_text(text)
+    load = stream.FactLoader(monthly.source_words(spark, f"{root}/prints"), f"{root}/stream", "once")
+    stream.load_new_targets(spark, f"{root}/in", f"targets_{uuid.uuid4().hex}", load).awaitTermination()
+    found = {r.step: r.n_rows for r in spark.read.parquet(f"{root}/stream/counts/run=once/batch=0").collect()}
+    assert found == {
+        "files": 3, "lines": 14, "molecule lines": 9, "silent lines": 4, "refused lines": 1,
+        "targets taken over": 5, "targets scored": 4, "fact rows put": 40,
+    }
