@@ -173,6 +173,13 @@ SELECT vec_id,
 FROM signed
 """,
     "fingerprint_scan": "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
+    "fingerprint_file_faults": """
+WITH p AS (SELECT CAST(doc_id % 8 AS INTEGER) AS part, count(*) AS n, count(text) AS filled FROM documents GROUP BY ALL)
+SELECT part, CASE part WHEN 1 THEN 'no column text' WHEN 2 THEN 'column text is bigint, not string' WHEN 3 THEN 'made with'
+                       WHEN 4 THEN 'unreadable' WHEN 5 THEN 'column doc_id is string, not bigint' END AS fault,
+       CASE WHEN part <> 4 THEN n END AS n_rows, CASE WHEN part IN (0, 6, 7) AND filled > 0 THEN filled END AS rows_read
+FROM p
+""",
     "structure_scan": "SELECT doc_id AS chembl_id, text AS canonical_smiles FROM documents",
     "limit_offset": "SELECT doc_id AS chembl_id, text AS canonical_smiles FROM documents "
     "ORDER BY doc_id LIMIT 150 OFFSET 100",

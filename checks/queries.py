@@ -55,6 +55,37 @@ def fingerprint_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.fingerprint_files(spark, f"{sf}/documents.parquet", "doc_id bigint, text string", "text")
 
 
+def fingerprint_file_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as a store of eight files, some of which cannot be used:
+    another column name, another type, other settings, and plain text. Files
+    with their rows and faults, and the rows that a read of the others gives."""
+    folder = f"{shared_dir(spark)}/prints-{uuid.uuid4().hex}"
+    docs, own = table(spark, sf, "documents").select("doc_id", "text", "n_chars"), F.pmod("doc_id", F.lit(8)).cast("int")
+    made = {"radius": 2, "n_bits": 2048}
+    id_, text = F.col("doc_id"), F.col("text").alias("text", metadata=made)
+    shapes = {
+        1: [id_, F.col("text").alias("smiles", metadata=made)],
+        2: [id_, F.col("n_chars").alias("text", metadata=made)],
+        3: [id_, F.col("text").alias("text", metadata=made | {"radius": 3})],
+        5: [F.col("doc_id").cast("string").alias("doc_id"), text],
+    }
+    for part in (0, 1, 2, 3, 5, 6, 7):
+        docs.where(own == part).select(*shapes.get(part, [id_, text])).coalesce(1).write.parquet(f"{folder}/part={part}")
+    docs.where(own == 4).select(F.coalesce("text", F.lit(""))).coalesce(1).write.text(f"{folder}/part=4")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part=4")):
+        name = found.getPath().toString()
+        if name.endswith(".txt"):
+            fs.rename(found.getPath(), spark._jvm.org.apache.hadoop.fs.Path(name[:-4] + ".parquet"))
+    schema = "doc_id bigint, text string"
+    audit = files.file_audit(spark, folder, schema, made)
+    part = F.regexp_extract("file", r"part=(\d)/", 1).cast("int").alias("part")
+    read = files.fingerprint_files(spark, folder, schema, "text", placed=True, only=files.usable_files(audit))
+    rows = read.groupBy(part).agg(F.count("*").alias("rows_read"))
+    fault = F.regexp_replace("fault", r"(:| \{).*", "").alias("fault")
+    return audit.select(part, fault, "n_rows").join(rows, "part", "left")
+
+
 def structure_scan(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         F.col("doc_id").alias("chembl_id"), F.col("text").alias("canonical_smiles")
@@ -389,6 +420,7 @@ QUERIES = {
     "fingerprint_bits": fingerprint_bits,
     "fingerprint_decode": fingerprint_decode,
     "fingerprint_scan": fingerprint_scan,
+    "fingerprint_file_faults": fingerprint_file_faults,
     "structure_scan": structure_scan,
     "limit_offset": limit_offset,
     "tanimoto_full": tanimoto_full,

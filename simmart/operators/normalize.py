@@ -35,10 +35,11 @@ def page_faults(pages: DataFrame, rows: int, keep: tuple[str, ...] = ("page_offs
     """Pages that are lost or broken, hold no list of records, or fewer records
     than the total implies: the kept columns, reason and n_records. Only the
     records of short pages can be used. Columns of the pages: page_offset,
-    status, body and problem."""
+    status, body, problem, and page_rows if pages may be of less than rows."""
     page = pages.withColumn("_page", F.from_json("body", ENVELOPE)).withColumn("_list", _records(F.col("_page")))
     total = F.col("_page.page_meta.total_count")
-    due = F.least(F.lit(rows), total - F.col("page_offset"))
+    own = F.coalesce("page_rows", F.lit(rows)) if "page_rows" in pages.columns else F.lit(rows)
+    due = F.least(own, F.lit(rows), total - F.col("page_offset"))
     found = F.size("_list")
     reason = (
         F.when(F.col("status") != "ok", F.concat(F.lit("lost: "), F.coalesce("problem", F.lit("unknown"))))

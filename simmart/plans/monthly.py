@@ -14,7 +14,6 @@ from simmart.operators.quality import counted, write_counts
 from simmart.operators.similarity import pair_scores, read_bands, top_similar_stored, write_bands
 from simmart.operators.targets import accepted_targets, monthly_targets, observed_lines, refused_lines, refused_targets
 from simmart.plans import mart
-from simmart.plans.ingest import require_settings
 from simmart.sources import files
 
 
@@ -41,11 +40,26 @@ class Month:
         return f"{self.scores}-work/{name}"
 
 
-def source_words(spark: SparkSession, folder: str, radius: int = RADIUS, n_bits: int = N_BITS) -> DataFrame:
+WORDS = "chembl_id string, words array<bigint>"
+
+
+def source_audit(spark: SparkSession, folder: str, radius: int = RADIUS, n_bits: int = N_BITS) -> DataFrame:
+    """The files of the fingerprint store, with the fault of those that cannot
+    be used: unreadable, without the columns, or made with other settings."""
+    return files.file_audit(spark, folder, WORDS, {"radius": radius, "n_bits": n_bits})
+
+
+def source_words(spark: SparkSession, folder: str, audit: DataFrame | None = None) -> DataFrame:
     """(chembl_id, words) of the fingerprint store: the first row of each id,
-    in file and row order. The bit texts beside the words are not read."""
-    require_settings(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder), radius, n_bits)
-    prints = files.fingerprint_files(spark, folder, "chembl_id string, words array<bigint>", "words", placed=True)
+    in file and row order. The bit texts beside the words are not read. Any
+    file that cannot be used fails the read; with a stored audit only the
+    others are read."""
+    found = source_audit(spark, folder) if audit is None else audit
+    if audit is None:
+        faulty = found.where("fault is not null").select("file", "fault").limit(3).collect()
+        if faulty:
+            raise ValueError("; ".join(f"{r.file}: {r.fault}" for r in faulty))
+    prints = files.fingerprint_files(spark, folder, WORDS, "words", placed=True, only=files.usable_files(found))
     first = drop_repeats(prints.where("chembl_id is not null"), ["chembl_id"], ["file", "row"])
     return first.select("chembl_id", "words")
 
@@ -95,7 +109,8 @@ class _Steps:
 
 def run(spark: SparkSession, month: Month) -> DataFrame:
     """One month: targets, full scores, top ten, fact, dimension. Returns the
-    broken keys of the new mart. A month without files loads nothing new. What
+    broken keys of the new mart. A month without files loads nothing new. Files
+    of fingerprints that cannot be used are listed among what was refused. What
     each step found and made is counted in the table ``month.work("counts")``."""
     steps = _Steps(spark)
     # The files are numbered and decoded once; what follows reads the lines.
@@ -107,7 +122,10 @@ def run(spark: SparkSession, month: Month) -> DataFrame:
     targets = steps.write(monthly_targets(lines), month.work("targets"), "targets")
     steps.write(refused_targets(targets), f"{month.refused}/targets", "targets refused")
     words = steps.write(target_words(accepted_targets(targets)), month.work("words"), "targets scored")
-    write_bands(source_words(spark, month.fingerprints), month.work("bands"))
+    audit = steps.write(source_audit(spark, month.fingerprints), month.work("source_files"), "source files")
+    faulty = audit.where("fault is not null")
+    steps.write(faulty, f"{month.refused}/source_files", "source files refused")
+    write_bands(source_words(spark, month.fingerprints, audit), month.work("bands"))
     sources = read_bands(spark, month.work("bands"))
 
     scores, n_scores = counted(pair_scores(words, sources), f"{month.scores} scores")

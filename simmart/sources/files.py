@@ -3,8 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-
+import json
+import re
+from collections.abc import Iterator
+from urllib.parse import quote, unquote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from simmart.functions.text import decode_bytes, is_blank
 
@@ -75,21 +83,29 @@ def fingerprint_files(
     bits: str = "fingerprint",
     skip_corrupt: bool = False,
     placed: bool = False,
+    only: list[str] | None = None,
 ) -> DataFrame:
     """The named columns of a folder's Parquet files, rows without bits
     dropped; placed adds file and row. Other file types are ignored.
 
     The schema is declared, so that no file's fate depends on its name: an
     unreadable file fails the read, or on request is skipped wherever it
-    stands, and then ``files_without_rows`` lists it.
+    stands, and then ``files_without_rows`` lists it. A column that a file
+    lacks reads as null. To be told of all files that cannot be used before
+    any is read, take the ``only`` that ``usable_files`` of an audit gives.
     """
-    found = (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", str(skip_corrupt).lower())
-        .parquet(folder)
-    )
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")] if placed else []
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower())
+    if only is None:
+        found = reader.option("pathGlobFilter", "*.parquet").parquet(folder)
+    elif only:
+        found = reader.parquet(*only)
+    else:
+        found = spark.createDataFrame([], schema)
+    place = []
+    if placed and only != []:
+        place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    elif placed:
+        place = [F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("row")]
     return found.select(*found.columns, *place).dropna(subset=[bits])
 
 
@@ -98,3 +114,74 @@ def files_without_rows(spark: SparkSession, folder: str, read: DataFrame) -> Dat
     ``skip_corrupt`` gave no row: the skipped ones, and any that are empty."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
     return listed.select(F.col("path").alias("file")).join(read.select("file").distinct(), "file", "left_anti")
+
+
+FOOTERS_A_TASK = 256
+AUDIT = "file string, n_rows bigint, n_bytes bigint, fault string"
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def file_audit(spark: SparkSession, folder: str, schema: str, settings: dict | None = None) -> DataFrame:
+    """(file, n_rows, n_bytes, fault) of every Parquet file of a folder, by its
+    footer; the fault is null where the file can be used.
+
+    A file can be used if its footer can be read and it has the columns of the
+    schema with their types. With settings, it must also have been written
+    with these as metadata of a column, as ``write_fingerprints`` does. Rows and
+    bytes are null where the footer cannot be read. Footers are read by tasks,
+    some at a time; names alone come to the driver, those of files without a
+    byte among them, which Spark's readers pass over.
+    """
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).inputFiles()
+    listed = spark.createDataFrame([(unquote(n),) for n in names], "file string")
+    wanted = [(f.name, f.dataType.simpleString()) for f in spark.createDataFrame([], schema).schema.fields]
+
+    def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [footer_fault(name, wanted, settings) for name in batch.column(0).to_pylist()]
+            rows, sizes, faults = zip(*found) if found else ((), (), ())
+            columns = [batch.column(0), pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()), pa.array(faults, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "n_rows", "n_bytes", "fault"])
+
+    return listed.repartition(max(1, -(-len(names) // FOOTERS_A_TASK))).mapInArrow(audit, AUDIT)
+
+
+def opened(name: str) -> pa.NativeFile:
+    """A file by the name that Spark gives it."""
+    if name.startswith(("file:", "/")):
+        return pafs.LocalFileSystem().open_input_file(re.sub("^file:/*", "/", name))
+    system, path = pafs.FileSystem.from_uri(quote(name, safe=":/"))
+    return system.open_input_file(path)
+
+
+def footer_fault(name: str, wanted: list[tuple[str, str]], settings: dict | None) -> tuple[int | None, int | None, str | None]:
+    """A file's rows and bytes, and why it cannot be used."""
+    try:
+        with opened(name) as file:
+            size, footer = file.size(), pq.read_metadata(file)
+        schema = footer.schema.to_arrow_schema()
+    except Exception as problem:  # whatever a damaged file raises, it is the file's fault
+        return None, None, f"unreadable: {type(problem).__name__}"
+    own = json.loads((footer.metadata or {}).get(_SPARK_SCHEMA, b'{"type": "struct", "fields": []}'))
+    known = {f.name: f for f in StructType.fromJson(own).fields}
+    for column, kind in wanted:
+        if column not in schema.names:
+            return footer.num_rows, size, f"no column {column}"
+        found = known[column].dataType.simpleString() if column in known else _spark_type(schema.field(column).type)
+        if found != kind:
+            return footer.num_rows, size, f"column {column} is {found}, not {kind}"
+    if settings is not None and not any(f.metadata == settings for f in known.values()):
+        made = next((dict(sorted(f.metadata.items())) for f in known.values() if f.metadata), None)
+        return footer.num_rows, size, f"made with {made or 'unknown settings'}"
+    return footer.num_rows, size, None
+
+
+def _spark_type(kind: pa.DataType) -> str:
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    return from_arrow_type(kind).simpleString()
+
+
+def usable_files(audit: DataFrame) -> list[str]:
+    """The files without a fault; a name for each comes to the driver."""
+    return sorted(r.file for r in audit.where("fault is null").select("file").collect())

@@ -90,6 +90,45 @@ def test_a_corrupt_file_is_told_wherever_it_stands(spark, tmp_path, name):
     assert [f.rsplit("/", 1)[1] for f in skipped] == [f"{name}.parquet"]
 
 
+def test_audit_tells_every_file_that_cannot_be_used(spark, tmp_path):
+    """Read rows and listed rows add up to what the footers tell."""
+    folder, bits = f"{tmp_path}/store", "01" * 1024
+    prints = spark.createDataFrame([(f"m{i}", bits if i % 5 else None) for i in range(20)], schemas.FINGERPRINT)
+    for name in "abcd":
+        ingest.write_fingerprints(prints.coalesce(1), f"{folder}/{name}")
+    other = spark.createDataFrame([(f"n{i}", "01" * 512) for i in range(7)], schemas.FINGERPRINT)
+    ingest.write_fingerprints(other.coalesce(1), f"{folder}/width", n_bits=1024)
+    good = spark.read.parquet(f"{folder}/a")
+    good.withColumnRenamed("words", "word").coalesce(1).write.parquet(f"{folder}/column")
+    plain = F.col("chembl_id").alias("chembl_id", metadata={})
+    good.select(plain, "words").coalesce(1).write.parquet(f"{folder}/settings")
+    good.limit(0).coalesce(1).write.parquet(f"{folder}/empty")
+    file, = (tmp_path / "store" / "d").glob("*.parquet")
+    file.write_bytes(file.read_bytes()[:-40])
+    (tmp_path / "store" / "none.parquet").write_bytes(b"")
+
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for i, found in enumerate(sorted((tmp_path / "store").rglob("*.parquet"))):
+        (flat / f"{found.parent.name}-{i} x.parquet").write_bytes(found.read_bytes())
+    audit = monthly.source_audit(spark, str(flat))
+    told = {r.file.rsplit("/", 1)[1].split("-")[0]: (r.n_rows, r.fault) for r in audit.collect()}
+    assert told.pop("d")[0] is None and told.pop("store") == (None, "unreadable: ArrowInvalid")
+    assert told == {
+        "a": (16, None), "b": (16, None), "c": (16, None), "empty": (0, None),
+        "width": (7, "made with {'n_bits': 1024, 'radius': 2}"),
+        "column": (16, "no column words"),
+        "settings": (16, "made with unknown settings"),
+    }
+    read = files.fingerprint_files(spark, str(flat), monthly.WORDS, "words", placed=True, only=files.usable_files(audit))
+    listed = audit.where("fault is not null").agg(F.sum("n_rows")).first()[0]
+    assert read.count() + listed == audit.agg(F.sum("n_rows")).first()[0] == 16 * 5 + 7
+    with pytest.raises(ValueError, match="unreadable|no column|made with"):
+        monthly.source_words(spark, str(flat))
+    assert monthly.source_words(spark, str(flat), audit).count() == 16
+    assert files.fingerprint_files(spark, str(flat), monthly.WORDS, "words", placed=True, only=[]).count() == 0
+
+
 def test_reconcile(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert quality.reconcile(df, "k", df).first()[:] == (2, 3, False)

@@ -212,6 +212,56 @@ def test_ranges_of_a_table(spark, tmp_path):
     assert json.loads(fetcher.page(75, 4))["molecules"] == []
 
 
+def test_each_row_group_is_read_once(spark, tmp_path):
+    """Pages are cut where a partition ends; none is short then."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"i": range(1000)}), tmp_path / "a.parquet", row_group_size=90)
+    pq.write_table(pa.table({"i": range(1000, 1050)}), tmp_path / "b.parquet", row_group_size=9)
+    groups = []
+
+    class Counting(paged.ParquetPages):
+        def _records(self, own):
+            for block in own:
+                groups.append((block.file, block.group))
+                yield from super()._records([block])
+
+    fetcher = Counting(str(tmp_path), ["i"])
+    reader = paged._PageReader(fetcher, 8)
+    parts = reader.partitions()
+    rows = [row for part in parts for row in reader.read(part)]
+    assert len(groups) == len(set(groups)) == len(fetcher.blocks()) == 12 + 6 and len(parts) > 10
+    records = [x["i"] for r in sorted(rows) for x in json.loads(r[2])["molecules"]]
+    assert records == list(range(1050)) and {r[1] for r in rows} == {"ok"}
+    starts = {part.value[1][0].start for part in parts}
+    assert {r[0] for r in rows} == set(range(0, 1050, 8)) | starts  # seams beside the even offsets
+    assert max(r[4] for r in rows) == 8 and sum(r[4] for r in rows) == 1050
+
+    fetched = paged.pages(spark, paged.ParquetPages(str(tmp_path), ["i"]), 8, "t_seams")
+    assert fetched.rdd.getNumPartitions() == len(parts)
+    assert normalize.page_faults(fetched, 8).count() == 0
+    assert normalize.unnest_pages(paged.good_pages(fetched)).count() == 1050
+
+
+def test_a_group_that_cannot_be_read_loses_its_pages_only(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"i": range(100)}), tmp_path / "a.parquet", row_group_size=10)
+
+    class Faulty(paged.ParquetPages):
+        def _records(self, own):
+            for block in own:
+                if block.group == 3:
+                    raise OSError("torn")
+                yield from super()._records([block])
+
+    reader = paged._PageReader(Faulty(str(tmp_path), ["i"]), 10)
+    rows = [row for part in reader.partitions() for row in reader.read(part)]
+    assert [r[0] for r in rows if r[1] == "lost"] == [30] and len(rows) == 10
+
+
 def test_every_kind_of_page_fault(spark, tmp_path):
     """One failing, one cut-off and one short page of lookups, and none of
     molecules: the job tells all three and does not match."""
