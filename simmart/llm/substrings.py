@@ -38,6 +38,7 @@ from simmart.llm.common import blob, kept, partitions, per_batch, prepared, text
 from simmart.llm.words import Hasher, among, from_sorted_blob, sorted_blob, utf8
 
 WINDOW = 13
+CHUNK_BYTES = 32 << 20  # of the texts of a chunk of documents
 LAST = np.iinfo(np.int64).max  # stands for a null key
 _FOUND = "bucket bigint, chunk bigint, hashes binary, copies binary, firsts binary"
 _SUFFIXES = "grp bigint, chunk bigint, windows binary, edges binary, firsts binary, copies binary"
@@ -139,8 +140,9 @@ def without_repeats(
     (the text as it was if nothing was removed, else the kept words joined by
     one space) and repeats (first word and length of each maximal repeat)."""
     spark = prepared(docs.sparkSession)
-    n = partitions(spark)
-    chunks, groups = 2 * n, n
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = max(2 * partitions(spark), -(-size // CHUNK_BYTES))
+    n = groups = -(-chunks // 2)
     bits = min(64, 32 + (chunks - 1).bit_length())
     shift = np.uint64(64 - bits)
     edges = blocks(window)

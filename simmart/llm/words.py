@@ -1,14 +1,19 @@
 """Words of a text as 64-bit hashes, for whole texts at once in numpy.
 
 A word's hash is a polynomial in its UTF-8 bytes modulo 2**64, got from running
-sums over the text, and then mixed. Hashes of runs of words are made from word
-hashes in the same way.
+sums over the text, and then mixed. Modulo a power of two there are unlike texts,
+of a thousand letters and more, whose polynomials are equal by construction (those
+of the Thue-Morse sequence): words of over LONG bytes are hashed by XXH3
+instead. Hashes of runs of words are made from word hashes as those are of bytes;
+runs are short.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+LONG = 128
 _BASE = 0x9E3779B97F4A7C15
 _RUN_BASE = 0xD1342543DE82EF95
 _BITS = 2**64
@@ -62,7 +67,10 @@ class Hasher:
         powers, inverses = self._table(_BASE, n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self._bytes[data] * powers[:n], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * inverses[starts]), starts, ends
+        hashes = mix((sums[ends] - sums[starts]) * inverses[starts])
+        for i in np.flatnonzero(ends - starts > LONG):
+            hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+        return hashes, starts, ends
 
     def runs(self, words: np.ndarray, length: int, skip: int = 0, within: int | None = None) -> np.ndarray:
         """Of each run of `within` words (default: length), the hash of the
