@@ -27,15 +27,17 @@ A pair of likeness 0.8 shares a bucket with a probability of 0.99999 (30 bands
 of 5 rows; 0.9997 at 0.75), by the signatures of the plain sets alone and so
 however often runs repeat in either text.
 
-Texts without words, null texts among them, are equal texts. Rows of one key
-with several texts are compared by one of them, and each gets the class of its
-own text. Rows with a null key are kept, without a class.
-Keys are integers; only the named columns are read.
+Texts without words, null texts among them, are equal texts. It is texts that are
+compared, told by a digest of their words: of rows of one key with several texts
+each gets the class of its own text. (The smallest key of a class names it; unlike
+texts of one key may both have that name.) Rows with a null key are kept, without
+a class. Keys are integers; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -48,19 +50,13 @@ from simmart.operators.skew import splittable_join
 RUN = 5
 LIKENESS = 0.8
 BANDS, ROWS = 30, 5
-SLOTS = 1 << 26  # bits of the bitmap of needed keys: 8 MB
+SLOTS = 1 << 22, 1 << 28  # bits of a bitmap of keys, at least and at most: 32 MB
+SLOTS_A_KEY = 16
 SMALL = 64  # texts of a bucket of which pairs are listed; larger ones are compared in blocks
 BLOCK, COLUMNS = 512, 4096  # texts of a block; runs compared at a time
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def runs_of(text: str, run: int = RUN) -> np.ndarray:
-    """Hashes of the runs of words, in order."""
-    hasher = kept(("hasher",), Hasher)
-    words = hasher.words(utf8(text))[0]
-    return hasher.runs(words, min(run, max(1, len(words))))
-
-
 def regions(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Unit regions of the weighted elements: document and hash of each."""
     document = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
@@ -113,11 +109,9 @@ def _signed(docs: DataFrame, key: str, text: str, bands: int, rows: int, run: in
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         hasher = kept(("hasher",), Hasher)
-        runs, digests = [], []
-        for t in texts(batch.column(1)):
-            words = hasher.words(utf8(t))[0]
-            digests.append(xxhash.xxh3_128_digest(words.tobytes()))
-            runs.append(hasher.runs(words, min(run, max(1, len(words)))))
+        words = [hasher.words(utf8(t))[0] for t in texts(batch.column(1))]
+        digests = [xxhash.xxh3_128_digest(w.tobytes()) for w in words]
+        runs = [hasher.runs(w, min(run, max(1, len(w)))) for w in words]
         # Where no run repeats, the weighted set is the plain one.
         plain = [np.unique(r) for r in runs]
         again = [i for i, r in enumerate(runs) if len(plain[i]) < len(r)]
@@ -136,31 +130,54 @@ def _signed(docs: DataFrame, key: str, text: str, bands: int, rows: int, run: in
     return per_batch(columns, sign, "key bigint, digest binary, bands array<bigint>")
 
 
-def _slot(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+class KeyBitmap:
+    """A broadcast bitmap over hashes of keys, SLOTS_A_KEY bits for each, as
+    long as that stays under its greatest size: which rows are surely none of
+    them, so that only the others need be shuffled. Keys beyond fill it more,
+    which costs time and no result."""
+
+    def __init__(self, keys: DataFrame, column: str) -> None:
+        n = keys.count() * SLOTS_A_KEY
+        self.slots = min(SLOTS[1], max(SLOTS[0], 1 << n.bit_length()))
+        slots = keys.select(self.slot(column).alias("slot")).groupBy(F.expr("CAST(slot DIV 32 AS INT)").alias("word"))
+        words = slots.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS INT)))").alias("bits")).toArrow()
+        bitmap = np.zeros(self.slots // 32, np.uint32)
+        bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+        self._shared = keys.sparkSession.sparkContext.broadcast(bitmap)
+
+    def slot(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.slots))
+
+    def may_hold(self, column: str) -> Column:
+        """Whether a row's key may be one of them."""
+        shared = self._shared
+
+        @F.pandas_udf("boolean")
+        def there(slot: pd.Series) -> pd.Series:
+            at = slot.to_numpy(np.int64)
+            return pd.Series(((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
+
+        return there(self.slot(column))
 
 
 def _sets(docs: DataFrame, needed: DataFrame, key: str, text: str, run: int) -> DataFrame:
-    """(key, runs): the sorted distinct runs of the needed documents, and of
-    few others. So that texts are not shuffled, those not needed are left out
-    where they are read, by a bitmap of fixed size over hashes of the keys."""
-    slots = needed.select(_slot("key").alias("slot")).groupBy(F.expr("CAST(slot DIV 32 AS INT)").alias("word"))
-    words = slots.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS INT)))").alias("bits")).toArrow()
-    bitmap = np.zeros(SLOTS // 32, np.uint32)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-    marked = docs.sparkSession.sparkContext.broadcast(bitmap)
+    """(id, runs): the sorted distinct runs of the needed texts (digest, id,
+    first). So that texts are not shuffled, rows whose key is not the first of
+    any are left out where they are read."""
+    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where("key is not null")
+    rows = rows.where(KeyBitmap(needed, "first").may_hold("key"))
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        slot = batch.column(1).to_numpy()
-        there = (marked.value[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1
-        batch = batch.filter(pa.array(there.astype(bool)))
-        found = [blob(np.unique(runs_of(t, run))) for t in texts(batch.column(2))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["key", "runs"])
+        hasher = kept(("hasher",), Hasher)
+        words = [hasher.words(utf8(t))[0] for t in texts(batch.column(0))]
+        digests = [xxhash.xxh3_128_digest(w.tobytes()) for w in words]
+        found = [blob(np.unique(hasher.runs(w, min(run, max(1, len(w)))))) for w in words]
+        return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(found, pa.binary())], ["digest", "runs"])
 
-    columns = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where("key is not null")
-    found = per_batch(columns.select("key", _slot("key").alias("slot"), "text"), sets, "key bigint, runs binary")
-    # One set for each key, for repeated rows too.
-    return found.groupBy("key").agg(F.max("runs").alias("runs"))
+    found = per_batch(rows.select("text"), sets, "digest binary, runs binary")
+    # One set for each text, for repeated rows too.
+    once = found.groupBy("digest").agg(F.any_value("runs").alias("runs"))
+    return once.join(needed.select("digest", "id").hint("merge"), "digest").select("id", "runs")
 
 
 def _near(a: np.ndarray, b: np.ndarray, likeness: float) -> bool:
@@ -181,7 +198,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
         return batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     # Neither side has a bounded size: never broadcast.
-    left, right = (sets.withColumnsRenamed({"key": c, "runs": f"runs_{c}"}).hint("merge") for c in "ab")
+    left, right = (sets.withColumnsRenamed({"id": c, "runs": f"runs_{c}"}).hint("merge") for c in "ab")
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "runs_a", "runs_b")
     return per_batch(joined, compare, "a bigint, b bigint")
 
@@ -197,7 +214,7 @@ def _linked_in_blocks(mixed: DataFrame, sets: DataFrame, likeness: float) -> Dat
     every = rows.select("band", "id", "root", F.lit(False).alias("outside"), other.alias("i"), F.col("part").alias("j"))
     outside = rows.where("root <> main")
     outside = outside.select("band", "id", "root", F.lit(True).alias("outside"), F.col("part").alias("i"), other.alias("j"))
-    met = every.unionByName(outside).join(sets.withColumnRenamed("key", "id").hint("merge"), "id")
+    met = every.unionByName(outside).join(sets.hint("merge"), "id")
 
     def compare(table: pa.Table) -> pa.Table:
         sets_ = [np.frombuffer(b, np.uint64) for b in table.column("runs").to_pylist()]
@@ -246,7 +263,8 @@ def near_duplicates(
     scratch = Scratch(prepared(docs.sparkSession), "near-duplicates")
     signed = scratch.stored(_signed(docs, key, text, bands, rows, run), "signatures")
     distinct = signed.where("key is not null").groupBy("digest")
-    distinct = scratch.stored(distinct.agg(F.min("key").alias("id"), F.any_value("bands").alias("bands")), "distinct")
+    distinct = distinct.agg(F.min("key").alias("first"), F.any_value("bands").alias("bands"))
+    distinct = scratch.stored(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
 
     members = distinct.select("id", F.explode("bands").alias("band"))
     flipped = F.col("id").bitwiseXOR(F.col("band"))  # an order of its own in each band
@@ -256,7 +274,8 @@ def near_duplicates(
     pivot = F.explode(F.array("low", "high")).alias("pivot")
     compared = members.select("id", "band", pivot).select("id", F.col("pivot").bitwiseXOR(F.col("band")).alias("pivot"))
     compared = scratch.stored(compared.where("id <> pivot").select(*_pairs("id", "pivot")).distinct(), "pairs")
-    needed = members.select(F.col("id").alias("key")).distinct()
+    needed = distinct.select("digest", "id", "first").join(members.select("id").distinct(), "id")
+    needed = scratch.stored(needed, "needed")
     sets = scratch.stored(_sets(docs, needed, key, text, run), "sets")
     links = scratch.stored(_linked(compared, sets, likeness), "linked")
     classes = components(links)
@@ -270,19 +289,44 @@ def near_duplicates(
         classes = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    known = distinct.select("digest", "id").join(degree, "id", "left")
-    known = known.join(classes.select(F.col("node").alias("id"), "root"), "id", "left")
+    known = distinct.select("digest", "id", "first").join(degree, "id", "left")
+    known = known.join(classes.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = scratch.stored(known, "known")
+    firsts = known.groupBy("root").agg(F.min("first").alias("class"), F.count("*").alias("n")).where("n > 1").drop("n")
+    known = splittable_join(known, firsts, ["root"], "left")
     rows_ = stored(splittable_join(signed.select("key", "digest"), known, ["digest"], "left").drop("digest"), "classes")
     scratch.clear()
     named = F.col("key").isNotNull()
     return rows_.select(
         F.col("key").alias(key),
-        F.when(named, F.col("id")).alias("text_id"),
-        F.when(named, F.coalesce("root", "id")).alias("class_id"),
+        F.when(named, F.col("first")).alias("text_id"),
+        F.when(named, F.coalesce("class", "first")).alias("class_id"),
         F.when(named, F.coalesce("n_links", F.lit(0))).cast("bigint").alias("n_links"),
     )
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", ties: tuple[str, ...] = (), **more) -> DataFrame:
+    """The rows that stay when of each group of near duplicates all but one go:
+    the row of the smallest key, of several such that of the smallest text hash
+    and then of the smallest further columns. Rows go by their own text, also
+    where keys repeat; those with a null key are in no group and stay. Rows are
+    numbered, and stored so, as numbers may change when they are given again."""
+    scratch = Scratch(prepared(docs.sparkSession), "one-of-each")
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    named = rows.where(F.col(key).isNotNull())
+    found = scratch.stored(near_duplicates(named, "_row", text, **more).select("_row", "class_id"), "classes")
+    several = found.groupBy("class_id").agg(F.count("*").alias("n")).where("n > 1").select("class_id")
+    found = splittable_join(found, several, ["class_id"])
+    order = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), *ties, "_row").alias("order")
+    found = scratch.stored(named.select("_row", order).join(found.hint("merge"), "_row"), "grouped")
+    firsts = found.groupBy("class_id").agg(F.min("order").alias("first")).select(F.col("first._row").alias("_row"))
+    gone = scratch.stored(found.select("_row").join(firsts.hint("merge"), "_row", "left_anti"), "gone")
+    # Rows that surely stay are not shuffled.
+    may_go = KeyBitmap(gone, "_row").may_hold("_row")
+    left = rows.where(may_go).join(gone.hint("merge"), "_row", "left_anti")
+    return rows.where(~may_go).unionByName(left).drop("_row")
+
+
 def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
     """(band, id, root, main, n) of buckets with texts of several components:
     the component of each text, the bucket's largest, and its texts."""
