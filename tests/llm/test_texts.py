@@ -101,6 +101,35 @@ def test_kept_text_and_repeats(spark):
     assert found[2].kept == "start x y" and found[2].repeats == [[1, 20]] and found[2].source == "s2"
 
 
+def thue_morse(n, letters):
+    """Two unlike words of 2**n letters, equal in any polynomial hash modulo a
+    power of two."""
+    word = [0]
+    for _ in range(n):
+        word += [1 - x for x in word]
+    return "".join(letters[x] for x in word), "".join(letters[1 - x] for x in word)
+
+
+def test_long_unlike_words_are_told_apart(spark):
+    for n in (3, 7, 8, 12):
+        a, b = thue_morse(n, "ab")
+        start = prose(3, 12)
+        rows = [(1, f"{start} {a} end"), (2, f"{start} {b} end"), (3, f"{start} {a} other")]
+        docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], DOCS)
+        found = {r.doc_id: r.n_removed for r in substrings.without_repeats(docs, with_text=False).collect()}
+        assert found == {1: 0, 2: 0, 3: 13}
+        long = " ".join(f"{a}{i}" for i in range(8))
+        other = long.replace(a, b)
+        docs = spark.createDataFrame([(1, long, "en", "s", 0), (2, other, "en", "s", 0), (3, long, "en", "s", 0)], DOCS)
+        assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_chunks_follow_the_size_of_the_texts(spark, odd_docs, monkeypatch):
+    rows = sorted(map(tuple, substrings.without_repeats(odd_docs, with_text=False).collect()), key=str)
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 10_000)
+    assert sorted(map(tuple, substrings.without_repeats(odd_docs, with_text=False).collect()), key=str) == rows
+
+
 # --- components
 
 
@@ -206,6 +235,25 @@ def test_near_duplicates_of_odd_documents(odd_docs, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_one_key_are_compared_by_their_own_texts(spark):
+    rng = random.Random(2)
+    x, y, z = prose(11, 80), prose(500, 80), prose(900, 80)
+    rows = [(1, x), (1, y), (2, changed(y, rng, 1)), (3, changed(x, rng, 1)), (3, z), (4, z), (5, prose(70, 30))]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], DOCS).repartition(4)
+    found = sorted((r.doc_id, r.text_id, r.class_id, r.n_links > 0) for r in neardup.near_duplicates(docs).collect())
+    assert found == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, True), (3, 3, 3, False), (4, 3, 3, False), (5, 5, 5, False)])
+
+
+def test_bitmap_holds_all_its_keys_and_few_others(spark, monkeypatch):
+    keys = spark.range(0, 60_000, 3)
+    marked = neardup.KeyBitmap(keys, "id")
+    held = spark.range(60_000).where(marked.may_hold("id"))
+    assert held.where("id % 3 = 0").count() == 20_000 and held.count() < 22_000
+    monkeypatch.setattr(neardup, "SLOTS", (64, 64))  # full, and right still
+    assert spark.range(60_000).where(neardup.KeyBitmap(keys, "id").may_hold("id")).where("id % 3 = 0").count() == 20_000
+    assert spark.range(100).where(neardup.KeyBitmap(keys.limit(0), "id").may_hold("id")).count() == 0
+
+
 def test_darts_estimate_weighted_likeness():
     rng = np.random.default_rng(5)
     shared, own = rng.integers(1, 2**63, 800, dtype=np.uint64), rng.integers(1, 2**63, 200, dtype=np.uint64)
