@@ -48,6 +48,7 @@ BITS_PER_WORD = 16
 BLOCK_BYTES = LANES * LANE_BITS // 8
 ROUND_BYTES = 32 << 20
 PROBES = 1 << 21
+PROBED_WORDS = 50_000  # of a task
 # Odd numbers that choose a lane's bit, from a rule.
 _SALTS = (mix(np.arange(101, 101 + LANES, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -271,6 +272,7 @@ def positives(vocabulary: DataFrame, shards: list[Shard], alphabet: np.ndarray)
 
     sizes = sorted({x for length in of_length for x in (length, length + 1)})
     rows = vocabulary.where(F.col("size").isin(sizes)).select("id", "word")
+    rows = rows.repartition(-(-max(1, rows.count()) // PROBED_WORDS))  # a word is many probes
     return rows.mapInArrow(probe, "id bigint, edit bigint")
 
 
