@@ -37,20 +37,19 @@ a class. Keys are integers; only the named columns are read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from simmart.llm.common import Scratch, blob, kept, per_batch, prepared, stored, texts
 from simmart.llm.graph import components
-from simmart.llm.words import Hasher, mix, utf8
+from simmart.llm.words import Hasher, distinct, mix, utf8
 from simmart.operators.skew import splittable_join
 
 RUN = 5
 LIKENESS = 0.8
 BANDS, ROWS = 30, 5
-SLOTS = 1 << 22, 1 << 28  # bits of a bitmap of keys, at least and at most: 32 MB
+SLOTS = 1 << 22, 1 << 26  # bits of a bitmap of keys, at least and at most
 SLOTS_A_KEY = 16
 SMALL = 64  # texts of a bucket of which pairs are listed; larger ones are compared in blocks
 BLOCK, COLUMNS = 512, 4096  # texts of a block; runs compared at a time
@@ -113,7 +112,7 @@ def _signed(docs: DataFrame, key: str, text: str, bands: int, rows: int, run: in
         digests = [xxhash.xxh3_128_digest(w.tobytes()) for w in words]
         runs = [hasher.runs(w, min(run, max(1, len(w)))) for w in words]
         # Where no run repeats, the weighted set is the plain one.
-        plain = [np.unique(r) for r in runs]
+        plain = [distinct(r) for r in runs]
         again = [i for i, r in enumerate(runs) if len(plain[i]) < len(r)]
         ranks = darts(*regions(plain + [runs[i] for i in again]), len(runs) + len(again), bands * rows)
         hashes = band_hashes(ranks, bands, rows).view(np.int64)
@@ -131,33 +130,28 @@ def _signed(docs: DataFrame, key: str, text: str, bands: int, rows: int, run: in
 
 
 class KeyBitmap:
-    """A broadcast bitmap over hashes of keys, SLOTS_A_KEY bits for each, as
-    long as that stays under its greatest size: which rows are surely none of
-    them, so that only the others need be shuffled. Keys beyond fill it more,
-    which costs time and no result."""
+    """A bitmap over hashes of keys, SLOTS_A_KEY bits for each up to its
+    greatest size, in rows of 64 bits that a broadcast join looks up: which rows
+    are surely none of them, so that only the others need be shuffled. More
+    keys than fit fill it, which costs time and no result."""
 
     def __init__(self, keys: DataFrame, column: str) -> None:
-        n = keys.count() * SLOTS_A_KEY
-        self.slots = min(SLOTS[1], max(SLOTS[0], 1 << n.bit_length()))
-        slots = keys.select(self.slot(column).alias("slot")).groupBy(F.expr("CAST(slot DIV 32 AS INT)").alias("word"))
-        words = slots.agg(F.expr("bit_or(shiftleft(1L, CAST(slot % 32 AS INT)))").alias("bits")).toArrow()
-        bitmap = np.zeros(self.slots // 32, np.uint32)
-        bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
-        self._shared = keys.sparkSession.sparkContext.broadcast(bitmap)
-
-    def slot(self, column: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(self.slots))
-
-    def may_hold(self, column: str) -> Column:
-        """Whether a row's key may be one of them."""
-        shared = self._shared
+        self.slots = min(SLOTS[1], max(SLOTS[0], 1 << (keys.count() * SLOTS_A_KEY).bit_length()))
+        slot = keys.select(self._slot(column).alias("slot"))
+        self.words = slot.groupBy(F.expr("slot DIV 64").alias("_word")).agg(
+            F.expr("bit_or(shiftleft(1L, CAST(slot % 64 AS INT)))").alias("_bits")
+        )
 
-        @F.pandas_udf("boolean")
-        def there(slot: pd.Series) -> pd.Series:
-            at = slot.to_numpy(np.int64)
-            return pd.Series(((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
+    def _slot(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.slots))
 
-        return there(self.slot(column))
+    def marked(self, rows: DataFrame, column: str) -> DataFrame:
+        """The rows with `_may`: whether the key may be one of them. There are
+        SLOTS[1] / 64 words at most, a million."""
+        rows = rows.withColumn("_slot", self._slot(column)).withColumn("_word", F.expr("_slot DIV 64"))
+        found = rows.join(F.broadcast(self.words), "_word", "left")
+        own = F.expr("shiftright(_bits, CAST(_slot % 64 AS INT)) & 1L")
+        return found.withColumn("_may", F.coalesce(own == 1, F.lit(False))).drop("_word", "_slot", "_bits")
 
 
 def _sets(docs: DataFrame, needed: DataFrame, key: str, text: str, run: int) -> DataFrame:
@@ -165,13 +159,13 @@ def _sets(docs: DataFrame, needed: DataFrame, key: str, text: str, run: int) ->
     first). So that texts are not shuffled, rows whose key is not the first of
     any are left out where they are read."""
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where("key is not null")
-    rows = rows.where(KeyBitmap(needed, "first").may_hold("key"))
+    rows = KeyBitmap(needed, "first").marked(rows, "key").where("_may")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         hasher = kept(("hasher",), Hasher)
         words = [hasher.words(utf8(t))[0] for t in texts(batch.column(0))]
         digests = [xxhash.xxh3_128_digest(w.tobytes()) for w in words]
-        found = [blob(np.unique(hasher.runs(w, min(run, max(1, len(w)))))) for w in words]
+        found = [blob(distinct(hasher.runs(w, min(run, max(1, len(w)))))) for w in words]
         return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(found, pa.binary())], ["digest", "runs"])
 
     found = per_batch(rows.select("text"), sets, "digest binary, runs binary")
@@ -262,11 +256,11 @@ def near_duplicates(
     n_links (near texts that its text was linked with)."""
     scratch = Scratch(prepared(docs.sparkSession), "near-duplicates")
     signed = scratch.stored(_signed(docs, key, text, bands, rows, run), "signatures")
-    distinct = signed.where("key is not null").groupBy("digest")
-    distinct = distinct.agg(F.min("key").alias("first"), F.any_value("bands").alias("bands"))
-    distinct = scratch.stored(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
+    once = signed.where("key is not null").groupBy("digest")
+    once = once.agg(F.min("key").alias("first"), F.any_value("bands").alias("bands"))
+    once = scratch.stored(once.withColumn("id", F.monotonically_increasing_id()), "distinct")
 
-    members = distinct.select("id", F.explode("bands").alias("band"))
+    members = once.select("id", F.explode("bands").alias("band"))
     flipped = F.col("id").bitwiseXOR(F.col("band"))  # an order of its own in each band
     buckets = members.groupBy("band").agg(F.min(flipped).alias("low"), F.max(flipped).alias("high"))
     buckets = scratch.stored(buckets.where("low <> high"), "buckets")
@@ -274,7 +268,7 @@ def near_duplicates(
     pivot = F.explode(F.array("low", "high")).alias("pivot")
     compared = members.select("id", "band", pivot).select("id", F.col("pivot").bitwiseXOR(F.col("band")).alias("pivot"))
     compared = scratch.stored(compared.where("id <> pivot").select(*_pairs("id", "pivot")).distinct(), "pairs")
-    needed = distinct.select("digest", "id", "first").join(members.select("id").distinct(), "id")
+    needed = once.select("digest", "id", "first").join(members.select("id").distinct(), "id")
     needed = scratch.stored(needed, "needed")
     sets = scratch.stored(_sets(docs, needed, key, text, run), "sets")
     links = scratch.stored(_linked(compared, sets, likeness), "linked")
@@ -289,7 +283,7 @@ def near_duplicates(
         classes = components(links)
 
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    known = distinct.select("digest", "id", "first").join(degree, "id", "left")
+    known = once.select("digest", "id", "first").join(degree, "id", "left")
     known = known.join(classes.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     known = scratch.stored(known, "known")
     firsts = known.groupBy("root").agg(F.min("first").alias("class"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -322,9 +316,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", ties:
     firsts = found.groupBy("class_id").agg(F.min("order").alias("first")).select(F.col("first._row").alias("_row"))
     gone = scratch.stored(found.select("_row").join(firsts.hint("merge"), "_row", "left_anti"), "gone")
     # Rows that surely stay are not shuffled.
-    may_go = KeyBitmap(gone, "_row").may_hold("_row")
-    left = rows.where(may_go).join(gone.hint("merge"), "_row", "left_anti")
-    return rows.where(~may_go).unionByName(left).drop("_row")
+    rows = KeyBitmap(gone, "_row").marked(rows, "_row")
+    left = rows.where("_may").join(gone.hint("merge"), "_row", "left_anti")
+    return rows.where("not _may").unionByName(left.select(*rows.columns)).drop("_row", "_may")
 
 
 def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:

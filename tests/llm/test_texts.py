@@ -246,12 +246,13 @@ def test_rows_of_one_key_are_compared_by_their_own_texts(spark):
 
 def test_bitmap_holds_all_its_keys_and_few_others(spark, monkeypatch):
     keys = spark.range(0, 60_000, 3)
-    marked = neardup.KeyBitmap(keys, "id")
-    held = spark.range(60_000).where(marked.may_hold("id"))
+    held = neardup.KeyBitmap(keys, "id").marked(spark.range(60_000), "id").where("_may")
+    assert held.columns == ["id", "_may"]
     assert held.where("id % 3 = 0").count() == 20_000 and held.count() < 22_000
+    none = neardup.KeyBitmap(keys.limit(0), "id").marked(spark.range(100), "id")
+    assert none.where("_may").count() == 0 and none.count() == 100
     monkeypatch.setattr(neardup, "SLOTS", (64, 64))  # full, and right still
-    assert spark.range(60_000).where(neardup.KeyBitmap(keys, "id").may_hold("id")).where("id % 3 = 0").count() == 20_000
-    assert spark.range(100).where(neardup.KeyBitmap(keys.limit(0), "id").may_hold("id")).count() == 0
+    assert neardup.KeyBitmap(keys, "id").marked(spark.range(60_000), "id").where("_may and id % 3 = 0").count() == 20_000
 
 
 def test_darts_estimate_weighted_likeness():
