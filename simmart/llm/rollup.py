@@ -79,13 +79,39 @@ class Rollup:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = prepared(spark), path
 
+    def _system(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        return self._system().exists(self.spark._jvm.org.apache.hadoop.fs.Path(path))
+
+    @staticmethod
+    def _digest(batch: str) -> str:
+        return hashlib.sha256(batch.encode()).hexdigest()[:32]
+
     def _folder(self, batch: str) -> str:
-        return f"{self.path}/batch={hashlib.sha256(batch.encode()).hexdigest()[:32]}"
+        return f"{self.path}/batch={self._digest(batch)}"
+
+    def _batches(self) -> list[str]:
+        """Digests of the batches whose write was finished."""
+        if not self._exists(self.path):
+            return []
+        found = self._system().listStatus(self.spark._jvm.org.apache.hadoop.fs.Path(self.path))
+        names = sorted(s.getPath().getName() for s in found)
+        return [n[6:] for n in names if n.startswith("batch=") and self._exists(f"{self.path}/{n}/_SUCCESS")]
+
+    def _known(self) -> DataFrame:
+        """Digests of the batches that are in the totals an older rollup gave."""
+        path = f"{self.path}/_known"
+        return self.spark.read.parquet(path) if self._exists(path) else self.spark.createDataFrame([], "digest string")
 
     def committed(self, batch: str) -> bool:
-        """Whether the writer's mark of a finished write is there."""
-        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(batch)}/_SUCCESS")
-        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark)
+        """Whether the writer's mark of a finished write is there, or the batch
+        is in the totals of the rollup that this one was compacted from."""
+        if self._exists(f"{self._folder(batch)}/_SUCCESS"):
+            return True
+        return not self._known().where(F.col("digest") == self._digest(batch)).isEmpty()
 
     def commit(self, batch: str, deltas: DataFrame) -> bool:
         """Adds a batch of signed changes; False if it was there already."""
@@ -98,16 +124,21 @@ class Rollup:
         return True
 
     def totals(self) -> DataFrame:
-        """Current sums by source, language and tokenizer version."""
+        """Current sums by source, language and tokenizer version, of the
+        committed batches."""
         schema = ", ".join([*(f"{c} string" for c in KEYS), *(f"{c} bigint" for c in SUMS)])
-        parts = self.spark.read.schema(f"{schema}, batch string").parquet(self.path)
+        folders = [f"{self.path}/batch={b}" for b in self._batches()]
+        parts = self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
         found = parts.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in SUMS))
         return found.where(" or ".join(f"{c} <> 0" for c in SUMS))
 
     def compacted(self, path: str) -> Rollup:
-        """A new rollup, with the totals so far as its only batch."""
+        """A new rollup, with the totals so far as its first batch. It knows the
+        batches that are in them: committed again, they change nothing."""
         new = Rollup(self.spark, path)
-        self.totals().write.parquet(new._folder("totals"))
+        own = self.spark.createDataFrame([(b,) for b in self._batches()], "digest string")
+        own.unionByName(self._known()).distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/_known")
+        self.totals().write.mode("overwrite").parquet(new._folder("totals"))
         return new
 
 

@@ -145,7 +145,19 @@ def test_rollup(spark, tmp_path):
         assert not folder.commit(str(i), spark.createDataFrame(rows, schema))  # idempotent
     expected = {("s", "en", "b", 1, 7, 20), (None, None, "a", 1, 0, 0)}
     assert {tuple(r) for r in folder.totals().collect()} == expected
-    assert {tuple(r) for r in folder.compacted((tmp_path / "c").as_uri()).totals().collect()} == expected
+    new = folder.compacted((tmp_path / "c").as_uri())
+    newer = new.compacted((tmp_path / "d").as_uri())
+    for compact in (new, newer):  # batches that are in the totals change nothing
+        assert {tuple(r) for r in compact.totals().collect()} == expected
+        assert not any(compact.commit(str(i), spark.createDataFrame(rows, schema)) for i, rows in enumerate(changes))
+        assert compact.commit("more", spark.createDataFrame([("s", "en", "b", 1, 1, 2)], schema))
+        assert ("s", "en", "b", 2, 8, 22) in {tuple(r) for r in compact.totals().collect()}
+    assert rollup.Rollup(spark, (tmp_path / "none").as_uri()).totals().count() == 0
+    assert rollup.Rollup(spark, (tmp_path / "none").as_uri()).compacted((tmp_path / "e").as_uri()).totals().count() == 0
+    torn = tmp_path / "r" / "batch=torn"
+    spark.createDataFrame([("s", "en", "b", 9, 9, 9)], "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, n_chars bigint").write.parquet(str(torn))
+    (torn / "_SUCCESS").unlink()
+    assert {tuple(r) for r in folder.totals().collect()} == expected  # a batch that broke off
     with pytest.raises(Exception, match="without a sign"):
         folder.commit("bad", spark.createDataFrame([("s", "en", "a", None, 1, 1)], schema))
     assert not folder.committed("bad")
