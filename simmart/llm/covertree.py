@@ -1,14 +1,17 @@
 """Exact inner-product top-k search by dual-tree traversal of cover trees.
 
 Vectors are turned into integers, floor(scale * x), with which all scores are
-exact. Queries and data are dealt into blocks of a bounded size; a block of
-either becomes a cover tree: every node is a vector of the block, its children
-lie within the radius of its level and apart from one another by more, radii
-shrink from level to level, and it knows the covering radius of all below it.
-Each block of queries meets each block of data; there both trees are walked
-together: a pair of nodes is left out if the bound that its covering radii
-allow, <q, p> + r_q |p| + r_p |q| + r_q r_p, is below the worst kth score of
-the query group. The best k of a block go on to the best k of all.
+exact. Queries and data are dealt by place into blocks of a bounded size: to the
+nearest of at most CENTRES sampled vectors, and by hash where one has many. A
+block of either becomes a cover tree: every node is a vector of the block, its
+children lie within the radius of its level and apart from one another by more,
+radii shrink from level to level, and it knows the covering radius of all below
+it. A block of queries meets the data block of nearest centre first, which gives
+each query a floor, and then the blocks whose balls allow a score at the floors.
+Where two blocks meet both trees are walked together: a pair of nodes is left out
+if the bound that its covering radii allow, <q, p> + r_q |p| + r_p |q| + r_q r_p,
+is below the worst kth score, or floor, of the query group. The best k of a block
+go on to the best k of all.
 
 Vectors that are null, or hold a null or a component that is not finite, take
 no part. Only vectors of equal length have scores. Every row is a candidate but
@@ -33,9 +36,15 @@ from simmart.llm.common import blob, per_batch, prepared, stored
 K = 5
 SCALE = 256
 BLOCK = 4_096  # vectors of a block, on average
-LEAF = 64
+CENTRES = 1_024
+LEAF, QUERY_LEAF = 64, 8
+SLICE = 64  # query blocks, on average, that a data block is sent for
 SHRINK = 0.9
 SLACK = 1e-9  # for rounding in the bounds
+BLOCK_ROW = "dim int, block bigint, ids binary, vectors binary, centre binary, radius double"
+SEARCHED = (
+    "dim int, asked bigint, floors binary, worst bigint, compared bigint, q_ids binary, best_ids binary, best binary"
+)
 
 
 @dataclass
@@ -52,7 +61,7 @@ class Tree:
     children: np.ndarray  # how many; 0 for a leaf
 
 
-def build(x: np.ndarray) -> Tree:
+def build(x: np.ndarray, leaf: int = LEAF) -> Tree:
     """The cover tree of the rows of x."""
     own = np.arange(len(x))
     start = np.sqrt(np.maximum(((x - x[0]) ** 2).sum(axis=1), 0))
@@ -61,7 +70,7 @@ def build(x: np.ndarray) -> Tree:
     i = 0
     while i < len(nodes):
         centre, radius, begin, end, _, _ = nodes[i]
-        if end - begin > LEAF and radius > 0:
+        if end - begin > leaf and radius > 0:
             groups = _cover(x, order[begin:end], centre, reach[i] * SHRINK)
             if len(groups) == 1:  # all within the smaller radius: one level down
                 reach[i] *= SHRINK
@@ -106,14 +115,19 @@ def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Search:
     """Best k candidates of each query of one pair of blocks."""
 
-    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int) -> None:
+    def __init__(
+        self, queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int,
+        tree: Tree, floors: np.ndarray | None = None,
+    ) -> None:
         self.q, self.q_ids, self.x, self.ids, self.k = queries, query_ids, data, ids, k
-        self.tree, self.q_tree = build(data), build(queries)
+        self.tree, self.q_tree = tree, build(queries, QUERY_LEAF)
         self.norm = np.sqrt((data**2).sum(axis=1))
         self.q_norm = np.sqrt((queries**2).sum(axis=1))
         self.best = np.full((len(queries), k), np.iinfo(np.int64).min)
         self.best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.filled = np.zeros(len(queries), np.int64)
+        self.floors = np.full(len(queries), np.iinfo(np.int64).min) if floors is None else floors
+        self.compared = 0
 
     def run(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         stack = [(0, np.zeros(1, np.int64))]
@@ -133,9 +147,12 @@ class Search:
         return self.q_tree.order[self.q_tree.begin[node] : self.q_tree.end[node]]
 
     def _worst(self, node: int) -> float:
-        """The worst kth score of a query group; none while one has fewer."""
+        """The worst kth score, or floor, of a query group; while one has
+        neither, none."""
         own = self._members(node)
-        return float(self.best[own, -1].min()) if (self.filled[own] >= self.k).all() else -np.inf
+        kth = np.where(self.filled[own] >= self.k, self.best[own, -1], np.iinfo(np.int64).min)
+        worst = int(np.maximum(kth, self.floors[own]).min())
+        return float(worst) if worst > np.iinfo(np.int64).min else -np.inf
 
     def _bounds(self, node: int, others: np.ndarray) -> np.ndarray:
         """What a query below the node and a vector below each other node can
@@ -174,6 +191,7 @@ class Search:
 
     def _compare(self, own: np.ndarray, members: np.ndarray) -> None:
         score, ids = dot(self.q[own], self.x[members]), self.ids[members]
+        self.compared += score.size
         same = self.q_ids[own][:, None] == ids[None]
         every = np.concatenate([self.best[own], score], axis=1)
         every_id = np.concatenate([self.best_id[own], np.broadcast_to(ids, score.shape)], axis=1)
@@ -192,14 +210,20 @@ class Search:
 
 
 def _packed(batch: pa.Table) -> pa.Table:
-    """The vectors of a block in one row: ids, and numbers of all of them."""
-    vectors = np.concatenate([np.frombuffer(v, np.float64) for v in batch.column("vector").to_pylist()])
+    """The vectors of a block in one row: ids, numbers, and the ball that holds
+    them."""
+    rows = [np.frombuffer(v, np.float64) for v in batch.column("vector").to_pylist()]
+    x = np.stack(rows)
+    centre = x.mean(axis=0)
+    radius = float(np.sqrt(np.maximum(((x - centre) ** 2).sum(axis=1), 0)).max())
     return pa.table(
         {
             "dim": batch.column("dim")[:1],
             "block": batch.column("block")[:1],
             "ids": pa.array([blob(batch.column("id").to_numpy())], pa.binary()),
-            "vectors": pa.array([blob(vectors)], pa.binary()),
+            "vectors": pa.array([blob(x)], pa.binary()),
+            "centre": pa.array([blob(centre)], pa.binary()),
+            "radius": pa.array([radius]),
         }
     )
 
@@ -224,6 +248,126 @@ def whole(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
     return per_batch(usable, run, "id bigint, dim int, vector binary")
 
 
+def _centres(rows: DataFrame, count: int) -> dict[int, np.ndarray]:
+    """Some vectors of each length, chosen by hash, by which blocks are dealt:
+    at most CENTRES in all."""
+    order = F.xxhash64("vector", "id")
+    sample = rows.select("dim", "vector", order.alias("order")).orderBy("order").limit(min(CENTRES, count)).collect()
+    found: dict[int, list] = {}
+    for r in sample:
+        found.setdefault(r.dim, []).append(np.frombuffer(r.vector, np.float64))
+    return {dim: np.stack(v) for dim, v in found.items()}
+
+
+def _blocks(rows: DataFrame, block: int, centres: dict[int, np.ndarray]) -> DataFrame:
+    """Blocks by place: vectors go to the nearest centre, and those of one that
+    has many are dealt out by hash."""
+
+    def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        dims, vectors = batch.column(1).to_numpy(), batch.column(2).to_pylist()
+        place = np.zeros(len(batch), np.int64)
+        for dim in np.unique(dims):
+            if (own := centres.get(int(dim))) is not None and dim:
+                at = np.flatnonzero(dims == dim)
+                x = np.stack([np.frombuffer(vectors[i], np.float64) for i in at])
+                place[at] = ((own**2).sum(axis=1)[None] - 2 * x @ own.T).argmin(axis=1)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], [*batch.schema.names, "place"])
+
+    found = per_batch(rows.select("id", "dim", "vector", "copy"), placed, "id bigint, dim int, vector binary, copy int, place bigint")
+    found = stored(found, "placed")
+    parts = found.groupBy("dim", "place").agg(F.ceil(F.count("*") / block).alias("parts"))
+    found = found.join(F.broadcast(parts), ["dim", "place"])  # a row for each centre
+    part = F.pmod(F.xxhash64("id", "vector", "copy"), F.col("parts"))
+    found = found.withColumn("block", F.col("place") * F.lit(1 << 32) + part)
+    return stored(found.groupBy("dim", "block").applyInArrow(_packed, BLOCK_ROW), "blocks")
+
+
+def _pairs(data: DataFrame, asked: DataFrame) -> DataFrame:
+    """(dim, block, asked, near, bound) of every data block and query block of
+    one vector length: the inner product of their centres, and what a query and a
+    vector of the two can score at most. Of blocks only their balls meet."""
+    queries = asked.select("dim", F.col("block").alias("asked"), F.col("centre").alias("q_centre"), F.col("radius").alias("q_radius"))
+    numbered = queries.groupBy("dim").agg(F.collect_list("asked").alias("every"))
+    balls = data.select("dim", "block", "centre", "radius").join(F.broadcast(numbered), "dim")
+    balls = balls.withColumn("asked", F.explode("every")).drop("every")
+
+    def bounds(batch: pa.RecordBatch) -> pa.RecordBatch:
+        near, bound = np.zeros(len(batch)), np.zeros(len(batch))
+        c, r, qc, qr = (batch.column(i).to_pylist() for i in range(3, 7))
+        for i in range(len(batch)):
+            p, q = np.frombuffer(c[i], np.float64), np.frombuffer(qc[i], np.float64)
+            near[i] = p @ q
+            p, q = np.sqrt(p @ p), np.sqrt(q @ q)
+            bound[i] = near[i] + r[i] * q + qr[i] * p + r[i] * qr[i]
+            bound[i] += SLACK * (abs(bound[i]) + (p + r[i]) * (q + qr[i]))
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(near), pa.array(bound)], ["dim", "block", "asked", "near", "bound"])
+
+    met = balls.join(queries, ["dim", "asked"]).select("dim", "block", "asked", "centre", "radius", "q_centre", "q_radius")
+    return per_batch(met, bounds, "dim int, block bigint, asked bigint, near double, bound double")
+
+
+def _searched(pairs: DataFrame, data: DataFrame, asked: DataFrame, slices: int, k: int) -> DataFrame:
+    """Pairs of blocks (dim, block, asked, floors) searched: the best of each
+    query among the data block's vectors, packed, with the number of pairs of
+    vectors that were compared. Query blocks, which are small, go to the data
+    block, whose tree serves a slice of them."""
+    group, columns = ["dim", "block", "slice"], ["dim", "asked", "floors", "q_ids", "q_vectors"]
+    queries = asked.select("dim", F.col("block").alias("asked"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    sliced = pairs.withColumn("slice", F.pmod(F.xxhash64("asked"), F.lit(slices)))
+    met = sliced.join(queries.hint("shuffle_hash"), ["dim", "asked"]).select("block", "slice", *columns)
+    wanted = sliced.select(*(F.col(c).alias(c) for c in group)).distinct()
+    held = data.select("dim", "block", "ids", "vectors").join(wanted.hint("merge"), ["dim", "block"])
+
+    def search(block: pa.Table, queries: pa.Table) -> pa.Table:
+        rows = []
+        if block.num_rows:
+            dim = block.column("dim")[0].as_py()
+            ids = np.frombuffer(block.column("ids")[0].as_py(), np.int64)
+            x = np.frombuffer(block.column("vectors")[0].as_py(), np.float64).reshape(len(ids), dim)
+            tree = build(x)
+            for _, number, floors, q_ids, q in zip(*(queries.column(c).to_pylist() for c in columns)):
+                q_ids = np.frombuffer(q_ids, np.int64)
+                q = np.frombuffer(q, np.float64).reshape(len(q_ids), dim)
+                found = Search(q, q_ids, x, ids, k, tree, None if floors is None else np.frombuffer(floors, np.int64))
+                best, best_id, filled = found.run()
+                kth = np.where(filled >= k, best[:, -1], np.iinfo(np.int64).min)
+                real = np.arange(k)[None] < filled[:, None]
+                rows.append(
+                    (dim, number, blob(kth), int(kth.min(initial=np.iinfo(np.int64).max)), found.compared,
+                     blob(np.repeat(q_ids, filled)), blob(best_id[real]), blob(best[real]))
+                )
+        names = [c.split()[0] for c in SEARCHED.split(", ")]
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))})
+
+    return held.groupBy(*group).cogroup(met.groupBy(*group)).applyInArrow(search, SEARCHED)
+
+
+def rounds(
+    vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = K, scale: float = SCALE, block: int = BLOCK
+) -> DataFrame:
+    """All pairs of blocks that were searched, in two rounds: each query block
+    with the data block of nearest centre first, which gives every query a
+    floor; then with those whose bound reaches the block's worst floor."""
+    distinct = whole(vectors, key, vector, scale).groupBy("id", "dim", "vector").agg(F.count("*").alias("n"))
+    distinct = stored(distinct, "vectors")
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("copy")
+    rows = distinct.select("id", "dim", "vector", copies)
+    count = -(-rows.count() // block)
+    centres = _centres(distinct, count) if count > 1 else {}
+    data = _blocks(rows, block, centres)
+    asked = _blocks(distinct.where(is_query).select("id", "dim", "vector", F.lit(1).alias("copy")), block, centres)
+    slices = max(1, asked.count() // SLICE)
+    nearest_first = Window.partitionBy("dim", "asked").orderBy(F.desc("near"), "block")
+    pairs = stored(_pairs(data, asked).withColumn("turn", F.row_number().over(nearest_first)), "pairs")
+    none = F.lit(None).cast("binary").alias("floors")
+    first = pairs.where("turn = 1").select("dim", "block", "asked", none)
+    first = stored(_searched(first, data, asked, slices, k), "first")
+    rest = pairs.where("turn > 1").join(first.select("dim", "asked", "floors", "worst"), ["dim", "asked"])
+    rest = rest.where(F.col("bound") >= F.col("worst")).select("dim", "block", "asked", "floors")
+    return first.unionByName(_searched(rest, data, asked, slices, k))
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -236,42 +380,13 @@ def nearest(
     """(query_id, rank, vec_id, score): the k best candidates of every query,
     best score first, ties to the smaller id. is_query is a condition on the
     column `id`; the queries are candidates too, but for their own rows."""
-    spark = prepared(vectors.sparkSession)
-    distinct = whole(vectors, key, vector, scale).groupBy("id", "dim", "vector").agg(F.count("*").alias("n"))
-    distinct = stored(distinct, "vectors")
-    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("copy")
-    found = distinct.select("id", "dim", "vector", copies)
-    queries = distinct.where(is_query).select("id", "dim", "vector", F.lit(1).alias("copy"))
-    schema = "dim int, block int, ids binary, vectors binary"
-
-    def blocks(rows: DataFrame) -> tuple[DataFrame, int]:
-        count = max(1, -(-rows.count() // block))
-        place = F.pmod(F.xxhash64("id", "vector", "copy"), F.lit(count)).cast("int")
-        return rows.withColumn("block", place).groupBy("dim", "block").applyInArrow(_packed, schema), count
-
-    data, data_blocks = blocks(found)
-    asked, query_blocks = blocks(queries)
-    data = data.withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = asked.select(
-        "dim", F.col("block").alias("asked"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
-        F.explode(F.sequence(F.lit(0), F.lit(data_blocks - 1))).alias("block"),
-    )
-    met = data.join(asked.hint("shuffle_hash"), ["dim", "block", "asked"])
-    met = met.select("dim", "ids", "vectors", "q_ids", "q_vectors")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for dim, ids, data_, q_ids, q_data in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-                x = np.frombuffer(data_, np.float64).reshape(len(ids), dim)
-                q = np.frombuffer(q_data, np.float64).reshape(len(q_ids), dim)
-                best, best_id, filled = Search(q, q_ids, x, ids, k).run()
-                real = np.arange(k)[None] < filled[:, None]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_ids, filled)), pa.array(best_id[real]), pa.array(best[real])],
-                    ["query_id", "vec_id", "score"],
-                )
+    prepared(vectors.sparkSession)
+
+    def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = [np.frombuffer(b"".join(c.to_pylist()), np.int64) for c in batch.columns]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
-    scored = met.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+    found = rounds(vectors, is_query, key, vector, k, scale, block).select("q_ids", "best_ids", "best")
+    scored = per_batch(found, unpacked, "query_id bigint, vec_id bigint, score bigint")
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -183,6 +183,25 @@ def test_search_of_large_numbers_and_repeated_rows(spark):
     assert covertree.nearest(vectors.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def test_far_blocks_and_nodes_are_left_out(spark):
+    """Clustered vectors: fewer than half of the pairs are compared, and the
+    result is that of brute force."""
+    rng = np.random.default_rng(12)
+    middles = rng.normal(size=(24, 12)) * 4
+    x = (middles[np.arange(4800) % 24] + rng.normal(size=(4800, 12)) * 0.05).tolist()
+    vectors = spark.createDataFrame(list(enumerate(x)), "vec_id bigint, embedding array<double>").repartition(4)
+    whole = np.floor(np.array(x) * 256)
+    score = (whole[::50] @ whole.T).astype(np.int64)
+    score[np.arange(96), np.arange(96) * 50] = -(2**62)
+    expected = {(50 * q, r + 1, int(i), int(score[q, i])) for q in range(96) for r, i in enumerate(np.lexsort([np.arange(4800), -score[q]])[:5])}
+    asked = F.col("id") % 50 == 0
+    assert {tuple(r) for r in covertree.nearest(vectors, asked, block=200).collect()} == expected
+    found = covertree.rounds(vectors, asked, block=200).select("asked", "compared").collect()
+    blocks = len({r.asked for r in found})
+    assert sum(r.compared for r in found) < 0.5 * 96 * 4800
+    assert len(found) < 0.7 * blocks * 24  # pairs of blocks that were joined
+
+
 def test_tree_covers():
     x = np.floor(np.random.default_rng(1).normal(size=(700, 5)) * 256)
     x[100:200] = x[7]
