@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from simmart.llm.common import blob, kept, partitions, per_batch, prepared, texts
-from simmart.llm.words import Hasher, among, from_sorted_blob, sorted_blob, utf8
+from simmart.llm.words import Hasher, among, distinct, from_sorted_blob, sorted_blob, utf8
 
 WINDOW = 13
 CHUNK_BYTES = 32 << 20  # of the texts of a chunk of documents
@@ -161,8 +161,7 @@ def without_repeats(
     def fingerprints(table: pa.Table) -> pa.Table:
         own = _Chunk(table, window)
         number = table.column("chunk")[0].as_py()
-        found = np.unique(own.flat(own.originals(set()))[0]) >> shift
-        found = np.unique(found)
+        found = distinct(own.flat(own.originals(set()))[0] >> shift)
         step = -(-(1 << bits) // n)
         cuts = np.searchsorted(found, np.array([min(i * step, (1 << bits) - 1) for i in range(1, n)], np.uint64))
         parts = np.split(found, cuts)

@@ -96,6 +96,15 @@ def utf8(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values: by a sort, several times as fast as hashing is
+    for many that are distinct."""
+    ordered = np.sort(values)
+    stays = np.ones(len(ordered), bool)
+    stays[1:] = ordered[1:] != ordered[:-1]
+    return ordered[stays]
+
+
 def sorted_blob(values: np.ndarray) -> bytes:
     """Sorted 64-bit integers as differences, byte by byte of all of them, in
     as few bytes each as the largest needs; what compresses comes together."""
