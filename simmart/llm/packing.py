@@ -5,8 +5,8 @@ an item shorter than a window, goes to the fill level that leaves the smallest
 sum of squared counts of partially filled windows (Csirik, Johnson, Kenyon,
 Orlin, Shor & Weber, 2006; ties to the fullest level). An array over the levels
 holds the counts. The windows still open at the end of a part, or when there
-are too many to hold, are evened out: their pieces are cut into full windows,
-and the last rest into powers of two, which need no padding.
+are too many to hold, are evened out: the emptiest are cut into pieces that fill
+the others up, and the last rest into powers of two, which need no padding.
 
 Each part of the table is packed where it lies, so that nothing is shuffled and
 a part that is computed again gives the same sequences. Sequence ids are the
@@ -34,11 +34,13 @@ from simmart.llm.common import kept, texts
 
 WINDOW = 4096
 END_ID = 2
-OPEN_WINDOWS = 1_024  # at most 16 MB of ids; more are evened out
+OPEN_WINDOWS = 1_024  # at most 16 MB of ids; with more, all are evened out
 WORDS_KEPT = 600_000  # tokenised words a worker holds, some 120 MB
 _NO_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to tokenizers
 _SPACE = re.compile("[ \n\t\r]+")
 _TAIL = ".,!&*$%#|"
+# Marks after a letter or digit at a word's end, but for a letter that the tokenizer takes apart.
+_MARKS_BEHIND = re.compile(r"(?s)[%s](?<=[^\W_\u0130].)[%s]*(?=\s|\Z)" % (re.escape(_TAIL), re.escape(_TAIL)))
 
 
 class Words:
@@ -56,18 +58,19 @@ class Words:
         if np.frombuffer(self.ids(probe.encode().decode()), np.uint32).tolist() != whole:
             raise ValueError("the tokenizer does not treat the words of a text apart")
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[str], apart: set[str]) -> None:
+        """Words as they are, and words that may come apart."""
         if len(self._known) > WORDS_KEPT:
             self._known.clear()
-        known = self._known
-        missing = [w for w in words if w not in known]
-        parts = [self._parts(w) for w in missing]
-        needed = [x for x in {x for p in parts for x in p} if x not in known]
-        for start in range(0, len(needed), 10_000):
-            part = needed[start : start + 10_000]
+        parts = {w: self._parts(w) for w in apart.difference(self._known)}
+        self._encode(list(words.union(*parts.values()).difference(self._known)))
+        self._known.update((w, b"".join(self._known[x] for x in p)) for w, p in parts.items())
+
+    def _encode(self, words: list[str]) -> None:
+        for start in range(0, len(words), 10_000):
+            part = words[start : start + 10_000]
             found = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found))
-        known.update((w, known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]]) for w, p in zip(missing, parts))
+            self._known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, found))
 
     @staticmethod
     def _parts(word: str) -> tuple[str, ...]:
@@ -88,10 +91,20 @@ class Words:
         return self.batch([text])[0]
 
     def batch(self, batch: list[str]) -> list[bytes]:
-        split = [_SPACE.split(text) if _NO_SPACE.search(text) else text.split() for text in batch]
-        self.learn(set().union(*split))
+        """Where no special token may be, which case tells, ASCII is lower-cased
+        and marks are set apart in the whole text at once."""
+        split = [self._split(text) for text in batch]
+        special = ["<|" in text for text in batch]
+        self.learn(*(set().union(*(w for w, s in zip(split, special) if s == mark)) for mark in (False, True)))
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        if "<|" not in text:
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            text = _MARKS_BEHIND.sub(r" \g<0>", text)
+        return _SPACE.split(text) if _NO_SPACE.search(text) else text.split()
+
 
 class Packer:
     """Packs one part. Pieces are (row, start, length, ids, sequence, offset)."""
@@ -150,17 +163,42 @@ class Packer:
         return best
 
     def even_out(self) -> None:
-        """Cuts the pieces of all open windows into full windows and powers of
-        two."""
-        pieces = [p for window in self.held.values() for p in window]
-        left = sum(len(p[2]) for p in pieces)
+        """Fills up the open windows, fullest first, with what is in the
+        emptiest: their pieces are cut to the gaps, and the others stay where
+        the level rule has put them. What is left at last, less than a window,
+        is cut into powers of two."""
+        fill = {w: sum(len(p[2]) for p in pieces) for w, pieces in self.held.items()}
+        order = sorted(fill, key=lambda w: (-fill[w], w))
+        first, last, pool = 0, len(order) - 1, []
+        while first <= last:
+            window = order[first]
+            pieces, at = self.held[window], fill[window]
+            while at < self.window and (pool or first < last):
+                if not pool:
+                    pool = [p[:3] for p in self.held[order[last]]]
+                    last -= 1
+                row, start, ids = pool.pop()
+                part = ids[: self.window - at]
+                if len(part) < len(ids):
+                    pool.append((row, start + len(part), ids[len(part) :]))
+                pieces.append((row, start, part, window, at))
+                at += len(part)
+            if at < self.window:
+                pool = [p[:3] for p in pieces]
+            else:
+                self.done.extend(pieces)
+            first += 1
         self.held, self.at_level = {}, {}
         self.level[:] = 0
+        self._in_powers_of_two(pool)
+
+    def _in_powers_of_two(self, pieces: list[tuple]) -> None:
+        left = sum(len(p[2]) for p in pieces)
         room = offset = 0
-        for row, start, ids, *_ in pieces:
+        for row, start, ids in pieces:
             while len(ids):
                 if not room:
-                    room = self.window if left >= self.window else 1 << (left.bit_length() - 1)
+                    room = 1 << (left.bit_length() - 1)
                     left -= room
                     sequence, offset = self._new(), 0
                 part = ids[:room]
