@@ -53,27 +53,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.isEmpty():
-        return _one_row_of_each_group(docs)
-    found = neardup.near_duplicates(docs)
-    gone = found.where("doc_id is not null and class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-
-
-def _one_row_of_each_group(docs: DataFrame) -> DataFrame:
-    """The same where ids repeat: rows are compared by numbers of their own, so
-    that each goes by its own text. Numbers are stored, as they may change when
-    they are given again."""
-    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    named = rows.where("doc_id is not null")
-    found = neardup.near_duplicates(named, "row").select("row", "class_id")
-    order = F.struct("doc_id", F.xxhash64("text").alias("hash"), "lang", "source", "n_chars", "row")
-    placed = named.select("row", order.alias("order")).join(found, "row")
-    firsts = placed.groupBy("class_id").agg(F.min("order").alias("first"))
-    once = named.join(firsts.select("first.row"), "row", "left_semi")
-    return once.unionByName(rows.where("doc_id is null")).select(*COLUMNS)
+    return neardup.one_of_each(docs.select(*COLUMNS), ties=("lang", "source", "n_chars"))
 
 
 def repeats_cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
