@@ -8,9 +8,11 @@ is fitted over Nyström landmarks. As kernel values are products of presence
 vectors, landmarks and coefficients fold into one matrix (slots x languages),
 by which a batch of presence vectors is multiplied.
 
-The model is fitted on at most SAMPLE labelled texts, evenly from the (at most
-LANGUAGES) most frequent languages and chosen by a hash of the key. Every text is
-scored whole. A text that is null or has no letter is "und" with score 0, as
+The model is fitted on at most SAMPLE labelled texts, or one of each language if
+there are more languages than that: as many of every language, chosen by a hash
+of the key and, for repeated keys, of the text. Every language with a text that
+has a letter is learned and has a landmark, so that the model grows with their
+number. Every text is scored whole. A text that is null or has no letter is "und" with score 0, as
 all are if nothing can be learned. Repeated rows are repeated in the result.
 Rows with a null key are scored, never learned from and not held out.
 """
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from simmart.llm.characters import LETTER, classes, code_points
 from simmart.llm.common import kept, per_batch, prepared, texts
@@ -29,8 +31,7 @@ from simmart.llm.common import kept, per_batch, prepared, texts
 LENGTHS = 3
 SLOTS = 1 << 16
 SAMPLE = 2_000
-LANGUAGES = 100
-LANDMARKS = 256
+LANDMARKS = 256  # or one of each language
 RIDGE = 1e-3
 SHARPNESS = 4.0
 UNKNOWN = "und"
@@ -85,7 +86,7 @@ def fit(found: list[np.ndarray], languages: list[str]) -> Model | None:
     for name in names:
         own = np.array(languages) == name
         turn[own] = np.arange(own.sum())
-    landmarks = np.argsort(turn, kind="stable")[:LANDMARKS]
+    landmarks = np.argsort(turn, kind="stable")[: max(LANDMARKS, len(names))]
     slots = np.unique(np.concatenate([found[i] for i in landmarks]))
     column = np.full(LENGTHS * SLOTS, -1, np.int32)
     column[slots] = np.arange(len(slots))
@@ -109,28 +110,29 @@ def fit(found: list[np.ndarray], languages: list[str]) -> Model | None:
 
 def learned(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """The model of the labelled rows for which a condition holds."""
-    rows = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"), where.alias("own")
-    ).where("own and lang is not null and key is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    place = F.xxhash64(F.col(key))
+    usable = where & F.col(lang).isNotNull() & F.col(key).isNotNull() & F.col(text).rlike(r"\p{L}")
+    rows = docs.where(usable).select(place.alias("place"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    n_languages = rows.agg(F.countDistinct("lang")).first()[0]
+    if not n_languages:
         return None
-    each = SAMPLE // len(counts)
-    spread = float(2**62)
-    chosen = F.lit(False)
-    place = F.pmod(F.xxhash64("key"), F.lit(2**62))
-    for r in counts:
-        bound = int(min(1.0, each / r["count"]) * spread)
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (place <= bound))
+    each = max(1, SAMPLE // n_languages)
+    # Places alone are ranked first, so that few texts are sorted and shuffled.
+    # Ranks are cut in each task before the shuffle: a hot language stays small.
+    lowest = rows.select("lang", "place").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
+    bounds = F.broadcast(lowest.where(F.col("rank") <= each).groupBy("lang").agg(F.max("place").alias("bound")))
+    near = rows.join(bounds, "lang").where("place <= bound")
+    first = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
+    chosen = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each)
 
     def slots(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [presence(t) for t in texts(batch.column(1))]
         lists = [None if f is None else f.astype(np.int32).tobytes() for f in found]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lists, pa.binary())], ["place", "lang", "slots"])
 
-    sample = per_batch(rows.where(chosen).select(place.alias("place"), "text", "lang"), slots, "place bigint, lang string, slots binary")
-    sample = sample.where("slots is not null").limit(2 * SAMPLE).toArrow()
-    sample = sample.sort_by([("place", "ascending"), ("lang", "ascending"), ("slots", "ascending")]).slice(0, SAMPLE)
+    sample = per_batch(chosen.select("place", "text", "lang"), slots, "place bigint, lang string, slots binary")
+    sample = sample.where("slots is not null").toArrow()
+    sample = sample.sort_by([("place", "ascending"), ("lang", "ascending"), ("slots", "ascending")])
     return fit([np.frombuffer(b, np.int32) for b in sample["slots"].to_pylist()], sample["lang"].to_pylist())
 
 

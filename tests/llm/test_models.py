@@ -44,6 +44,29 @@ def test_languages_of_odd_documents(spark, tongues, odd_docs, no_docs):
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
 
 
+def test_rare_languages_are_learned_and_repeated_keys_kept_in_bounds(spark, monkeypatch):
+    """Of 130 languages, one of which has nearly all rows and keys that repeat,
+    all are learned, from as many texts each."""
+    letters = [[chr(0x4E00 + 8 * n + i) for i in range(8)] for n in range(130)]
+
+    def text(n: int, i: int) -> str:
+        return " ".join(letters[n][i % 8] + letters[n][(i * 3 + k) % 8] for k in range(9))
+
+    rows = [(1000 * n + i, text(n, i), f"l{n:03}", "s", 0) for n in range(130) for i in range(4)]
+    rows += [(i % 3, text(0, i), "l000", "s", 0) for i in range(3000)] + [(-1, "12 34", "l999", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    fitted = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda found, names: fitted.append(names) or fit(found, names))
+    for sample, each in ((260, 2), (40, 1)):
+        monkeypatch.setattr(language, "SAMPLE", sample)
+        model = language.learned(docs, F.lit(True))
+        assert model.languages == [f"l{n:03}" for n in range(130)]
+        assert sorted(fitted[-1]) == sorted(model.languages * each)
+    found = language.predicted(docs.where("doc_id >= 0"), model, keep=("lang",)).collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) == 1
+
+
 def test_kernel_is_shared_presence_over_the_mean():
     """Folded scores equal those by explicit kernel values and coefficients."""
     found = [language.presence(tongue(n, i)) for i in range(30) for n in ALPHABETS]
