@@ -204,6 +204,20 @@ SELECT event_id, user_id, value FROM events QUALIFY count(*) OVER (PARTITION BY
     "reconcile_counts": """
 SELECT e AS expected, a AS actual, e = a AS matches
 FROM (SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS e, (SELECT count(*) FROM labels) AS a)
+""",
+    "version_reconcile": """
+WITH lines AS (SELECT DISTINCT l_orderkey AS key FROM lineitem),
+held AS (
+    SELECT DISTINCT o_orderkey AS key FROM orders
+    WHERE (o_orderkey % 6 < 3 AND o_orderkey IN (SELECT key FROM lines)) OR o_orderkey % 6 = 3
+       OR (o_orderkey % 6 = 4 AND o_orderstatus = 'F')
+), sides AS (
+    SELECT coalesce(l.key, h.key) % 6 AS version, l.key IS NOT NULL AND h.key IS NULL AS missing, l.key IS NULL AS extra
+    FROM lines l FULL JOIN held h ON l.key = h.key
+)
+SELECT version, CASE WHEN bool_or(missing OR extra) THEN 'keys' ELSE 'sketch' END AS checked,
+       count(*) FILTER (missing) AS n_missing, count(*) FILTER (extra) AS n_extra
+FROM sides GROUP BY version
 """,
     "pk_violations": """
 SELECT l_suppkey, l_partkey, count(*) AS n_rows FROM lineitem GROUP BY ALL

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from simmart.functions.fingerprint import N_BITS, fingerprint, n_set, pack
 from simmart.functions.text import month_prefix
-from simmart.operators import dedup, normalize, quality, similarity, targets
+from simmart.operators import dedup, normalize, quality, similarity, targets, versions
 from simmart.plans import ingest, mart, views
 from simmart.session import shared_dir, tune
 from simmart.sources import files, paged
@@ -179,6 +179,27 @@ def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.reconcile(table(spark, sf, "documents"), "doc_id", table(spark, sf, "labels"))
 
 
+def version_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders that have lines against the orders themselves, in six versions
+    by order number. Of the orders, versions 0 to 2 hold just those with lines,
+    3 holds all, 4 only the finished ones, and 5 is not there."""
+    version = F.col("key") % 6
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key")).withColumn("version", version)
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus").withColumn("version", version)
+    stage = f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}"
+    lined = orders.where("version < 3").join(lines.where("version < 3"), "key", "left_semi")
+    held = lined.unionByName(orders.where("version = 3 or version = 4 and o_orderstatus = 'F'"))
+    sides = []
+    for name, rows in (("lines", lines), ("orders", held.drop("o_orderstatus"))):
+        rows.write.partitionBy("version").parquet(f"{stage}/{name}")
+        kept = spark.read.schema("key bigint, version bigint").parquet(f"{stage}/{name}")
+        versions.key_sketches(kept, "key", ["version"]).write.parquet(f"{stage}/{name}_sketches")
+        sides.append((kept, spark.read.parquet(f"{stage}/{name}_sketches")))
+    (expected, es), (actual, own) = sides
+    found = versions.reconciled(expected, actual, "key", "version", es, own)
+    return found.select("version", "checked", "n_missing", "n_extra")
+
+
 def pk_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.primary_key_violations(table(spark, sf, "lineitem"), ["l_suppkey", "l_partkey"])
 
@@ -436,6 +457,7 @@ QUERIES = {
     "duplicate_members": duplicate_members,
     "count_distinct": count_distinct,
     "reconcile_counts": reconcile_counts,
+    "version_reconcile": version_reconcile,
     "pk_violations": pk_violations,
     "fk_violations": fk_violations,
     "paged_scan": paged_scan,

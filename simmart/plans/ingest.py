@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from simmart.functions.fingerprint import N_BITS, RADIUS, fingerprint, pack
-from simmart.operators import normalize
+from simmart.operators import normalize, versions
 from simmart.operators.quality import counted, primary_key_violations, reconcile
 from simmart.sources import paged
 from simmart.sources.tables import FINGERPRINT_CHUNK, even_chunks
@@ -127,6 +127,50 @@ def require_settings(prints: DataFrame, radius: int = RADIUS, n_bits: int = N_BI
     return prints
 
 
+SKETCHES = "table_name string, n_rows bigint, n_keys bigint, sketch binary, version string"
+
+
+def write_sketches(spark: SparkSession, out: Staging, names: list[str], key: str = "chembl_id") -> DataFrame:
+    """(table_name, n_rows, n_keys, sketch) of some tables of a version, by
+    which versions are compared later without reading them."""
+
+    def sketched(name: str) -> DataFrame:
+        rows = spark.read.parquet(out.path(name)).select(key, F.lit(name).alias("table_name"))
+        return versions.key_sketches(rows, key, ["table_name"])
+
+    return out.write(reduce(DataFrame.unionByName, map(sketched, names)), "key_sketches")
+
+
+def stored_sketches(spark: SparkSession, root: str) -> DataFrame:
+    """The sketches of all versions of a staging area, with the version."""
+    return spark.read.schema(SKETCHES).option("basePath", root).parquet(f"{root}/version=*/key_sketches")
+
+
+def version_changes(spark: SparkSession, root: str) -> DataFrame:
+    """What each version of each staging table has gained and lost, estimated
+    from the sketches; see ``versions.changes``."""
+    return versions.changes(stored_sketches(spark, root), "version", ["table_name"])
+
+
+def reconcile_versions(
+    spark: SparkSession,
+    root: str,
+    expected: str = "staging_compound_structures",
+    actual: str = "fingerprints",
+    key: str = "chembl_id",
+) -> DataFrame:
+    """Whether one table has the keys of another in every version. Tables are
+    read only of those versions whose sketches differ."""
+    sketches = stored_sketches(spark, root)
+
+    def side(name: str) -> tuple[DataFrame, DataFrame]:
+        rows = spark.read.schema(f"{key} string, version string").option("basePath", root).parquet(f"{root}/version=*/{name}")
+        return rows, sketches.where(F.col("table_name") == name)
+
+    (first, firsts), (second, seconds) = side(expected), side(actual)
+    return versions.reconciled(first, second, key, "version", firsts, seconds)
+
+
 def run(
     spark: SparkSession,
     lookups: paged.PageFetcher,
@@ -143,6 +187,7 @@ def run(
     out.write(staging_key_violations({n: spark.read.parquet(out.path(n)) for n in STAGING_KEYS}), "key_violations")
     structures = spark.read.parquet(out.path("staging_compound_structures"))
     write_fingerprints(fingerprints(structures), out.path("fingerprints"))
+    write_sketches(spark, out, [*STAGING_KEYS, "fingerprints"])
 
     printed = reconcile(structures, "chembl_id", spark.read.parquet(out.path("fingerprints"))).first()
     count = out.counts
