@@ -181,6 +181,8 @@ SELECT part, CASE part WHEN 1 THEN 'no column text' WHEN 2 THEN 'column text is
 FROM p
 """,
     "structure_scan": "SELECT doc_id AS chembl_id, text AS canonical_smiles FROM documents",
+    "split_scan": "SELECT event_id, CAST(pow(event_id % 20, 7) AS BIGINT) * 1000000000 + event_id AS skewed_id, event_type, "
+    "true AS even FROM events",
     "limit_offset": "SELECT doc_id AS chembl_id, text AS canonical_smiles FROM documents "
     "ORDER BY doc_id LIMIT 150 OFFSET 100",
     "tanimoto_full": TANIMOTO_FULL,

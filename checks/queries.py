@@ -18,7 +18,7 @@ from simmart.functions.text import month_prefix
 from simmart.operators import dedup, normalize, quality, similarity, targets, versions
 from simmart.plans import ingest, mart, views
 from simmart.session import shared_dir, tune
-from simmart.sources import files, paged
+from simmart.sources import files, paged, ranges
 from simmart.sources.tables import spread, table
 
 PIVOT = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89]
@@ -92,6 +92,19 @@ def structure_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def split_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """All events, read in sixteen ranges of an id that is skewed: the seventh
+    power of a small number, times a large one, and the event's own number.
+    Each row with whether its range is no larger than 1.5 times the mean."""
+    skewed = F.pow(F.col("event_id") % 20, 7).cast("bigint") * 1_000_000_000 + F.col("event_id")
+    events = table(spark, sf, "events").select("event_id", skewed.alias("skewed_id"), "event_type")
+    cut = ranges.quantile_ranges(events, "skewed_id", 16)
+    rows = ranges.read_ranges(events, "skewed_id", cut, "split")
+    sizes = rows.groupBy("split").agg(F.count("*").alias("n"))
+    mean = sizes.agg(F.sum("n") / len(cut)).first()[0]
+    return rows.join(sizes.select("split", (F.col("n") <= 1.5 * mean).alias("even")), "split").drop("split")
+
+
 def limit_offset(spark: SparkSession, sf: str) -> DataFrame:
     return structure_scan(spark, sf).orderBy("chembl_id").offset(100).limit(150)
 
@@ -443,6 +456,7 @@ QUERIES = {
     "fingerprint_scan": fingerprint_scan,
     "fingerprint_file_faults": fingerprint_file_faults,
     "structure_scan": structure_scan,
+    "split_scan": split_scan,
     "limit_offset": limit_offset,
     "tanimoto_full": tanimoto_full,
     "tanimoto_topk": tanimoto_topk,
