@@ -10,9 +10,10 @@ by which a batch of presence vectors is multiplied.
 
 The model is fitted on at most SAMPLE labelled texts, or one of each language if
 there are more languages than that: as many of every language, chosen by a hash
-of the key and, for repeated keys, of the text. Every language with a text that
-has a letter is learned and has a landmark, so that the model grows with their
-number. Every text is scored whole. A text that is null or has no letter is "und" with score 0, as
+of key and text; repeated rows are learned from once. Every language with a text
+that has a letter is learned and has a landmark, so that the model, and a list of
+languages that comes to the driver, grow with their number. Every text is scored
+whole. A text that is null or has no letter is "und" with score 0, as
 all are if nothing can be learned. Repeated rows are repeated in the result.
 Rows with a null key are scored, never learned from and not held out.
 """
@@ -31,6 +32,7 @@ from simmart.llm.common import kept, per_batch, prepared, texts
 LENGTHS = 3
 SLOTS = 1 << 16
 SAMPLE = 2_000
+PLACES = 1 << 62
 LANDMARKS = 256  # or one of each language
 RIDGE = 1e-3
 SHARPNESS = 4.0
@@ -110,19 +112,20 @@ def fit(found: list[np.ndarray], languages: list[str]) -> Model | None:
 
 def learned(docs: DataFrame, where: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """The model of the labelled rows for which a condition holds."""
-    place = F.xxhash64(F.col(key))
+    place = F.pmod(F.xxhash64(key, text), F.lit(PLACES))
     usable = where & F.col(lang).isNotNull() & F.col(key).isNotNull() & F.col(text).rlike(r"\p{L}")
     rows = docs.where(usable).select(place.alias("place"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    n_languages = rows.agg(F.countDistinct("lang")).first()[0]
-    if not n_languages:
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("place", 0.02).alias("n")).collect()
+    if not counts:
         return None
-    each = max(1, SAMPLE // n_languages)
-    # Places alone are ranked first, so that few texts are sorted and shuffled.
-    # Ranks are cut in each task before the shuffle: a hot language stays small.
-    lowest = rows.select("lang", "place").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
-    bounds = F.broadcast(lowest.where(F.col("rank") <= each).groupBy("lang").agg(F.max("place").alias("bound")))
-    near = rows.join(bounds, "lang").where("place <= bound")
-    first = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
+    each = max(1, SAMPLE // len(counts))
+    # By about twice as many rows as wanted, and 40, a language has enough of
+    # them but for one case in 10^15; only these are ranked, and repeated rows
+    # count once, so that what a task gets of a hot language does not grow.
+    bounds = [(r.lang, int(PLACES * min(1.0, (2.2 * each + 44) / r.n))) for r in counts]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound bigint"))
+    near = rows.join(bounds, "lang").where("place <= bound").dropDuplicates(["lang", "place"])
+    first = Window.partitionBy("lang").orderBy("place")
     chosen = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each)
 
     def slots(batch: pa.RecordBatch) -> pa.RecordBatch:
