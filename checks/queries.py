@@ -56,9 +56,11 @@ def fingerprint_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fingerprint_file_faults(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents as a store of eight files, some of which cannot be used:
-    another column name, another type, other settings, and plain text. Files
-    with their rows and faults, and the rows that a read of the others gives."""
+    """All documents as a store of eight parts, some of which cannot be used:
+    another column name, another type, other settings, and plain text. Parts
+    with their rows and faults, and the rows that a read of the others gives.
+    Each task writes its own rows, so that a part has as many files as there
+    were tasks with rows of it."""
     folder = f"{shared_dir(spark)}/prints-{uuid.uuid4().hex}"
     docs, own = table(spark, sf, "documents").select("doc_id", "text", "n_chars"), F.pmod("doc_id", F.lit(8)).cast("int")
     made = {"radius": 2, "n_bits": 2048}
@@ -70,8 +72,8 @@ def fingerprint_file_faults(spark: SparkSession, sf: str) -> DataFrame:
         5: [F.col("doc_id").cast("string").alias("doc_id"), text],
     }
     for part in (0, 1, 2, 3, 5, 6, 7):
-        docs.where(own == part).select(*shapes.get(part, [id_, text])).coalesce(1).write.parquet(f"{folder}/part={part}")
-    docs.where(own == 4).select(F.coalesce("text", F.lit(""))).coalesce(1).write.text(f"{folder}/part=4")
+        docs.where(own == part).select(*shapes.get(part, [id_, text])).write.parquet(f"{folder}/part={part}")
+    docs.where(own == 4).select(F.coalesce("text", F.lit(""))).write.text(f"{folder}/part=4")
     fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     for found in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part=4")):
         name = found.getPath().toString()
@@ -83,7 +85,7 @@ def fingerprint_file_faults(spark: SparkSession, sf: str) -> DataFrame:
     read = files.fingerprint_files(spark, folder, schema, "text", placed=True, only=files.usable_files(audit))
     rows = read.groupBy(part).agg(F.count("*").alias("rows_read"))
     fault = F.regexp_replace("fault", r"(:| \{).*", "").alias("fault")
-    return audit.select(part, fault, "n_rows").join(rows, "part", "left")
+    return audit.groupBy(part, fault).agg(F.sum("n_rows").alias("n_rows")).join(rows, "part", "left")
 
 
 def structure_scan(spark: SparkSession, sf: str) -> DataFrame:
