@@ -7,13 +7,19 @@ Vidal, Thormann & Pons, 2005), each hashed into one of ``n_bits`` positions.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 RADIUS = 2
 N_BITS = 2048
 WORD = 64
+BLOCK = 1 << 20  # code points hashed at a time
+KNOWN = 1 << 18  # substrings whose hashes a task keeps
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -22,47 +28,78 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def substrings(text: Column, max_len: int) -> Column:
-    """Distinct substrings of length 1..max_len.
+def _heads(grams: list[str], known: dict[str, int]) -> np.ndarray:
+    """The first 32 bits of the MD5 of each; ``known`` holds those of before."""
+    for gram in grams:
+        if gram not in known:
+            known[gram] = int.from_bytes(hashlib.md5(gram.encode(), usedforsecurity=False).digest()[:4])
+    return np.array([known[gram] for gram in grams], np.int64)
 
-    One linear pass collects, at each code point, the longest substring that
-    starts there; the shorter ones are prefixes of those. (``substr`` per
-    position would walk the text from its start every time.) The first
-    look-ahead keeps the scan from starting inside a surrogate pair.
-    """
-    pattern = r"(?s)(?![\uDC00-\uDFFF])(?=(.{1,%d}))" % max_len
-    longest = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1))
-
-    def cut(found: Column, n: int) -> Column:
-        return F.transform(found, lambda gram: F.left(gram, F.lit(n)))
 
-    def prefixes(found: Column) -> Column:
-        return F.array_distinct(F.concat(found, *[cut(found, n) for n in range(1, max_len)]))
+def _set_bits(texts: list[np.ndarray], max_len: int, n_bits: int, known: dict[str, int]) -> np.ndarray:
+    """A row of flags for each text, given as its code points.
 
-    return let(longest, prefixes)
+    Substrings are told apart by numbers: that of length n by the number of its
+    first n - 1 code points and its last one. Each is hashed once a block.
+    """
+    points, row = np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    bits = np.zeros((len(texts), n_bits), bool)
+    for start in range(0, len(points), BLOCK):
+        part, own = (x[start : start + BLOCK + max_len - 1] for x in (points, row))
+        number, grams = np.zeros(len(part), np.int64), [""]
+        for n in range(1, min(max_len, len(part)) + 1):
+            first, last = own[: len(part) - n + 1], own[n - 1 :]
+            found = pa.array(number[: len(first)] << 21 | part[n - 1 :]).dictionary_encode()
+            grams = [grams[code >> 21] + chr(code & 0x1FFFFF) for code in found.dictionary.to_pylist()]
+            number = found.indices.to_numpy().astype(np.int64)
+            at = first * n_bits + (_heads(grams, known) % n_bits)[number]
+            bits.reshape(-1)[at[first == last]] = True
+    return bits
 
 
 def bit_positions(text: Column, radius: int = RADIUS, n_bits: int = N_BITS) -> Column:
-    """Sorted distinct bit positions set by ``text``."""
-
-    def position(gram: Column) -> Column:
-        head = F.conv(F.substr(F.md5(gram), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
-        return F.pmod(head, F.lit(n_bits)).cast("int")
-
-    return F.sort_array(F.array_distinct(F.transform(substrings(text, radius + 1), position)))
+    """Sorted distinct bit positions set by ``text``: those of all its
+    substrings of up to radius + 1 code points. Texts are taken some at a time
+    and long ones in blocks, so that a task's memory is bounded."""
+    known: dict[str, int] = {}
+
+    def substrings_md5(texts: pa.Array) -> pa.Array:
+        values, sizes, waiting, n = [np.empty(0, np.int32)], [0], [], 0
+
+        def flush() -> None:
+            if len(known) > KNOWN:
+                known.clear()
+            if waiting:
+                row, at = np.nonzero(_set_bits(waiting, radius + 1, n_bits, known))
+                values.append(at.astype(np.int32))
+                sizes.extend(np.bincount(row, minlength=len(waiting)).tolist())
+                waiting.clear()
+
+        for text in texts.cast(pa.large_binary()):
+            waiting.append(np.frombuffer((text.as_py() or b"").decode("utf-8", "replace").encode("utf-32-le"), np.uint32))
+            n += len(waiting[-1]) + n_bits
+            if n >= BLOCK:
+                flush()
+                n = 0
+        flush()
+        offsets = pa.array(np.cumsum(sizes, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values)), mask=texts.is_null())
+
+    return F.arrow_udf(substrings_md5, "array<int>")(text)
 
 
 def bit_text(positions: Column, n_bits: int = N_BITS) -> Column:
     """Text of '0' and '1' with a '1' at each (sorted, distinct) position."""
 
-    def spell(found: Column) -> Column:
-        def run(pos: Column, i: Column) -> Column:
-            before = F.when(i == 0, F.lit(-1)).otherwise(F.get(found, i - 1))
-            return F.concat(F.repeat(F.lit("0"), pos - before - 1), F.lit("1"))
-
-        return F.rpad(F.array_join(F.transform(found, run), ""), n_bits, "0")
+    def spell(found: pa.Array) -> pa.Array:
+        flags = np.full((len(found), n_bits), ord("0"), np.uint8)
+        row, at = pc.list_parent_indices(found).to_numpy(), pc.list_flatten(found).to_numpy()
+        flags[row[at < n_bits], at[at < n_bits]] = ord("1")
+        ends = pa.array(np.arange(len(found) + 1) * n_bits, pa.int32())
+        texts = pa.StringArray.from_buffers(len(found), ends.buffers()[1], pa.py_buffer(flags))
+        return pc.if_else(found.is_valid(), texts, pa.scalar(None, pa.string()))
 
-    return let(positions, spell)
+    return F.arrow_udf(spell, "string")(positions)
 
 
 def is_structure(text: Column) -> Column:
@@ -92,7 +129,7 @@ def fingerprint(
     valid: Callable[[Column], Column] = is_structure,
 ) -> Column:
     """Bit text of a structure string, null when ``valid`` refuses it."""
-    return F.when(valid(text), bit_text(bit_positions(text, radius, n_bits), n_bits))
+    return bit_text(bit_positions(F.when(valid(text), text), radius, n_bits), n_bits)
 
 
 def is_bit_text(bits: Column, n_bits: int | None = None) -> Column:

@@ -1,11 +1,13 @@
 """What a task reads or holds must not grow with the input."""
 
+import hashlib
 from pathlib import Path
 from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
 from checks import queries
+from simmart.functions import fingerprint as fp
 from simmart.session import shared_dir
 
 
@@ -32,3 +34,31 @@ def test_each_task_writes_its_own_files_of_a_part(spark, tmp_path):
         0: (None, 500, 500), 1: ("no column text", 500, None), 4: ("unreadable", None, None), 7: (None, 500, 500)
     }
     assert len(found) == 8
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+def test_sources_ranked_in_full_are_dealt_by_the_pairs_that_a_task_sorts(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "SORTED_PAIRS", 500)
+    bits = [(f"m{i}", format(i * 7919 % 65536, "0128b")) for i in range(300)]
+    sources = spark.createDataFrame(bits, "chembl_id string, bits string").select("chembl_id", fp.pack(F.col("bits")).alias("words"))
+    targets = sources.where("chembl_id < 'm11'")  # m0, m1, m10 and m100 to m109
+    found = similarity.top_of_all(targets, sources.coalesce(1), n_bits=128)
+    assert "RoundRobinPartitioning(8)" in plan(found)  # 13 targets x 300 sources / 500
+    assert set(found.collect()) == set(similarity.top_similar(targets, sources, n_bits=128).collect())
+
+def test_texts_longer_than_a_block(spark, monkeypatch):
+    """Blocks and groups of texts give what each text gives by itself, and the
+    scan of a text is no JVM expression by code point."""
+    monkeypatch.setattr(fp, "BLOCK", 50)
+    texts = ["abc" * 100 + "é😀\n" + "x", "", None, "a", "ab", "😀", "C" * 49, "C" * 50, "C" * 51 + "N", "the last"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string").coalesce(1)
+    found = rows.select("i", fp.bit_positions(F.col("x"), 2, 64).alias("p"), fp.fingerprint(F.col("x"), n_bits=64, valid=lambda t: F.length(t) > 0).alias("b"))
+    assert "regexp_extract_all" not in plan(found)
+    for r in found.collect():
+        text = texts[r.i]
+        grams = {text[a : a + n] for n in (1, 2, 3) for a in range(len(text) - n + 1)} if text is not None else None
+        want = None if text is None else sorted({int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % 64 for g in grams})
+        assert r.p == want
+        assert r.b == (None if not text else "".join("01"[i in want] for i in range(64)))
