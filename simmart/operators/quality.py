@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from simmart.operators.dedup import repeated_keys
 
+KEY_ROWS = 1 << 20  # rows of which a task counts the keys
+PIECES = 16  # tasks at most that share the rows of one key
+
 
 def primary_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values that occur more than once, or hold a null, with row counts."""
+    """Key values that occur more than once, or hold a null, with row counts.
+
+    Nearly all keys are distinct, and a task holds all of those that it counts.
+    Rows are therefore dealt into parts of some KEY_ROWS before any are held:
+    first by key and piece of the input, so that several tasks share the rows of
+    a hot key, then the counts of the pieces by key alone.
+    """
     null_key = F.lit(False)
     for key in keys:
         null_key = null_key | F.col(key).isNull()
-    return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where((F.col("n_rows") > 1) | null_key)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / KEY_ROWS))
+    dealt = df.select(*keys, (F.spark_partition_id() % PIECES).alias("_piece")).repartition(parts, *keys, "_piece")
+    pieces = dealt.groupBy(*keys, "_piece").agg(F.count("*").alias("n_rows"))
+    counts = pieces.repartition(parts, *keys).groupBy(*keys).agg(F.sum("n_rows").alias("n_rows"))
+    return counts.where((F.col("n_rows") > 1) | null_key)
 
 
 def foreign_key_violations(fact: DataFrame, column: str, dim: DataFrame, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from simmart.functions import fingerprint as fp
+from simmart.operators import quality, similarity
 from simmart.session import shared_dir
 
 
@@ -39,14 +40,32 @@ def test_each_task_writes_its_own_files_of_a_part(spark, tmp_path):
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
-def test_sources_ranked_in_full_are_dealt_by_the_pairs_that_a_task_sorts(spark, monkeypatch):
-    monkeypatch.setattr(similarity, "SORTED_PAIRS", 500)
-    bits = [(f"m{i}", format(i * 7919 % 65536, "0128b")) for i in range(300)]
-    sources = spark.createDataFrame(bits, "chembl_id string, bits string").select("chembl_id", fp.pack(F.col("bits")).alias("words"))
-    targets = sources.where("chembl_id < 'm11'")  # m0, m1, m10 and m100 to m109
-    found = similarity.top_of_all(targets, sources.coalesce(1), n_bits=128)
-    assert "RoundRobinPartitioning(8)" in plan(found)  # 13 targets x 300 sources / 500
-    assert set(found.collect()) == set(similarity.top_similar(targets, sources, n_bits=128).collect())
+
+def test_keys_are_dealt_out_before_they_are_counted(spark, monkeypatch):
+    """A task counts KEY_ROWS rows or so, and several share a hot key."""
+    monkeypatch.setattr(quality, "KEY_ROWS", 100)
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None).otherwise(F.col("id"))
+    df = spark.range(0, 2000, 1, 8).select(key.alias("k"), (F.col("id") % 1).alias("n"))
+    found = quality.primary_key_violations(df, ["k", "n"])
+    dealt = [line for line in plan(found).splitlines() if "Exchange" in line]
+    assert len(dealt) == 2 and all(", 20), REPARTITION_BY_NUM" in line for line in dealt)
+    hot = [r.id for r in spark.range(2000).collect() if r.id % 3 == 0 or r.id == 7]
+    null = [i for i in range(2000) if i % 3 and i % 100 == 1]
+    assert {(r.k, r.n_rows) for r in found.collect()} == {(7, len(hot)), (None, len(null))}
+
+def test_bands_compute_each_fingerprint_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def bits(i):
+        seen.add(1)
+        return format(i, "0128b")
+
+    ids = spark.range(0, 200, 1, 4)
+    rows = ids.select(F.concat(F.lit("m"), "id").alias("chembl_id"), fp.pack(bits("id")).alias("words"))
+    similarity.write_bands(rows, f"{tmp_path}/bands")
+    assert seen.value == 200 and similarity.read_bands(spark, f"{tmp_path}/bands").count() == 200
+
 
 def test_texts_longer_than_a_block(spark, monkeypatch):
     """Blocks and groups of texts give what each text gives by itself, and the
