@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from simmart.functions.fingerprint import N_BITS, WORD, n_set
 from simmart.operators.normalize import only
 from simmart.operators.scoring import OTHER_BANDS, OWN_BAND, StoredTargets, all_scores, best_scores
-from simmart.session import shared_dir
+from simmart.session import remove, shared_dir
 
 Scorer = Callable[[Iterator[pa.RecordBatch], StoredTargets], Iterator[pa.RecordBatch]]
 BAND = 32  # set-bit counts of a band
@@ -53,11 +53,15 @@ def write_bands(sources: DataFrame, path: str, band: int = BAND) -> None:
     """Sources (chembl_id, words) as a store in bands of set-bit counts. They
     are dealt by count and id, so that a count that many share is divided and
     each task writes few bands; a folder is a band. Rows without words are
-    left out."""
-    sized = sources.select("chembl_id", "words").withColumn("size", n_set(F.col("words")))
+    left out. Spark reads rows twice to deal them by ranges, so that they are
+    stored first: fingerprints are computed once."""
+    spark, stage = sources.sparkSession, f"{shared_dir(sources.sparkSession)}/sources-{uuid.uuid4().hex}"
+    sources.select("chembl_id", "words").write.parquet(stage)
+    sized = spark.read.parquet(stage).withColumn("size", n_set(F.col("words")))
     dealt = sized.repartitionByRange("size", "chembl_id")
     parts = only(dealt, F.col("words").isNotNull()).withColumn("band", F.floor(F.col("size") / band).cast("int")).sortWithinPartitions("size")
     parts.write.mode("overwrite").partitionBy("band").parquet(path)
+    remove(spark, stage)
 
 
 def read_bands(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:

@@ -40,3 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
         named = Path(tempfile.mkdtemp(prefix="simmart-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a stage that is no longer read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
