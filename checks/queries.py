@@ -134,7 +134,7 @@ def tanimoto_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def tanimoto_postings(spark: SparkSession, sf: str) -> DataFrame:
     """Ranked from all scores rather than from each task's best."""
-    return similarity.rank_top(tanimoto_full(spark, sf))
+    return similarity.top_of_all(*_molecules(spark, sf))
 
 
 def tanimoto_banded(spark: SparkSession, sf: str) -> DataFrame:

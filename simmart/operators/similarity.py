@@ -15,6 +15,7 @@ target's floor allows a member.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -29,6 +30,7 @@ from simmart.session import remove, shared_dir
 
 Scorer = Callable[[Iterator[pa.RecordBatch], StoredTargets], Iterator[pa.RecordBatch]]
 BAND = 32  # set-bit counts of a band
+SORTED_PAIRS = 1 << 21  # scores that a task sorts, some 200 MB
 
 
 def pair_scores(targets: DataFrame, sources: DataFrame, n_bits: int = N_BITS) -> DataFrame:
@@ -49,6 +51,17 @@ def top_similar(targets: DataFrame, sources: DataFrame, k: int = 10, n_bits: int
     return rank_top(_score(_stored(targets, n_bits), targets, sources, partial(best_scores, keep=k + 1)), k)
 
 
+def top_of_all(targets: DataFrame, sources: DataFrame, k: int = 10, n_bits: int = N_BITS) -> DataFrame:
+    """Like ``top_similar``, but ranked from the full scores. A task sorts the
+    scores of its sources with all targets, so sources are dealt out, as packed
+    words, into parts of so many that these are at most SORTED_PAIRS."""
+    stored, spark = _stored(targets, n_bits), targets.sparkSession
+    pairs = sources.count() * spark.read.parquet(stored.path).count()
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(pairs / SORTED_PAIRS))
+    dealt = sources.select("chembl_id", "words").repartition(parts)
+    return rank_top(_score(stored, targets, dealt, all_scores), k)
+
+
 def write_bands(sources: DataFrame, path: str, band: int = BAND) -> None:
     """Sources (chembl_id, words) as a store in bands of set-bit counts. They
     are dealt by count and id, so that a count that many share is divided and
