@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,7 +11,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from simmart.session import shared_dir, tune
 
@@ -74,6 +78,37 @@ def kept(key: tuple, make: Callable):
     return store[key]
 
 
+def _stage_store() -> dict:
+    """What this Python worker keeps for the stage of its task. A worker serves
+    one stage after another: with the first task of another stage, what it kept
+    and what that has left behind goes."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    held = vars(sys).setdefault("_simmart_kept_in_stage", [stage, {}])
+    if held[0] != stage:
+        held[:] = stage, {}
+        gc.collect()
+        give_back()
+    return held[1]
+
+
+def kept_in_stage(key: tuple, make: Callable):
+    """make(), once in a Python worker and stage: for what is large."""
+    store = _stage_store()
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+def give_back() -> None:
+    """Returns memory that was freed to the system. Arrow and the C library hold
+    it otherwise, in each worker as much as its largest task so far has used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def texts(column: pa.Array) -> list[str]:
     """The texts of a batch; null is the empty text."""
     return pc.fill_null(column, "").to_pylist()
@@ -83,12 +118,36 @@ def per_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
     """function over each Arrow batch of the frame, where the rows lie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+        _stage_store()
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield function(batch)
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def per_group(groups: GroupedData, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """function over the table of each group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _stage_store()
+        return function(table)
+
+    return groups.applyInArrow(run, schema)
+
+
+def per_cogroup(groups: PandasCogroupedOps, function: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """function over the two tables of each group."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        _stage_store()
+        return function(left, right)
+
+    return groups.applyInArrow(run, schema)
+
+
 def blob(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()

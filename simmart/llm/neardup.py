@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from simmart.llm.common import Scratch, blob, kept, per_batch, prepared, stored, texts
+from simmart.llm.common import Scratch, blob, kept, per_batch, per_group, prepared, stored, texts
 from simmart.llm.graph import components
 from simmart.llm.words import Hasher, distinct, mix, utf8
 from simmart.operators.skew import splittable_join
@@ -235,7 +235,7 @@ def _linked_in_blocks(mixed: DataFrame, sets: DataFrame, likeness: float) -> Dat
         x, y = ids[out][x], ids[~out][y]
         return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
-    return met.groupBy("band", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return per_group(met.groupBy("band", "i", "j"), compare, "a bigint, b bigint").distinct()
 
 
 def _pairs(x: str, y: str) -> list:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from simmart.llm.common import kept, texts
+from simmart.llm.common import give_back, kept_in_stage, texts
 
 WINDOW = 4096
 END_ID = 2
@@ -229,7 +229,7 @@ def packed(
     end = np.array([end_id], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = kept(("packing words", digest), lambda: Words(definition))
+        words = kept_in_stage(("packing words", digest), lambda: Words(definition))
         packer = Packer(window)
         first = TaskContext.get().partitionId() << 40
         key_type = None
@@ -264,6 +264,7 @@ def packed(
         packer.even_out()
         if packer.done:
             yield rows()
+        give_back()
 
     more = ", ids array<int>" if with_ids else ""
     schema = (

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from simmart.llm.common import blob, kept, partitions, per_batch, prepared, texts
+from simmart.llm.common import blob, kept, partitions, per_batch, per_cogroup, per_group, prepared, texts
 from simmart.llm.words import Hasher, among, distinct, from_sorted_blob, sorted_blob, utf8
 
 WINDOW = 13
@@ -316,13 +316,13 @@ def without_repeats(
         return pa.table(found)
 
     by_chunk = dealt.groupBy("chunk")
-    found = by_chunk.applyInArrow(fingerprints, _FOUND).groupBy("bucket").applyInArrow(met_again, _FOUND)
-    sent = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(suffixes, _SUFFIXES)
-    marks = sent.groupBy("grp").applyInArrow(tree, _MARKS)
+    found = per_group(per_group(by_chunk, fingerprints, _FOUND).groupBy("bucket"), met_again, _FOUND)
+    sent = per_cogroup(by_chunk.cogroup(found.groupBy("chunk")), suffixes, _SUFFIXES)
+    marks = per_group(sent.groupBy("grp"), tree, _MARKS)
     schema = f"key {kinds[key]}, " + "".join(f"carried_{i} {kinds[c]}, " for i, c in enumerate(carry))
     schema += "n_words bigint, n_removed bigint, kept_sha256 string"
     schema += ", kept string, repeats array<array<bigint>>" if with_text else ""
-    result = by_chunk.cogroup(marks.groupBy("chunk")).applyInArrow(cut, schema)
+    result = per_cogroup(by_chunk.cogroup(marks.groupBy("chunk")), cut, schema)
     return result.withColumnsRenamed({"key": key, **{f"carried_{i}": c for i, c in enumerate(carry)}})
 
 

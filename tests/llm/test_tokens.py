@@ -1,14 +1,19 @@
 """SentencePiece encoding, token counts and packing."""
 
+import gc
+import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 P = pytest.importorskip("public_tokenizers")
 
 from simmart.llm import packing, pieces, rollup  # noqa: E402
+from simmart.llm.common import per_batch  # noqa: E402
 from simmart.llm.queries import tokenizer_file  # noqa: E402
 
 MODEL = tokenizer_file("piece_bpe_32k.model")
@@ -175,3 +180,37 @@ def test_maintained_totals_equal_a_recount(spark, odd_docs, no_docs):
         expected[r.source, r.lang, r.tokenizer] = tuple(x + y for x, y in zip(old, (1, r.n_tokens, r.n_chars)))
     assert found == expected
     assert rollup.maintained(no_docs, labels, VERSIONS, P.PATTERN).count() == 0
+
+
+def test_workers_keep_no_words_for_other_stages(spark):
+    """A worker lives through many stages; what one of them kept would lie
+    beside what every later one needs."""
+
+    def held(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = sum(type(x).__name__ == "Words" for x in gc.get_objects())
+        return pa.RecordBatch.from_arrays([pa.array([found], pa.int64())], ["n"])
+
+    docs = spark.range(40, numPartitions=8).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    assert packing.packed(docs, WORDS).count() >= 40
+    assert sum(r.n for r in per_batch(docs, held, "n bigint").collect()) == 0
+
+
+def test_workers_give_freed_memory_back(spark):
+    def freed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # The last block lies above the others: without being told to, the C library gives none of them back.
+        blocks = [bytes(100_000) for _ in range(1_000)]
+        vars(sys)["_last_block"] = blocks[-1]
+        return batch
+
+    def resident(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kb = int(re.search(r"RssAnon:\s+(\d+)", open("/proc/self/status").read())[1])
+        last = vars(sys).pop("_last_block", None)
+        return pa.RecordBatch.from_arrays([pa.array([kb if last else 0], pa.int64())], ["kb"])
+
+    one = spark.range(1, numPartitions=1)
+    before = per_batch(one, lambda b: (vars(sys).update(_last_block=b"x"), b)[1], "id bigint")
+    before.count()
+    start = max(r.kb for r in per_batch(spark.range(8, numPartitions=8), resident, "kb bigint").collect())
+    per_batch(one, freed, "id bigint").count()
+    end = max(r.kb for r in per_batch(spark.range(8, numPartitions=8), resident, "kb bigint").collect())
+    assert 0 < end < start + 50_000
